@@ -141,13 +141,21 @@ def customer_rollup_v2(visits: DataFrame) -> DataFrame:
     )
 
 
-def recency(customers: DataFrame, visits: DataFrame, time_col: str = "check_in_time") -> DataFrame:
-    """Whole days from the last visit of a customer to the latest visit of all."""
+def recency(
+    customers: DataFrame,
+    visits: DataFrame,
+    time_col: str = "check_in_time",
+    fill: bool = True,
+) -> DataFrame:
+    """Whole days from the last visit of a customer to the latest visit of all.
+
+    A missing value takes the median, unless a later imputation fills it the same way.
+    """
     latest = visits.agg(F.max(time_col)).scalar()
     with_days = customers.withColumn(
         "recency_days", days_between(F.col("last_visit_date"), latest).cast("double")
     )
-    return fill_median(with_days, ["recency_days"])
+    return fill_median(with_days, ["recency_days"]) if fill else with_days
 
 
 # policies for missing customer features: columns filled by their median, others by a constant

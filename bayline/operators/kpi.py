@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayline.operators.quantiles import median_of, scalar_row
+from bayline.operators.quantiles import median_of
 
 # fixed values: labels of the overall summary
 OVERALL_METRICS = (
@@ -26,7 +26,7 @@ SEVERE_DELAY_HOURS = 4
 def kpi_overall(visits: DataFrame) -> DataFrame:
     """Overall KPIs as rows (metric, value)."""
     late = F.col("delayed").cast("int")
-    median = scalar_row(median_of(visits, ["delay_hours"]))["delay_hours"]
+    median = median_of(visits, ["delay_hours"]).scalar()
     one = visits.agg(
         F.count(F.lit(1)).cast("double").alias("total"),
         F.sum(late).cast("double").alias("late"),

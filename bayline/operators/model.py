@@ -70,21 +70,24 @@ def impute(
     df: DataFrame, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
 ) -> DataFrame:
     """Fill numeric columns by training medians and categorical ones by training modes."""
-    medians = scalar_row(median_imputer(train, numeric))
-    modes = mode_imputer(train, categorical)
-    mode_row = scalar_row(
-        modes.agg(
-            *[
-                F.max(F.when(F.col("column") == c, F.col("value"))).alias(c)
-                for c in categorical
-            ]
-        )
+    modes = mode_imputer(train, categorical).agg(
+        *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in categorical]
     )
-    return df.withColumns(
-        {
-            **{c: F.coalesce(F.col(c).cast("double"), medians[c]) for c in numeric},
-            **{c: F.coalesce(F.col(c).cast("string"), mode_row[c]) for c in categorical},
-        }
+    return (
+        df.withColumn("_medians", scalar_row(median_imputer(train, numeric)))
+        .withColumn("_modes", scalar_row(modes))
+        .withColumns(
+            {
+                **{
+                    c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[c]) for c in numeric
+                },
+                **{
+                    c: F.coalesce(F.col(c).cast("string"), F.col("_modes")[c])
+                    for c in categorical
+                },
+            }
+        )
+        .drop("_medians", "_modes")
     )
 
 

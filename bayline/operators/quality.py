@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bayline.functions.flags import flag_label, out_of_domain
+from bayline.functions.flags import flag_label
 
 # fixed values: texts of the issue report
 MISSING = ("Missing Values", "Investigate and handle based on business meaning")
@@ -32,12 +32,12 @@ ISSUE_COLUMNS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Rows of a table for which ``broken`` holds are an issue."""
+    """Rows of a table for which the SQL condition ``broken`` holds are an issue."""
 
     table: str
     column: str
     issue_type: str
-    broken: Column
+    broken: str
     severity: str
     action: str
     always: bool = False  # report the rule even if no row breaks it
@@ -45,44 +45,30 @@ class Rule:
 
 def order_rule(table: str, column: str, other: str, op: str, issue: str, action: str) -> Rule:
     """Rule ``column op other``; a missing side breaks nothing."""
-    left, right = F.col(column), F.col(other)
-    broken = left < right if op == "<" else left > right
-    return Rule(table, column, issue, broken, HIGH, action)
+    return Rule(table, column, issue, f"`{column}` {op} `{other}`", HIGH, action)
 
 
 def range_rule(
-    table: str,
-    column: str,
-    issue: str,
-    action: str,
-    below: float | None = None,
-    above: float | None = None,
-    at_most: float | None = None,
-    severity: str = HIGH,
+    table: str, column: str, op: str, bound: float, issue: str, action: str, severity: str = HIGH
 ) -> Rule:
     """Rule on values below, above or at most a bound."""
-    tests = [
-        test
-        for bound, test in (
-            (below, F.col(column) < below if below is not None else None),
-            (above, F.col(column) > above if above is not None else None),
-            (at_most, F.col(column) <= at_most if at_most is not None else None),
-        )
-        if bound is not None
-    ]
-    return Rule(table, column, issue, reduce(lambda a, b: a | b, tests), severity, action)
+    return Rule(table, column, issue, f"`{column}` {op} {bound}", severity, action)
 
 
-def domain_rule(table: str, column: str, values: Sequence, issue: str, action: str) -> Rule:
-    return Rule(table, column, issue, out_of_domain(F.col(column), values), HIGH, action)
+def domain_rule(
+    table: str, column: str, values: Sequence[float], issue: str, action: str
+) -> Rule:
+    """Rule on values that are present but not in the list."""
+    listed = ", ".join(str(v) for v in values)
+    return Rule(table, column, issue, f"`{column}` NOT IN ({listed})", HIGH, action)
 
 
 def label_rule(
     table: str, column: str, bad_labels: Sequence[str], issue: str, action: str
 ) -> Rule:
-    return Rule(
-        table, column, issue, F.col(column).isin(*bad_labels), MEDIUM, action, always=True
-    )
+    """Rule on known misspellings; it is reported even without a finding."""
+    listed = ", ".join("'" + label.replace("'", "\\'") + "'" for label in bad_labels)
+    return Rule(table, column, issue, f"`{column}` IN ({listed})", MEDIUM, action, always=True)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -181,7 +167,7 @@ def rule_issues(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataF
     for table in dict.fromkeys(rule.table for rule in rules):
         mine = [rule for rule in rules if rule.table == table]
         counted = tables[table].agg(
-            *[F.count_if(rule.broken).alias(f"n_{i}") for i, rule in enumerate(mine)]
+            *[F.count_if(F.expr(rule.broken)).alias(f"n_{i}") for i, rule in enumerate(mine)]
         )
         rows = F.array(
             *[

@@ -24,17 +24,22 @@ def value_bucket(x: Column) -> Column:
     return F.floor(F.signum(x) * spread)
 
 
-def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """(by..., metric, value) without missing groups and values."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-            for c in cols
-        ]
-    )
-    long = df.select(*by, F.inline(pairs)) if len(cols) > 1 else df.select(
-        *by, F.lit(cols[0]).alias("metric"), F.col(cols[0]).cast("double").alias("value")
-    )
+def _long(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str], weight: str | None
+) -> DataFrame:
+    """(by..., metric, value, _w) without missing groups and values."""
+    times = (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w")
+    if len(cols) == 1:
+        value = F.col(cols[0]).cast("double").alias("value")
+        long = df.select(*by, times, F.lit(cols[0]).alias("metric"), value)
+    else:
+        pairs = F.array(
+            *[
+                F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+                for c in cols
+            ]
+        )
+        long = df.select(*by, times, F.inline(pairs))
     return long.dropna(subset=[*by, "value"])
 
 
@@ -44,17 +49,19 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     closed_domain: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles as rows (by..., metric, p, value).
 
+    ``weight`` names a column that tells how many rows a row stands for.
     ``closed_domain`` says that the columns hold a short closed list of values (a 1..5
     score, a 0/1 flag); then the built-in ``percentile``, which keeps one counter per
     distinct value, is the cheaper plan.
     """
     keys = [*by, "metric"]
-    long = _long(df, cols, by)
+    long = _long(df, cols, by, weight)
     if closed_domain:
-        values = F.percentile("value", F.array(*[F.lit(p) for p in probs]))
+        values = F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("_w"))
         return (
             long.groupBy(*keys)
             .agg(values.alias("_values"))
@@ -72,7 +79,7 @@ def quantiles(
 
     counts = (
         long.groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
         .withColumn("_bucket", value_bucket(F.col("value")))
     )
     totals = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_bucket_n"))
@@ -136,11 +143,12 @@ def quantiles_wide(
     wanted: Mapping[str, tuple[str, float]],
     by: Sequence[str] = (),
     closed_domain: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with a named column for each wanted (column, probability)."""
     cols = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
-    long = quantiles(df, cols, probs, by, closed_domain)
+    long = quantiles(df, cols, probs, by, closed_domain, weight)
     picks = [
         F.max(F.when((F.col("metric") == c) & (F.col("p") == F.lit(float(p))), F.col("value")))
         .alias(name)
@@ -150,38 +158,55 @@ def quantiles_wide(
 
 
 def median_of(
-    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), closed_domain: bool = False
+    df: DataFrame,
+    cols: Sequence[str],
+    by: Sequence[str] = (),
+    closed_domain: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact medians, one row per group, under the names of the columns."""
-    return quantiles_wide(df, {c: (c, 0.5) for c in cols}, by, closed_domain)
+    return quantiles_wide(df, {c: (c, 0.5) for c in cols}, by, closed_domain, weight)
 
 
 def scalar_row(one_row: DataFrame) -> Column:
-    """A one-row table as a struct column: a scalar subquery, so no join is planned."""
+    """A one-row table as a struct column: a scalar subquery, so no join is planned.
+
+    Add it as a column once and read its fields from there; every further use of the
+    expression itself would be planned as a subquery of its own.
+    """
     return one_row.select(F.struct(*one_row.columns).alias("row")).scalar()
 
 
 def fill_median(df: DataFrame, cols: Sequence[str], closed_domain: bool = False) -> DataFrame:
     """Replace missing values by the median of their column."""
     medians = scalar_row(median_of(df, cols, closed_domain=closed_domain))
-    return df.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in cols})
+    return (
+        df.withColumn("_medians", medians)
+        .withColumns({c: F.coalesce(F.col(c), F.col("_medians")[c]) for c in cols})
+        .drop("_medians")
+    )
 
 
 def rank_sums(
-    df: DataFrame, first: Column, value: Column, by: Sequence[str] = ()
+    df: DataFrame,
+    first: Column,
+    value: Column,
+    by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Rank-sum ingredients of two samples pooled by value.
 
     ``first`` is true for rows of sample 1, false for sample 2 and NULL for rows in neither.
     Gives n1, n2, the sum of tie-averaged ranks of sample 1 and the tie term sum(t^3 - t).
     """
+    times = (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w")
     counts = (
-        df.select(*by, first.alias("_first"), value.cast("double").alias("_value"))
+        df.select(*by, times, first.alias("_first"), value.cast("double").alias("_value"))
         .dropna(subset=[*by, "_first", "_value"])
         .groupBy(*by, "_value")
         .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(F.col("_first").cast("bigint")).alias("_n1"),
+            F.sum("_w").alias("_n"),
+            F.sum(F.when(F.col("_first"), F.col("_w")).otherwise(0)).alias("_n1"),
         )
         .withColumn("_bucket", value_bucket(F.col("_value")))
     )

@@ -76,16 +76,18 @@ def segment_thresholds(customers: DataFrame) -> DataFrame:
 
 def rule_segments(customers: DataFrame) -> DataFrame:
     """Add the segment of each customer; an earlier rule wins over a later one."""
-    t = scalar_row(segment_thresholds(customers))
+    t = F.col("_t")
     csat, delay = F.col("avg_csat"), F.col("delay_rate")
     poor = (csat <= t["low_csat"]) & (
         (delay >= t["high_delay"]) | (F.col("complaint_rate") >= t["high_complaint"])
     )
     content = (csat >= t["high_csat"]) & (delay <= t["low_delay"])
     frequent = F.col("total_visits") >= t["high_visits"]
-    return customers.withColumn(
-        "segment",
-        first_match([(poor, AT_RISK), (content, LOYAL), (frequent, HIGH_NEED)], OCCASIONAL),
+    segment = first_match([(poor, AT_RISK), (content, LOYAL), (frequent, HIGH_NEED)], OCCASIONAL)
+    return (
+        customers.withColumn("_t", scalar_row(segment_thresholds(customers)))
+        .withColumn("segment", segment)
+        .drop("_t")
     )
 
 

@@ -38,15 +38,19 @@ def mann_whitney(
     """
     g = F.col(group)
     is_first = F.when(g == F.lit(first), F.lit(True)).when(g == F.lit(second), F.lit(False))
-    sums = rank_sums(df, is_first, F.col(value))
+    # ranks and medians both read this one table of counts
+    counts = (
+        df.select(is_first.alias("_first"), F.col(value).cast("double").alias("_value"))
+        .dropna()
+        .groupBy("_first", "_value")
+        .agg(F.count(F.lit(1)).alias("_count"))
+    )
+    sums = rank_sums(counts, F.col("_first"), F.col("_value"), weight="_count")
+    by_group = median_of(counts, ["_value"], ["_first"], closed_domain, weight="_count")
     medians = scalar_row(
-        median_of(
-            df.select(
-                F.when(g == F.lit(first), F.col(value)).alias("m1"),
-                F.when(g == F.lit(second), F.col(value)).alias("m2"),
-            ),
-            ["m1", "m2"],
-            closed_domain=closed_domain,
+        by_group.agg(
+            F.max(F.when(F.col("_first"), F.col("_value"))).alias("m1"),
+            F.max(F.when(~F.col("_first"), F.col("_value"))).alias("m2"),
         )
     )
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")

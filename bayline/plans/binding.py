@@ -13,8 +13,52 @@ from pyspark.sql import functions as F
 
 from bayline.functions.flags import in_domain, null_unless, nullable_flag, threshold_flag
 from bayline.functions.scalars import add_time
-from bayline.operators.cleaning import COMPLAINT_MAX_CSAT, CSAT_VALUES, keep_first
-from bayline.operators.features import parts_delay, visit_base
+from bayline.operators.cleaning import (
+    COMPLAINT_MAX_CSAT,
+    CSAT_VALUES,
+    clean_appointments,
+    clean_customers,
+    clean_parts,
+    clean_repairs,
+    clean_surveys,
+    clean_vehicles,
+    clean_visits,
+    keep_first,
+)
+from bayline.operators.features import (
+    IMPUTE_V1,
+    IMPUTE_V2,
+    customer_rollup_v1,
+    customer_rollup_v2,
+    impute_customers,
+    parts_delay,
+    recency,
+    visit_base,
+)
+from bayline.sources.sinks import stage
+
+# schemas of the given tables: a declared schema saves the job that reads file footers
+GIVEN_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+}
+
+# the label of the given tables that counts as a misspelling, and its standard form
+CATEGORY_FIXES = {"R": "A"}
 
 FIRST_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
@@ -27,7 +71,8 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        schema = GIVEN_SCHEMAS[name]
+        return self.spark.read.schema(schema).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def regions(self) -> DataFrame:
@@ -122,7 +167,10 @@ class Tables:
 
     @cached_property
     def vehicles(self) -> DataFrame:
-        pairs = self.visits.select("appointment_id", "part_id").join(
+        return self._vehicles_of(self.visits)
+
+    def _vehicles_of(self, visits: DataFrame) -> DataFrame:
+        pairs = visits.select("appointment_id", "part_id").join(
             self.appointments.select("appointment_id", "customer_id"), "appointment_id"
         )
         return (
@@ -165,8 +213,11 @@ class Tables:
 
     @cached_property
     def full_appointments(self) -> DataFrame:
+        return self._full_appointments_of(self.visits)
+
+    def _full_appointments_of(self, visits: DataFrame) -> DataFrame:
         """Appointments with the vehicle, dealer and times taken from their visit."""
-        booked = self.visits.select(
+        booked = visits.select(
             "appointment_id",
             "part_id",
             "dealer_id",
@@ -186,20 +237,72 @@ class Tables:
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         """The eight tables with their defects: missing keys, orphans, broken rules."""
+        return self._raw_of(self.visits, self.full_appointments, self.vehicles)
+
+    @cached_property
+    def raw_layer(self) -> dict[str, DataFrame]:
+        """The same with the derived tables staged, for reports that read them many times."""
+        visits = stage(self.visits, "raw_visits")
+        return self._raw_of(
+            visits,
+            stage(self._full_appointments_of(visits), "raw_appointments"),
+            stage(self._vehicles_of(visits), "raw_vehicles"),
+        )
+
+    def _raw_of(
+        self, visits: DataFrame, appointments: DataFrame, vehicles: DataFrame
+    ) -> dict[str, DataFrame]:
         customers = self.customers.withColumn(
             "customer_id", null_unless(F.col("customer_id"), F.col("account_balance") > 0)
         )
         return {
             "customers": customers,
-            "vehicles": self.vehicles,
+            "vehicles": vehicles,
             "dealers": self.dealers.filter(F.col("balance") > 0),
-            "appointments": self.full_appointments,
-            "service_visits": self.visits,
+            "appointments": appointments,
+            "service_visits": visits,
             "repairs": self.repairs,
             "parts": self.parts,
             "customer_surveys": self.raw_surveys,
         }
 
+    @cached_property
+    def clean_customers(self) -> DataFrame:
+        return clean_customers(self.raw["customers"], ["account_balance"])
+
+    @cached_property
+    def clean_vehicles(self) -> DataFrame:
+        return clean_vehicles(self.raw["vehicles"], self.clean_customers)
+
+    @cached_property
+    def clean_appointments(self) -> DataFrame:
+        return clean_appointments(
+            self.raw["appointments"], self.clean_customers, self.clean_vehicles, self.raw["dealers"]
+        )
+
+    @cached_property
+    def clean_visits(self) -> DataFrame:
+        """Cleaned visits, staged as a layer: repairs, parts and surveys are filtered by them."""
+        return stage(clean_visits(self.visits, self.clean_appointments), "clean_visits")
+
+    @cached_property
+    def clean_repairs(self) -> DataFrame:
+        return clean_repairs(self.repairs, self.clean_visits, CATEGORY_FIXES)
+
+    @cached_property
+    def clean(self) -> dict[str, DataFrame]:
+        """The eight tables after cleaning, each child against its cleaned parent."""
+        return {
+            "customers": self.clean_customers,
+            "vehicles": self.clean_vehicles,
+            "dealers": self.raw["dealers"],
+            "appointments": self.clean_appointments,
+            "service_visits": self.clean_visits,
+            "repairs": self.clean_repairs,
+            "parts": clean_parts(self.parts, self.clean_repairs),
+            "customer_surveys": clean_surveys(self.raw_surveys, self.clean_visits),
+        }
+
     @cached_property
     def base(self) -> DataFrame:
         """Visit base of the analyses."""
@@ -212,6 +315,24 @@ class Tables:
         )
         return base.withColumn("vehicle_id", F.concat_ws("-", "customer_id", "part_id"))
 
+    @cached_property
+    def rollup_v1(self) -> DataFrame:
+        """Customer features, staged: thresholds, medians and rows all read them."""
+        return stage(customer_rollup_v1(self.base), "rollup_v1")
+
+    @cached_property
+    def rollup_v2(self) -> DataFrame:
+        return stage(customer_rollup_v2(self.base), "rollup_v2")
+
+    @cached_property
+    def imputed_v1(self) -> DataFrame:
+        return stage(impute_customers(self.rollup_v1, IMPUTE_V1), "imputed_v1")
+
+    @cached_property
+    def imputed_v2(self) -> DataFrame:
+        with_recency = recency(self.rollup_v2, self.visits, fill=False)
+        return stage(impute_customers(with_recency, IMPUTE_V2), "imputed_v2")
+
     @cached_property
     def visit_parts(self) -> DataFrame:
         return parts_delay(self.repairs, self.parts)
@@ -247,7 +368,7 @@ _ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                   l_suppkey as dealer_id, l_shipdate as check_in_time,
                   l_shipdate as service_start_time,
                   l_shipdate + to_microseconds((l_quantity * 720000000)::bigint) as completion_time,
-                  l_shipdate + to_microseconds((p_size * 360000000)::bigint) as promised_completion,
+                  l_shipdate + to_microseconds(p_size::bigint * 360000000) as promised_completion,
                   l_linestatus as visit_status, l_quantity / 5 as actual_duration_hours,
                   p_size / 10 as scheduled_duration_hours,
                   (2 * l_quantity - p_size) / 10 as delay_hours,

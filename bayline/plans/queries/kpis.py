@@ -11,6 +11,7 @@ from bayline.operators.quantiles import median_of, quantiles
 from bayline.operators.segments import rule_segments
 from bayline.plans.binding import Tables, with_roles
 from bayline.plans.registry import query, rounded
+from bayline.sources.sinks import stage
 
 
 @query(
@@ -28,7 +29,8 @@ from bayline.plans.registry import query, rounded
          union all select 'Complaint Rate', round(complaints, 6) from one""",
 )
 def overall_summary(t: Tables):
-    return rounded(kpi.kpi_overall(t.base))
+    measures = t.base.select("delay_hours", "delayed", "csat_score", "complaint_flag")
+    return rounded(kpi.kpi_overall(stage(measures, "measures")))
 
 
 _SCORECARD = """select {key}, count(*) as visits, round(avg(delayed::int), 6) as delay_rate,
@@ -137,8 +139,7 @@ def customer_rollup_v2(t: Tables):
          from rule_segments group by segment""",
 )
 def segment_profile(t: Tables):
-    imputed = features.impute_customers(features.customer_rollup_v1(t.base), features.IMPUTE_V1)
-    return rounded(kpi.segment_profile(rule_segments(imputed)))
+    return rounded(kpi.segment_profile(rule_segments(t.imputed_v1)))
 
 
 _CLUSTER_PROFILE = """select (customer_id % 4)::int as cluster_id, count(*) as customers,
@@ -170,9 +171,7 @@ def cluster_profile(t: Tables):
 
 def pseudo_clusters(t: Tables):
     """Imputed customer features with a cluster derived from the key."""
-    rollup = features.customer_rollup_v2(t.base)
-    imputed = features.impute_customers(features.recency(rollup, t.visits), features.IMPUTE_V2)
-    return imputed.withColumn("cluster_id", (F.col("customer_id") % 4).cast("int"))
+    return t.imputed_v2.withColumn("cluster_id", (F.col("customer_id") % 4).cast("int"))
 
 
 def scored_lines(t: Tables):

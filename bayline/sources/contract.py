@@ -10,11 +10,15 @@ from pyspark.sql.types import StructType
 
 
 def check_inputs(
-    tables: Mapping[str, DataFrame], schemas: Mapping[str, StructType]
+    tables: Mapping[str, DataFrame], schemas: Mapping[str, str]
 ) -> DataFrame:
-    """One row per table: missing columns, columns of another type, rows, verdict."""
+    """One row per table: missing columns, columns of another type, rows, verdict.
+
+    ``schemas`` holds the expected columns as DDL text.
+    """
     frames = []
-    for name, wanted in schemas.items():
+    for name, ddl in schemas.items():
+        wanted = StructType.fromDDL(ddl)
         found = {f.name: f.dataType for f in tables[name].schema.fields}
         missing = [f.name for f in wanted.fields if f.name not in found]
         other = [f.name for f in wanted.fields if found.get(f.name, f.dataType) != f.dataType]

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from bayline.session import scratch_dir
+
 
 def write_result(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
@@ -47,3 +49,13 @@ def write_marts(
         out = df.hint("rebalance", *columns) if columns else df
         written[name] = write_result(out, f"{path}/{name}", partition_by=columns)
     return written
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the shared scratch folder and go on from the files.
+
+    For a table that several later steps read: it is computed once, and a lost executor
+    costs a re-read instead of the whole lineage.
+    """
+    path = write_result(df, scratch_dir(df.sparkSession, purpose))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
