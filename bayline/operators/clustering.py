@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -35,6 +36,7 @@ FEATURES_V2 = (
 CLUSTERS = 4
 RESTARTS = 10
 SEED = 42
+PARALLEL_FITS = 5
 
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -62,11 +64,14 @@ def _vectors(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 
 
 def _best_model(vectors: DataFrame, k: int, restarts: int):
-    """The model with the lowest cost over several seeds."""
-    fits = [
-        KMeans(k=k, seed=SEED + i, featuresCol="_features", predictionCol="cluster_id").fit(vectors)
-        for i in range(restarts)
-    ]
+    """The model with the lowest cost over several seeds, the runs side by side."""
+
+    def fit(seed: int):
+        means = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster_id")
+        return means.fit(vectors)
+
+    with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
+        fits = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(SEED, SEED + restarts))
     return min(fits, key=lambda model: model.summary.trainingCost)
 
 

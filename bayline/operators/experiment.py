@@ -9,8 +9,7 @@ from bayline.functions.flags import flag_label
 from bayline.functions.hashing import hash_uniform
 from bayline.operators.kpi import contingency, group_summary
 from bayline.operators.model import RISK_LABELS
-from bayline.operators.quantiles import quantiles_wide
-from bayline.operators.sampling import bootstrap_weights
+from bayline.operators.sampling import PARTS, weight_blocks
 from bayline.operators.stats import (
     chi_square_of,
     cohens_d,
@@ -107,33 +106,47 @@ def decision_report(experiment: DataFrame) -> DataFrame:
 def bootstrap_lifts(
     experiment: DataFrame, key: str, metric: str, replicates: int, salt: str
 ) -> DataFrame:
-    """Lift of the metric in every replicate."""
-    rows = experiment.select(key, GROUP, metric).dropna()
-    weighted = bootstrap_weights(rows, key, replicates, salt)
-    sums = weighted.groupBy("replicate", GROUP).agg(
-        F.sum("weight").alias("n"),
-        F.sum(F.col("weight") * F.col(metric).cast("double")).alias("total"),
-    )
-
-    def mean(level: str):
-        mine = F.col(GROUP) == level
-        return F.try_divide(
-            F.sum(F.when(mine, F.col("total"))), F.sum(F.when(mine, F.col("n")))
+    """Lift of the metric in every replicate.
+
+    Weights are summed per block and group inside each task, so what is shuffled has the
+    size of the result.
+    """
+    rows = experiment.select(key, GROUP, F.col(metric).cast("double").alias("_x")).dropna()
+    parts = range(PARTS)
+    sums = (
+        weight_blocks(rows, key, replicates, salt)
+        .groupBy("block", GROUP)
+        .agg(
+            *[F.sum(f"w{part}").alias(f"n{part}") for part in parts],
+            *[F.sum(F.col(f"w{part}") * F.col("_x")).alias(f"t{part}") for part in parts],
         )
-
-    return sums.groupBy("replicate").agg((mean(TREATMENT) - mean(CONTROL)).alias("lift"))
+    )
+    cells = F.array(
+        *[
+            F.struct(
+                (F.col("block") * PARTS + part).alias("replicate"),
+                F.try_divide(F.col(f"t{part}"), F.col(f"n{part}").cast("double")).alias("mean"),
+            )
+            for part in parts
+        ]
+    )
+    means = sums.select(GROUP, F.inline(cells)).filter(F.col("replicate") < replicates)
+    treated = F.max(F.when(F.col(GROUP) == TREATMENT, F.col("mean")))
+    control = F.max(F.when(F.col(GROUP) == CONTROL, F.col("mean")))
+    return means.groupBy("replicate").agg((treated - control).alias("lift"))
 
 
 def bootstrap_lift(
     experiment: DataFrame, key: str, metric: str, replicates: int = 200, salt: str = "bootstrap"
 ) -> DataFrame:
-    """Mean lift over the replicates and its 95 percent interval, one row."""
+    """Mean lift over the replicates and its 95 percent interval, one row.
+
+    The quantiles run over one number per replicate.
+    """
     lifts = bootstrap_lifts(experiment, key, metric, replicates, salt)
-    bounds = quantiles_wide(
-        lifts, {"low": ("lift", 0.025), "high": ("lift", 0.975)}, closed_domain=True
-    )
     return lifts.agg(
-        F.count("lift").alias("replicates"), F.avg("lift").alias("mean_lift")
-    ).select("replicates", "mean_lift", bounds.select(F.struct("low", "high")).scalar().alias("ci")).select(
-        "replicates", "mean_lift", F.col("ci.low").alias("ci_low"), F.col("ci.high").alias("ci_high")
+        F.count("lift").alias("replicates"),
+        F.avg("lift").alias("mean_lift"),
+        F.percentile("lift", F.lit(0.025)).alias("ci_low"),
+        F.percentile("lift", F.lit(0.975)).alias("ci_high"),
     )

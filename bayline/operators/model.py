@@ -243,11 +243,14 @@ def binary_metrics(
     """ROC-AUC, precision, recall and F1 as rows (metric, value)."""
     auc = roc_auc(scored, actual, probability).scalar()
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    values = {
+        "ROC-AUC": F.col("auc"),
+        "Precision": _zero_divide(tp, tp + fp),
+        "Recall": _zero_divide(tp, tp + fn),
+        "F1": _zero_divide(tp * 2, tp * 2 + fp + fn),
+    }
     rows = F.array(
-        F.struct(F.lit("ROC-AUC").alias("metric"), F.col("auc").alias("value")),
-        F.struct(F.lit("Precision"), _zero_divide(tp, tp + fp)),
-        F.struct(F.lit("Recall"), _zero_divide(tp, tp + fn)),
-        F.struct(F.lit("F1"), _zero_divide(tp * 2, tp * 2 + fp + fn)),
+        *[F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in values.items()]
     )
     return (
         confusion_counts(scored, actual, predicted).withColumn("auc", auc).select(F.inline(rows))

@@ -20,30 +20,36 @@ def sample_n(df: DataFrame, key: str, n: int, salt: str) -> DataFrame:
     return df.withColumn("_u", u).orderBy("_u", key).limit(n).drop("_u")
 
 
-def bootstrap_weights(df: DataFrame, key: str, replicates: int, salt: str) -> DataFrame:
-    """Each row once per replicate with a Poisson(1) weight, rows of weight 0 left out.
+PARTS = 4  # 32-bit parts of an md5 digest, one replicate each
+
 
-    The weights of a row come from md5 digests of its key, four replicates per digest.
-    The expansion stays inside the task that holds the row.
+def weight_blocks(df: DataFrame, key: str, replicates: int, salt: str) -> DataFrame:
+    """Each row once per block of four replicates, with their weights as w0 to w3.
+
+    A weight is a Poisson(1) number from the digest of salt, key and block: over many
+    rows that is a sample with replacement, and each task draws it for its own rows.
     """
-    blocks = (replicates + 3) // 4
-    digests = F.transform(
-        F.sequence(F.lit(0), F.lit(blocks - 1)),
-        lambda b: F.md5(
-            F.concat(F.lit(f"{salt}:"), F.col(key).cast("string"), F.lit(":"), b.cast("string"))
-        ),
+    blocks = -(-replicates // PARTS)
+    digest = F.md5(
+        F.concat_ws(":", F.lit(salt), F.col(key).cast("string"), F.col("block").cast("string"))
     )
-    weights = F.slice(
-        F.flatten(
-            F.transform(
-                digests,
-                lambda d: F.array(*[poisson1(digest_uniform(d, part)) for part in range(4)]),
-            )
-        ),
-        1,
-        replicates,
+    return (
+        df.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .withColumn("_digest", digest)
+        .withColumns(
+            {f"w{part}": poisson1(digest_uniform(F.col("_digest"), part)) for part in range(PARTS)}
+        )
+        .drop("_digest")
     )
+
+
+def bootstrap_weights(df: DataFrame, key: str, replicates: int, salt: str) -> DataFrame:
+    """Each row once per replicate that draws it, with the number of times as weight."""
+    weights = F.array(*[F.col(f"w{part}") for part in range(PARTS)])
     return (
-        df.select("*", F.posexplode(weights).alias("replicate", "weight"))
-        .filter(F.col("weight") > 0)
+        weight_blocks(df, key, replicates, salt)
+        .select(*df.columns, "block", F.posexplode(weights).alias("part", "weight"))
+        .withColumn("replicate", F.col("block") * PARTS + F.col("part"))
+        .filter((F.col("weight") > 0) & (F.col("replicate") < replicates))
+        .drop("block", "part")
     )

@@ -1 +1,289 @@
+"""Delay-risk model (ML)."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from bayline.operators import kpi, model
+from bayline.operators.features import delayed, lead_time_days
+from bayline.plans.binding import Tables, with_roles
+from bayline.plans.queries.kpis import SCORED_SQL, scored_lines
+from bayline.plans.registry import query, rounded
+from bayline.sources.sinks import stage
+
+NUMERIC = ("lead_time_days", "scheduled_duration_hours", "parts_delayed", "parts_delay_days")
+CATEGORICAL = ("dealer_id", "service_type")
+TARGET = "delayed_visit"
+
+
+def model_frame(t: Tables):
+    """Features and target of every visit, staged: the split, the fit and the score read it."""
+    parts = t.visit_parts.select(
+        "visit_id",
+        F.col("parts_delayed").cast("int").alias("parts_delayed"),
+        F.col("max_parts_delay_days").alias("parts_delay_days"),
+    )
+    visits = (
+        t.visits.join(
+            t.appointments.select("appointment_id", "booking_date", "service_type"),
+            "appointment_id",
+            "left",
+        )
+        .join(parts, "visit_id", "left")
+        .select(
+            "visit_id",
+            F.col("dealer_id").cast("string").alias("dealer_id"),
+            "service_type",
+            lead_time_days(F.col("booking_date"), F.col("check_in_time"))
+            .cast("double")
+            .alias("lead_time_days"),
+            "scheduled_duration_hours",
+            F.coalesce("parts_delayed", F.lit(0)).cast("double").alias("parts_delayed"),
+            F.coalesce("parts_delay_days", F.lit(0)).cast("double").alias("parts_delay_days"),
+            delayed(F.col("delay_hours")).cast("int").alias(TARGET),
+        )
+    )
+    return stage(model.stratified_split(visits, "visit_id", TARGET), "model_frame")
+
+
+def fitted(t: Tables):
+    """The fitted model and the test rows."""
+    frame = model_frame(t)
+    train = frame.filter(~F.col("is_test"))
+    filled = model.impute(frame, train, NUMERIC, CATEGORICAL)
+    fit = model.fit_logit(filled.filter(~F.col("is_test")), TARGET, NUMERIC, CATEGORICAL)
+    return fit, filled.filter("is_test").drop("is_test")
+
+
+_GAPS_SQL = """gaps as (select o_orderkey, case when o_orderstatus <> 'P' then o_totalprice end as price,
+       case when o_totalprice > 100000 then o_orderpriority end as priority,
+       ('0x' || substr(md5('split:' || o_orderkey), 1, 8))::ubigint / 4294967296.0 < 0.2 as is_test
+  from orders)
+"""
+
+
+def _gaps(t: Tables):
+    orders = t.given("orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_totalprice") > 100000, F.col("o_orderpriority")).alias("priority"),
+        F.lit(1).alias("label"),
+    )
+    return model.stratified_split(orders, "o_orderkey", "label").drop("label")
+
+
+@query(
+    "ml1_median_imputer",
+    "with " + _GAPS_SQL + "select round(median(price), 6) as price from gaps where not is_test",
+)
+def median_imputer(t: Tables):
+    train = _gaps(t).filter(~F.col("is_test"))
+    return rounded(model.median_imputer(train, ["price"]))
+
+
+@query(
+    "ml2_mode_imputer",
+    "with " + _GAPS_SQL
+    + """(select 'priority' as "column", priority as value from gaps
+          where not is_test and priority is not null
+          group by priority order by count(*) desc, priority limit 1)""",
+)
+def mode_imputer(t: Tables):
+    train = _gaps(t).filter(~F.col("is_test"))
+    return model.mode_imputer(train, ["priority"])
+
+
+@query(
+    "ml2_imputed",
+    "with " + _GAPS_SQL
+    + """select o_orderkey, is_test,
+               round(coalesce(price, (select median(price) from gaps where not is_test)), 6) as price,
+               coalesce(priority, (select priority from gaps where not is_test
+                 and priority is not null group by priority
+                 order by count(*) desc, priority limit 1)) as priority
+         from gaps""",
+)
+def imputed(t: Tables):
+    gaps = _gaps(t)
+    return rounded(model.impute(gaps, gaps.filter(~F.col("is_test")), ["price"], ["priority"]))
+
+
+@query("ml3_one_hot")
+def one_hot(t: Tables):
+    """Levels of the training rows encoded; a level that only the test rows have is all zero."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    orders = t.given("orders").select("o_orderkey", "o_orderpriority")
+    train = orders.filter(F.col("o_orderpriority") != "5-LOW")
+    fit = Pipeline(stages=model.one_hot(["o_orderpriority"])).fit(train)
+    vector = vector_to_array("o_orderpriority_vec")
+    return (
+        fit.transform(orders)
+        .select("o_orderpriority", F.posexplode(vector).alias("slot", "value"))
+        .groupBy("o_orderpriority", "slot")
+        .agg(F.sum("value").alias("total"))
+    )
+
+
+@query(
+    "ml4_stratified_split",
+    """select o_orderkey, o_orderstatus,
+              ('0x' || substr(md5('split:' || o_orderkey), 1, 8))::ubigint / 4294967296.0 < 0.2
+                as is_test
+       from orders where o_orderstatus is not null""",
+)
+def stratified_split(t: Tables):
+    orders = t.given("orders").select("o_orderkey", "o_orderstatus")
+    return model.stratified_split(orders, "o_orderkey", "o_orderstatus")
+
+
+@query("ml5_feature_pipeline")
+def feature_pipeline(t: Tables):
+    """Size and block norms of the assembled feature vector."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    frame = model_frame(t)
+    train = frame.filter(~F.col("is_test"))
+    filled = model.impute(frame, train, NUMERIC, CATEGORICAL)
+    stages = model.feature_pipeline(NUMERIC, CATEGORICAL)
+    fit = Pipeline(stages=stages).fit(filled.filter(~F.col("is_test")))
+    vector = vector_to_array("features")
+    levels = F.slice(vector, len(NUMERIC) + 1, F.size(vector))
+    return (
+        fit.transform(filled)
+        .select("is_test", vector.alias("v"), F.aggregate(levels, F.lit(0.0), lambda a, x: a + x).alias("hot"))
+        .groupBy("is_test")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max(F.size("v")).alias("width"),
+            F.max("hot").alias("max_hot_levels"),
+            F.round(F.avg(F.col("v")[0]), 6).alias("mean_first_feature"),
+        )
+    )
+
+
+@query("ml6_balanced_logit")
+def balanced_logit(t: Tables):
+    """Metrics of the fitted model on the test rows."""
+    fit, test = fitted(t)
+    scored = model.score(fit, test)
+    return model.binary_metrics(scored, TARGET, "delay_probability", "predicted_delayed")
+
+
+@query(
+    "ml6_balanced_weights",
+    """with o as (select o_orderkey, (o_orderstatus = 'F')::int as label from orders)
+       select o_orderkey, label, round(count(*) over () / (2.0 * count(*) over (partition by label)), 6)
+                as weight from o""",
+)
+def balanced_weights(t: Tables):
+    orders = t.given("orders").select(
+        "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label")
+    )
+    return rounded(model.balanced_weights(orders, "label"))
+
+
+@query("ml7_scores")
+def scores(t: Tables):
+    fit, test = fitted(t)
+    return model.score(fit, test).select(
+        "visit_id", TARGET, "delay_probability", "predicted_delayed"
+    )
+
+
+@query(
+    "ml8_binary_metrics",
+    "with " + SCORED_SQL
+    + """, auc as (
+           select (sum(case when actual_delayed = 1 then r end) - any_value(n1) * (any_value(n1) + 1) / 2)
+                  / (any_value(n1) * any_value(n0)) as value
+           from (select *, rank() over (order by delay_probability)
+                          + (count(*) over (partition by delay_probability) - 1) / 2 as r,
+                        sum(actual_delayed) over ()::double as n1,
+                        sum(1 - actual_delayed) over ()::double as n0 from scored)),
+         c as (select count_if(actual_delayed = 1 and predicted_delayed = 1) as tp,
+                      count_if(actual_delayed = 0 and predicted_delayed = 1) as fp,
+                      count_if(actual_delayed = 1 and predicted_delayed = 0) as fn from scored)
+         select 'ROC-AUC' as metric, round(value, 6) as value from auc
+         union all select 'Precision', round(tp / (tp + fp), 6) from c
+         union all select 'Recall', round(tp / (tp + fn), 6) from c
+         union all select 'F1', round(2 * tp / (2 * tp + fp + fn), 6) from c""",
+)
+def binary_metrics(t: Tables):
+    return rounded(
+        model.binary_metrics(
+            scored_lines(t), "actual_delayed", "delay_probability", "predicted_delayed"
+        )
+    )
+
+
+_CONFUSION_SQL = """c as (select count_if(quality = 0 and toxic = 0) as tn,
+            count_if(quality = 0 and toxic = 1) as fp, count_if(quality = 1 and toxic = 0) as fn,
+            count_if(quality = 1 and toxic = 1) as tp from labels)
+"""
+
+
+@query(
+    "ml9_confusion",
+    "with " + _CONFUSION_SQL
+    + """select 'Actual On-Time' as actual, tn::bigint as "Predicted On-Time",
+               fp::bigint as "Predicted Delayed" from c
+         union all select 'Actual Delayed', fn::bigint, tp::bigint from c""",
+)
+def confusion(t: Tables):
+    return model.confusion(t.given("labels"), "quality", "toxic")
+
+
+@query(
+    "ml10_class_report",
+    "with " + _CONFUSION_SQL
+    + """, m as (select *, tn / (tn + fn) as p0, tn / (tn + fp) as r0, 2 * tn / (2 * tn + fn + fp) as f0,
+                  (tn + fp)::double as s0,
+                  case when tp + fp = 0 then 0 else tp / (tp + fp) end as p1, tp / (tp + fn) as r1,
+                  2 * tp / (2 * tp + fp + fn) as f1, (tp + fn)::double as s1,
+                  (tn + tp) / (tn + fp + fn + tp) as acc from c)
+         select '0' as label, round(p0, 6) as precision, round(r0, 6) as recall,
+                round(f0, 6) as f1_score, round(s0, 6) as support from m
+         union all select '1', round(p1, 6), round(r1, 6), round(f1, 6), s1 from m
+         union all select 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6), round(acc, 6) from m
+         union all select 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6),
+                round((f0 + f1) / 2, 6), s0 + s1 from m
+         union all select 'weighted avg', round((p0 * s0 + p1 * s1) / (s0 + s1), 6),
+                round((r0 * s0 + r1 * s1) / (s0 + s1), 6),
+                round((f0 * s0 + f1 * s1) / (s0 + s1), 6), s0 + s1 from m""",
+)
+def class_report(t: Tables):
+    return rounded(model.class_report(t.given("labels"), "quality", "toxic"))
+
+
+@query("ml11_coefficients")
+def coefficients(t: Tables):
+    fit, test = fitted(t)
+    return model.coefficients(fit, test, NUMERIC)
+
+
+@query("ml12_scored_visits")
+def scored_visits(t: Tables):
+    fit, test = fitted(t)
+    return model.score_and_band(fit, test)
+
+
+@query("ml13_model_band_summary")
+def model_band_summary(t: Tables):
+    """Summary per risk band of the fitted model's scores."""
+    fit, test = fitted(t)
+    scored = model.score_and_band(fit, test).withColumn("actual_delayed", F.col(TARGET))
+    return kpi.band_summary(scored)
+
+
+@query(
+    "ml13_band_summary",
+    "with " + SCORED_SQL
+    + """select risk_band, count(*) as visits, round(avg(actual_delayed), 6) as actual_delay_rate,
+               round(avg(delay_probability), 6) as avg_predicted_probability
+         from scored where actual_delayed is not null group by risk_band""",
+)
+def band_summary(t: Tables):
+    return rounded(kpi.band_summary(scored_lines(t).dropna(subset=["actual_delayed"])))
