@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,9 +69,9 @@ def dim_dealers(dealers: DataFrame) -> DataFrame:
     return dealers.select("dealer_id", "dealer_name", "region")
 
 
-def summary_marts(customers: DataFrame, experiment: DataFrame) -> Mapping[str, DataFrame]:
-    """Summary per segment and per experiment group."""
-    return {
-        "segment_summary": cluster_profile(customers, "segment_name"),
-        "experiment_summary": group_summary(experiment),
-    }
+def segment_summary(customers: DataFrame) -> DataFrame:
+    return cluster_profile(customers, "segment_name")
+
+
+def experiment_summary(experiment: DataFrame) -> DataFrame:
+    return group_summary(experiment)

@@ -2,34 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def load_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header; an empty field is missing, a field that does not parse too."""
     return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
     )
 
 
-def register_csv(
-    spark: SparkSession, name: str, path: str, schema: StructType | str
-) -> DataFrame:
+def register_csv(spark: SparkSession, name: str, path: str, schema: str) -> DataFrame:
     """CSV as a named view, without the rows that do not fit the schema.
 
-    Column pruning is off for this scan: otherwise a row that is bad only in a column
-    the query does not read would come back.
+    The reader alone checks only the columns a query selects, so a row that is bad in
+    another column would come back. Here the fields are read as text, and a row is kept if
+    every present field casts to its type; that test reads all columns in every query.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "DROPMALFORMED")
-        .option("columnPruning", False)
-        .csv(path)
+    wanted = StructType.fromDDL(schema)
+    text = StructType([StructField(f.name, StringType()) for f in wanted.fields])
+    raw = spark.read.schema(text).option("header", True).option("mode", "DROPMALFORMED").csv(path)
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in wanted.fields}
+    fits = [F.col(c).isNull() | cast.isNotNull() for c, cast in casts.items()]
+    df = raw.filter(reduce(lambda a, b: a & b, fits)).select(
+        *[cast.alias(c) for c, cast in casts.items()]
     )
     df.createOrReplaceTempView(name)
     return df

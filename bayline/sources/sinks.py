@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame
 from bayline.session import scratch_dir
 
 
+# the default pattern of the CSV writer would cut the microseconds
+CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
 def write_result(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> str:
@@ -17,7 +21,9 @@ def write_result(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(
+            header=True, timestampFormat=CSV_TIMESTAMP, timestampNTZFormat=CSV_TIMESTAMP
+        ).csv(path)
     else:
         writer.format(fmt).save(path)
     return path
