@@ -9,6 +9,8 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +73,8 @@ def _best_model(vectors: DataFrame, k: int, restarts: int):
         return means.fit(vectors)
 
     with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
-        fits = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(SEED, SEED + restarts))
+        run = inheritable_thread_target(vectors.sparkSession)(fit)
+        fits = pool.map(run, range(SEED, SEED + restarts))
     return min(fits, key=lambda model: model.summary.trainingCost)
 
 
@@ -116,20 +119,15 @@ def silhouette(df: DataFrame, vector: str, label: str) -> DataFrame:
     ).dropna()
     norm = F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)
     rows = rows.withColumn("_norm", norm)
-    sums = (
-        rows.select("_label", F.posexplode("_x").alias("_i", "_v"))
-        .groupBy("_label", "_i")
-        .agg(F.sum("_v").alias("_s"))
-        .groupBy("_label")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_s"))), lambda e: e["_s"]).alias("sum"))
-    )
-    sizes = rows.groupBy("_label").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_norm").alias("norms")
-    )
     # one entry per cluster: labels are few, like the k of a clustering
     clusters = (
-        sums.join(sizes, "_label")
-        .agg(F.collect_list(F.struct(F.col("_label").alias("label"), "n", "norms", "sum")))
+        rows.groupBy(F.col("_label").alias("label"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("_norm").alias("norms"),
+            vector_to_array(Summarizer.sum(array_to_vector("_x"))).alias("sum"),
+        )
+        .agg(F.collect_list(F.struct("label", "n", "norms", "sum")))
         .scalar()
     )
 

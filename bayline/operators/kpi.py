@@ -64,7 +64,9 @@ def distribution(df: DataFrame, col: str, domain: Sequence[str]) -> DataFrame:
     """Rows and percent of all rows for each listed category, also the empty ones."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("visits"))
     total = counts.agg(F.sum("visits")).scalar()
-    wanted = df.sparkSession.createDataFrame([(label,) for label in domain], f"{col} string")
+    wanted = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(label) for label in domain])).alias(col)
+    )
     visits = F.coalesce("visits", F.lit(0))
     return wanted.join(counts, col, "left").select(
         col,

@@ -20,15 +20,8 @@ DUPLICATE = ("Duplicate Primary Key", "Remove duplicate records after investigat
 ORPHAN = ("Invalid Foreign Key", "Remove or correct orphan records")
 HIGH, MEDIUM = "High", "Medium"
 
-ISSUE_COLUMNS = (
-    "table",
-    "column",
-    "issue_type",
-    "affected_rows",
-    "severity",
-    "recommended_action",
-)
-
+# groups of the report, in the order in which the rules are checked
+MISSING_GROUP, DUPLICATE_GROUP, FK_GROUP, RULE_GROUP = 1, 2, 3, 4
 
 @dataclass(frozen=True)
 class Rule:
@@ -93,14 +86,23 @@ def missing_counts(df: DataFrame) -> list[Column]:
     return [F.count_if(F.col(c).isNull()).alias(f"missing_{i}") for i, c in enumerate(df.columns)]
 
 
-def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per column: type, rows, missing count and percent, distinct values."""
-    return union_all([_profile_one(name, df) for name, df in tables.items()])
+def profile(tables: Mapping[str, DataFrame], approx_rsd: float | None = None) -> DataFrame:
+    """One row per column: type, rows, missing count and percent, distinct values.
+
+    With ``approx_rsd`` fixed-size sketches count the distinct values, in one pass
+    and without a shuffle of the values themselves.
+    """
+    return union_all([_profile_one(name, df, approx_rsd) for name, df in tables.items()])
 
 
-def _profile_one(name: str, df: DataFrame) -> DataFrame:
+def _profile_one(name: str, df: DataFrame, approx_rsd: float | None) -> DataFrame:
     distinct = [
-        F.count_distinct(F.col(c)).alias(f"unique_{i}") for i, c in enumerate(df.columns)
+        (
+            F.count_distinct(F.col(c))
+            if approx_rsd is None
+            else F.approx_count_distinct(F.col(c), approx_rsd)
+        ).alias(f"unique_{i}")
+        for i, c in enumerate(df.columns)
     ]
     counted = df.agg(F.count(F.lit(1)).alias("row_count"), *missing_counts(df), *distinct)
     rows = F.array(
@@ -161,31 +163,55 @@ def _issue(counted: DataFrame, table, column, issue_type, severity, action) -> D
     )
 
 
-def rule_issues(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Issue rows of all row rules, one scan per table."""
-    frames = []
-    for table in dict.fromkeys(rule.table for rule in rules):
-        mine = [rule for rule in rules if rule.table == table]
-        counted = tables[table].agg(
-            *[F.count_if(F.expr(rule.broken)).alias(f"n_{i}") for i, rule in enumerate(mine)]
+def _checks(
+    df: DataFrame, table: str, rules: Sequence[Rule], missing: bool, high: float
+) -> DataFrame:
+    """Issue rows of one table from one scan: its row rules and, if wanted, missing values."""
+    mine = [rule for rule in rules if rule.table == table]
+    counts = [F.count_if(F.expr(rule.broken)).alias(f"rule_{i}") for i, rule in enumerate(mine)]
+    columns = df.columns if missing else []
+    if missing:
+        counts += [F.count(F.lit(1)).alias("row_count"), *missing_counts(df)]
+
+    def issue(group: int, column: str, n: Column, kind: str, severity: Column, action: str, always):
+        return F.struct(
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
+            F.lit(kind).alias("issue_type"),
+            n.alias("affected_rows"),
+            severity.alias("severity"),
+            F.lit(action).alias("recommended_action"),
+            F.lit(group).alias("rule_group"),
+            F.lit(always).alias("_always"),
         )
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(rule.table).alias("table"),
-                    F.lit(rule.column).alias("column"),
-                    F.lit(rule.issue_type).alias("issue_type"),
-                    F.col(f"n_{i}").alias("affected_rows"),
-                    F.lit(rule.severity).alias("severity"),
-                    F.lit(rule.action).alias("recommended_action"),
-                    F.lit(rule.always).alias("_always"),
-                )
-                for i, rule in enumerate(mine)
-            ]
+
+    rows = []
+    for i, column in enumerate(columns):
+        n = F.col(f"missing_{i}")
+        severity = flag_label(F.try_divide(n, F.col("row_count")) > high, HIGH, MEDIUM)
+        rows.append(issue(MISSING_GROUP, column, n, MISSING[0], severity, MISSING[1], False))
+    for i, rule in enumerate(mine):
+        rows.append(
+            issue(
+                RULE_GROUP,
+                rule.column,
+                F.col(f"rule_{i}"),
+                rule.issue_type,
+                F.lit(rule.severity),
+                rule.action,
+                rule.always,
+            )
         )
-        frames.append(counted.select(F.inline(rows)))
-    kept = union_all(frames).filter((F.col("affected_rows") > 0) | F.col("_always"))
-    return kept.drop("_always")
+    found = df.agg(*counts).select(F.inline(F.array(*rows)))
+    return found.filter((F.col("affected_rows") > 0) | F.col("_always")).drop("_always")
+
+
+def rule_issues(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """Issue rows of all row rules, one scan per table."""
+    names = dict.fromkeys(rule.table for rule in rules)
+    return union_all(
+        [_checks(tables[name], name, rules, missing=False, high=0.0) for name in names]
+    ).drop("rule_group")
 
 
 def relationship_counts(
@@ -273,36 +299,14 @@ def quality_report(
     relationships: Sequence[tuple[str, str, str, str]],
     high: float = 0.05,
 ) -> DataFrame:
-    """All issues in one table, with the ordinal of the rule group they come from."""
-    groups = [
-        _missing_report(tables, high),
-        duplicate_keys(tables, pks),
-        fk_issues(tables, relationships),
-        rule_issues(tables, rules),
-    ]
-    return union_all(
-        [g.withColumn("rule_group", F.lit(i)) for i, g in enumerate(groups, start=1)]
-    )
-
+    """All issues in one table, with the ordinal of the rule group they come from.
 
-def _missing_report(tables: Mapping[str, DataFrame], high: float) -> DataFrame:
-    """Missing-value issues from one scan per table, without distinct counts."""
-    frames = []
-    for name, df in tables.items():
-        counted = df.agg(F.count(F.lit(1)).alias("row_count"), *missing_counts(df))
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("table"),
-                    F.lit(c).alias("column"),
-                    F.col("row_count"),
-                    F.col(f"missing_{i}").alias("missing_count"),
-                )
-                for i, c in enumerate(df.columns)
-            ]
-        )
-        frames.append(counted.select(F.inline(rows)))
-    return missing_issues(union_all(frames), high)
+    Missing values and row rules of a table share one scan.
+    """
+    keys = duplicate_keys(tables, pks).withColumn("rule_group", F.lit(DUPLICATE_GROUP))
+    parents = fk_issues(tables, relationships).withColumn("rule_group", F.lit(FK_GROUP))
+    rows = [_checks(df, name, rules, missing=True, high=high) for name, df in tables.items()]
+    return union_all([*rows, keys, parents])
 
 
 def failed_relationships(report: DataFrame, min_pct: float = 100.0) -> DataFrame:

@@ -101,6 +101,10 @@ def quantiles(
         .filter(F.size("_wanted") > 0)
         .select(*keys, "_bucket", "_before", "_wanted")
     )
+    # at most two buckets per metric, probability and group: without groups, or with boolean
+    # ones, that is a fixed number of rows, and the counts need no second shuffle
+    if all(df.schema[c].dataType.typeName() == "boolean" for c in by):
+        targets = F.broadcast(targets)
     inside = Window.partitionBy(*keys, "_bucket").orderBy("value")
     end = F.col("_before") + F.sum("_n").over(inside)
     hits = (

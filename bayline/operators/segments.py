@@ -93,7 +93,10 @@ def rule_segments(customers: DataFrame) -> DataFrame:
 
 def mapping_table(df: DataFrame, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
     """A literal mapping as a table."""
-    return df.sparkSession.createDataFrame(list(mapping.items()), f"{key} string, {value} string")
+    rows = F.array(
+        *[F.struct(F.lit(k).alias(key), F.lit(v).alias(value)) for k, v in mapping.items()]
+    )
+    return df.sparkSession.range(1).select(F.inline(rows))
 
 
 def segment_report(

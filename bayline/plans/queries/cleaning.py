@@ -56,7 +56,7 @@ def appointments(t: Tables):
     with_roles("clean_visits")
     + """select visit_id, appointment_id, dealer_id, service_start_time, completion_time,
                promised_completion, round(actual_duration_hours, 6) as actual_duration_hours,
-               round(delay_hours, 6) as delay_hours, delay_flag from clean_visits""",
+               round(delay_hours, 6) + 0.0 as delay_hours, delay_flag from clean_visits""",
 )
 def visits(t: Tables):
     return rounded(cleaning.clean_visits(t.visits, t.clean_appointments)).select(

@@ -19,7 +19,7 @@ _BASE_COLUMNS = (
     "fea1_visit_base",
     with_roles("base", "visit_parts")
     + f"""select {_BASE_COLUMNS.replace('visit_id', 'b.visit_id', 1)},
-               round(delay_hours, 6) as delay_hours, p.max_parts_delay_days,
+               round(delay_hours, 6) + 0.0 as delay_hours, p.max_parts_delay_days,
                coalesce(p.parts_delayed, false) as parts_delayed
          from base b left join visit_parts p on b.visit_id = p.visit_id""",
 )
@@ -97,7 +97,7 @@ def recency(t: Tables):
     with_roles("imputed_v1")
     + """select customer_id, total_visits, round(avg_csat, 6) as avg_csat,
                round(complaint_rate, 6) as complaint_rate,
-               round(avg_delay_hours, 6) as avg_delay_hours,
+               round(avg_delay_hours, 6) + 0.0 as avg_delay_hours,
                round(avg_service_duration, 6) as avg_service_duration
          from imputed_v1""",
 )
@@ -118,7 +118,7 @@ def imputed_v1(t: Tables):
     with_roles("imputed_v2")
     + """select customer_id, visit_count::double as visit_count,
                unique_vehicles::double as unique_vehicles,
-               round(avg_delay_hours, 6) as avg_delay_hours, round(delay_rate, 6) as delay_rate,
+               round(avg_delay_hours, 6) + 0.0 as avg_delay_hours, round(delay_rate, 6) as delay_rate,
                round(avg_csat, 6) as avg_csat, round(complaint_rate, 6) as complaint_rate,
                service_type_count::double as service_type_count, recency_days
          from imputed_v2""",

@@ -119,7 +119,7 @@ def numbered_results(t: Tables):
 
 @query(
     "snk3_write_marts",
-    FACT_SQL + "select * replace (round(delay_hours, 6) as delay_hours) from fact",
+    FACT_SQL + "select * replace (round(delay_hours, 6) + 0.0 as delay_hours) from fact",
 )
 def write_star(t: Tables):
     """The fact partitioned by month next to a dimension, read back whole."""

@@ -34,7 +34,7 @@ def overall_summary(t: Tables):
 
 
 _SCORECARD = """select {key}, count(*) as visits, round(avg(delayed::int), 6) as delay_rate,
-               round(avg(delay_hours), 6) as avg_delay_hours, round(avg(csat_score), 6) as avg_csat,
+               round(avg(delay_hours), 6) + 0.0 as avg_delay_hours, round(avg(csat_score), 6) as avg_csat,
                round(avg(complaint_flag), 6) as complaint_rate
          from base group by {key}"""
 
@@ -78,7 +78,7 @@ def complaints_by_delay(t: Tables):
     "agg6_parts_delay_comparison",
     with_roles("base", "visit_parts")
     + """select coalesce(p.parts_delayed, false) as parts_delayed, count(b.delay_hours) as visits,
-               round(avg(b.delay_hours), 6) as average, round(median(b.delay_hours), 6) as median
+               round(avg(b.delay_hours), 6) + 0.0 as average, round(median(b.delay_hours), 6) as median
          from base b left join visit_parts p on b.visit_id = p.visit_id
          group by 1""",
 )
@@ -104,7 +104,7 @@ def max_to_parent(t: Tables):
 @query(
     "agg8_customer_rollup_v1",
     with_roles("features_v1")
-    + """select customer_id, total_visits, round(avg_delay_hours, 6) as avg_delay_hours,
+    + """select customer_id, total_visits, round(avg_delay_hours, 6) + 0.0 as avg_delay_hours,
                round(delay_rate, 6) as delay_rate, round(avg_csat, 6) as avg_csat,
                round(complaint_rate, 6) as complaint_rate, total_complaints,
                round(avg_service_duration, 6) as avg_service_duration
@@ -118,7 +118,7 @@ def customer_rollup_v1(t: Tables):
     "agg9_customer_rollup_v2",
     with_roles("features_v2")
     + """select customer_id, visit_count, unique_vehicles,
-               round(avg_delay_hours, 6) as avg_delay_hours, round(delay_rate, 6) as delay_rate,
+               round(avg_delay_hours, 6) + 0.0 as avg_delay_hours, round(delay_rate, 6) as delay_rate,
                round(avg_csat, 6) as avg_csat, round(complaint_rate, 6) as complaint_rate,
                round(avg_service_duration, 6) as avg_service_duration, service_type_count,
                last_visit_date
@@ -132,7 +132,7 @@ def customer_rollup_v2(t: Tables):
     "agg10_segment_profile",
     with_roles("rule_segments")
     + """select segment, count(*) as customers, round(avg(total_visits), 6) as avg_visits,
-               round(avg(avg_delay_hours), 6) as avg_delay_hours,
+               round(avg(avg_delay_hours), 6) + 0.0 as avg_delay_hours,
                round(avg(delay_rate), 6) as delay_rate, round(avg(avg_csat), 6) as avg_csat,
                round(avg(complaint_rate), 6) as complaint_rate,
                round(count(*) / sum(count(*)) over (), 6) as customer_share
@@ -158,7 +158,7 @@ _CLUSTER_PROFILE = """select (customer_id % 4)::int as cluster_id, count(*) as c
     + f""", p as ({_CLUSTER_PROFILE})
          select cluster_id, customers, round(avg_visits, 6) as avg_visits,
                 round(avg_unique_vehicles, 6) as avg_unique_vehicles,
-                round(avg_delay_hours, 6) as avg_delay_hours, round(delay_rate, 6) as delay_rate,
+                round(avg_delay_hours, 6) + 0.0 as avg_delay_hours, round(delay_rate, 6) as delay_rate,
                 round(avg_csat, 6) as avg_csat, round(complaint_rate, 6) as complaint_rate,
                 round(avg_service_types, 6) as avg_service_types,
                 round(avg_recency_days, 6) as avg_recency_days,
@@ -347,7 +347,7 @@ def spread(t: Tables):
          select region, service_type, grouping_id(region, service_type)::bigint as grouping_level,
                 count(*) as total_visits, sum(delayed::int)::bigint as delayed_visits,
                 round(avg(delayed::int), 6) as delay_rate,
-                round(avg(delay_hours), 6) as avg_delay_hours, round(avg(csat_score), 6) as avg_csat,
+                round(avg(delay_hours), 6) + 0.0 as avg_delay_hours, round(avg(csat_score), 6) as avg_csat,
                 round(avg(complaint_flag), 6) as complaint_rate,
                 round(avg(first_time_fix_flag), 6) as first_time_fix_rate,
                 count(distinct customer_id) as unique_customers,

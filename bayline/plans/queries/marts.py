@@ -56,7 +56,7 @@ def fact_visits(t: Tables):
 
 @query(
     "mrt1_fact_visits",
-    FACT_SQL + "select * replace (round(delay_hours, 6) as delay_hours) from fact",
+    FACT_SQL + "select * replace (round(delay_hours, 6) + 0.0 as delay_hours) from fact",
 )
 def fact(t: Tables):
     return rounded(fact_visits(t))
@@ -108,7 +108,7 @@ def dim_dealers(t: Tables):
     LABELLED_SQL + """select segment_name, count(*) as customers,
         round(avg(visit_count), 6) as avg_visits,
         round(avg(unique_vehicles), 6) as avg_unique_vehicles,
-        round(avg(avg_delay_hours), 6) as avg_delay_hours, round(avg(delay_rate), 6) as delay_rate,
+        round(avg(avg_delay_hours), 6) + 0.0 as avg_delay_hours, round(avg(delay_rate), 6) as delay_rate,
         round(avg(avg_csat), 6) as avg_csat, round(avg(complaint_rate), 6) as complaint_rate,
         round(avg(service_type_count), 6) as avg_service_types,
         round(avg(recency_days), 6) as avg_recency_days,

@@ -12,7 +12,9 @@ from bayline.plans.registry import query, rounded
 from bayline.sources.sinks import stage
 
 NUMERIC = ("lead_time_days", "scheduled_duration_hours", "parts_delayed", "parts_delay_days")
-CATEGORICAL = ("dealer_id", "service_type")
+# one slot per level, so categories come from closed lists: the nation stands for the dealer,
+# because the number of suppliers grows with the data
+CATEGORICAL = ("dealer_nation", "service_type")
 TARGET = "delayed_visit"
 
 
@@ -23,6 +25,11 @@ def model_frame(t: Tables):
         F.col("parts_delayed").cast("int").alias("parts_delayed"),
         F.col("max_parts_delay_days").alias("parts_delay_days"),
     )
+    nations = (
+        t.given("supplier")
+        .join(t.given("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .select(F.col("s_suppkey").alias("dealer_id"), F.col("n_name").alias("dealer_nation"))
+    )
     visits = (
         t.visits.join(
             t.appointments.select("appointment_id", "booking_date", "service_type"),
@@ -30,9 +37,10 @@ def model_frame(t: Tables):
             "left",
         )
         .join(parts, "visit_id", "left")
+        .join(nations, "dealer_id", "left")
         .select(
             "visit_id",
-            F.col("dealer_id").cast("string").alias("dealer_id"),
+            "dealer_nation",
             "service_type",
             lead_time_days(F.col("booking_date"), F.col("check_in_time"))
             .cast("double")

@@ -39,7 +39,7 @@ _PROFILE_SQL = """profile as (
     with_roles("rule_segments") + "," + _PROFILE_SQL
     + f""", actions(segment, business_strategy) as (values {_text(segments.RULE_STRATEGIES)})
          select segment, customers, round(avg_visits, 6) as avg_visits,
-                round(avg_delay_hours, 6) as avg_delay_hours, round(delay_rate, 6) as delay_rate,
+                round(avg_delay_hours, 6) + 0.0 as avg_delay_hours, round(delay_rate, 6) as delay_rate,
                 round(avg_csat, 6) as avg_csat, round(complaint_rate, 6) as complaint_rate,
                 round(customer_share, 6) as customer_share, business_strategy
          from profile left join actions using (segment)""",
@@ -82,7 +82,7 @@ _SCALED = ("visit_count", "avg_delay_hours", "recency_days")
     with_roles("imputed_v2")
     + "select customer_id, "
     + ", ".join(
-        f"round(({c} - avg({c}) over ()) / stddev_pop({c}) over (), 6) as {c}" for c in _SCALED
+        f"round(({c} - avg({c}) over ()) / stddev_pop({c}) over (), 6) + 0.0 as {c}" for c in _SCALED
     )
     + ", 0.0::double as flat from imputed_v2",
 )
@@ -90,8 +90,7 @@ def standardize(t: Tables):
     """Three features and a constant column, whose deviation counts as 1."""
     columns = t.imputed_v2.select("customer_id", *_SCALED).withColumn("flat", F.lit(3.0))
     scaled = clustering.standardize(columns, [*_SCALED, "flat"])
-    # adding 0.0 turns a rounded negative zero into zero
-    return rounded(scaled).withColumns({c: F.col(c) + F.lit(0.0) for c in (*_SCALED, "flat")})
+    return rounded(scaled)
 
 
 @query("seg6_kmeans")

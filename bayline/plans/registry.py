@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bayline.plans.binding import Tables
 from bayline.session import tune
@@ -35,8 +36,11 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """All double columns rounded, so that two engines can be compared by value."""
-    from pyspark.sql import functions as F
+    """All double columns rounded, so that two engines can be compared by value.
 
+    Adding zero turns a negative zero into zero.
+    """
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.round(F.col(c), digits) for c in doubles}) if doubles else df
+    if not doubles:
+        return df
+    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in doubles})
