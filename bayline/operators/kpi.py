@@ -97,11 +97,22 @@ def frequency(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
 
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Counts for the full grid of the levels of two columns, long form."""
+    """Counts for the full grid of the levels of two columns, long form.
+
+    The cells of the table come together in one row, from which the empty ones are filled
+    in, so the data is read once. Both columns hold category levels.
+    """
     cells = df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    levels = cells.agg(F.sort_array(F.collect_set(b))).scalar()
-    grid = cells.select(a).distinct().select(a, F.explode(levels).alias(b))
-    return grid.join(cells, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
+    table = cells.agg(
+        F.collect_set(a).alias("_as"),
+        F.collect_set(b).alias("_bs"),
+        F.map_from_entries(
+            F.collect_list(F.struct(F.struct(F.col(a).alias("a"), F.col(b).alias("b")), "n"))
+        ).alias("_cells"),
+    )
+    grid = table.withColumn(a, F.explode("_as")).withColumn(b, F.explode("_bs"))
+    n = F.try_element_at("_cells", F.struct(F.col(a).alias("a"), F.col(b).alias("b")))
+    return grid.select(a, b, F.coalesce(n, F.lit(0)).alias("n"))
 
 
 def contingency_wide(df: DataFrame, a: str, b: str, domain: Sequence) -> DataFrame:

@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayline.functions.flags import is_true
 from bayline.functions.special import chi_square_sf, normal_two_sided
 from bayline.operators.kpi import contingency
 from bayline.operators.quantiles import median_of, quantiles_wide, rank_sums, scalar_row
+from bayline.sources.sinks import stage
 
 # fixed values: level of the tests, power and smallest effect of the sample size
 ALPHA = 0.05
@@ -38,12 +39,13 @@ def mann_whitney(
     """
     g = F.col(group)
     is_first = F.when(g == F.lit(first), F.lit(True)).when(g == F.lit(second), F.lit(False))
-    # ranks and medians both read this one table of counts
-    counts = (
+    # ranks and medians both read this one table of counts, so the rows are read once
+    counts = stage(
         df.select(is_first.alias("_first"), F.col(value).cast("double").alias("_value"))
         .dropna()
         .groupBy("_first", "_value")
-        .agg(F.count(F.lit(1)).alias("_count"))
+        .agg(F.count(F.lit(1)).alias("_count")),
+        "rank_counts",
     )
     sums = rank_sums(counts, F.col("_first"), F.col("_value"), weight="_count")
     by_group = median_of(counts, ["_value"], ["_first"], closed_domain, weight="_count")
@@ -95,33 +97,32 @@ def chi_square(df: DataFrame, a: str, b: str, yates: str | bool = "auto") -> Dat
 
 
 def chi_square_of(cells: DataFrame, a: str, b: str, yates: str | bool = "auto") -> DataFrame:
-    """The same from a full grid of counts (a, b, n)."""
-    rows = cells.groupBy(a).agg(F.sum("n").alias("_row"))
-    cols = cells.groupBy(b).agg(F.sum("n").alias("_col"))
-    dims = scalar_row(
-        cells.agg(
-            F.sum("n").cast("double").alias("n"),
-            F.count_distinct(a).alias("r"),
-            F.count_distinct(b).alias("c"),
-        )
+    """The same from a full grid of counts (a, b, n), a table of result size."""
+    everything = Window.partitionBy(F.lit(0))
+    margins = cells.select(
+        F.col("n").cast("double").alias("_n"),
+        F.sum("n").over(Window.partitionBy(a)).alias("_row"),
+        F.sum("n").over(Window.partitionBy(b)).alias("_col"),
+        F.sum("n").over(everything).alias("_total"),
+        (
+            (F.size(F.collect_set(a).over(everything)) - 1)
+            * (F.size(F.collect_set(b).over(everything)) - 1)
+        ).alias("_dof"),
+    )
+    dof = F.col("_dof")
+    expected = F.try_divide(
+        F.col("_row").cast("double") * F.col("_col"), F.col("_total").cast("double")
     )
-    dof = (F.col("_dims.r") - 1) * (F.col("_dims.c") - 1)
-    expected = F.col("_row") * F.col("_col") / F.col("_dims.n")
-    gap = F.abs(F.col("n") - expected)
+    gap = F.abs(F.col("_n") - expected)
     if yates == "auto":
         corrected = F.when(dof == 1, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
     else:
         corrected = gap - F.least(F.lit(0.5), gap) if yates else gap
     # a zero margin makes the whole statistic undefined, not just its cell
-    parts = (
-        cells.join(rows, a)
-        .join(cols, b)
-        .withColumn("_dims", dims)
-        .select(
-            F.try_divide(corrected * corrected, expected).alias("_part"),
-            (expected == 0).alias("_empty"),
-            dof.alias("_dof"),
-        )
+    parts = margins.select(
+        F.try_divide(corrected * corrected, expected).alias("_part"),
+        F.coalesce(expected == 0, F.lit(True)).alias("_empty"),
+        "_dof",
     )
     return (
         parts.agg(

@@ -30,11 +30,14 @@ from bayline.operators.features import (
     IMPUTE_V2,
     customer_rollup_v1,
     customer_rollup_v2,
+    delay_category,
+    delayed,
     impute_customers,
     parts_delay,
     recency,
     visit_base,
 )
+from bayline.operators.joins import attach_optional
 from bayline.sources.sinks import stage
 
 # schemas of the given tables: a declared schema saves the job that reads file footers
@@ -110,17 +113,26 @@ class Tables:
     @cached_property
     def first_lines(self) -> DataFrame:
         lines = self.given("lineitem").select(
-            "l_orderkey", *FIRST_LINE_ORDER, "l_quantity", "l_returnflag", "l_linestatus"
+            "l_orderkey",
+            *FIRST_LINE_ORDER,
+            "l_quantity",
+            "l_discount",
+            "l_returnflag",
+            "l_linestatus",
         )
         return keep_first(lines, "l_orderkey", FIRST_LINE_ORDER)
 
     @cached_property
     def visits(self) -> DataFrame:
-        part = self.given("part").select("p_partkey", "p_size")
-        lines = self.first_lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        start, quantity, size = F.col("l_shipdate"), F.col("l_quantity"), F.col("p_size")
-        delay = (2 * quantity - size) / F.lit(10.0)
-        return lines.select(
+        """The first line of each order as its visit.
+
+        Quantity stands for the duration in steps of 0.2 hours, discount for the scheduled
+        duration in steps of half an hour, the ship date for the day of the visit.
+        """
+        start, quantity = F.col("l_shipdate"), F.col("l_quantity")
+        half_hours = F.round(F.col("l_discount") * 100).cast("bigint")
+        delay = (2 * quantity - 5 * half_hours) / F.lit(10.0)
+        return self.first_lines.select(
             F.col("l_orderkey").alias("visit_id"),
             F.col("l_orderkey").alias("appointment_id"),
             F.col("l_partkey").alias("part_id"),
@@ -128,10 +140,10 @@ class Tables:
             start.alias("check_in_time"),
             start.alias("service_start_time"),
             add_time(start, hours=quantity / 5).alias("completion_time"),
-            add_time(start, hours=size / 10).alias("promised_completion"),
+            add_time(start, hours=half_hours / 2).alias("promised_completion"),
             F.col("l_linestatus").alias("visit_status"),
             (quantity / 5).alias("actual_duration_hours"),
-            (size / 10).alias("scheduled_duration_hours"),
+            (half_hours / 2).alias("scheduled_duration_hours"),
             delay.alias("delay_hours"),
             threshold_flag(delay, 0).alias("delay_flag"),
             (F.col("l_returnflag") != "R").cast("int").alias("first_time_fix_flag"),
@@ -315,6 +327,14 @@ class Tables:
         )
         return base.withColumn("vehicle_id", F.concat_ws("-", "customer_id", "part_id"))
 
+    @cached_property
+    def surveyed(self) -> DataFrame:
+        """Visits with their survey, for reports that need no appointment."""
+        delay = F.col("delay_hours")
+        return attach_optional(
+            self.visits, self.surveys, "visit_id", ["csat_score", "complaint_flag"]
+        ).withColumns({"delayed": delayed(delay), "delay_category": delay_category(delay)})
+
     @cached_property
     def rollup_v1(self) -> DataFrame:
         """Customer features, staged: thresholds, medians and rows all read them."""
@@ -368,13 +388,14 @@ _ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                   l_suppkey as dealer_id, l_shipdate as check_in_time,
                   l_shipdate as service_start_time,
                   l_shipdate + to_microseconds((l_quantity * 720000000)::bigint) as completion_time,
-                  l_shipdate + to_microseconds(p_size::bigint * 360000000) as promised_completion,
+                  l_shipdate + to_microseconds(round(l_discount * 100)::bigint * 1800000000)
+                    as promised_completion,
                   l_linestatus as visit_status, l_quantity / 5 as actual_duration_hours,
-                  p_size / 10 as scheduled_duration_hours,
-                  (2 * l_quantity - p_size) / 10 as delay_hours,
-                  (2 * l_quantity > p_size)::int as delay_flag,
+                  round(l_discount * 100) / 2 as scheduled_duration_hours,
+                  (2 * l_quantity - 5 * round(l_discount * 100)) / 10 as delay_hours,
+                  (2 * l_quantity > 5 * round(l_discount * 100))::int as delay_flag,
                   (l_returnflag <> 'R')::int as first_time_fix_flag
-           from first_lines left join part on l_partkey = p_partkey""",
+           from first_lines""",
     ),
     "appointments": (
         (),

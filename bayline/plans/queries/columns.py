@@ -225,7 +225,7 @@ def null_out(t: Tables):
     + "select visit_id, delayed, csat_score from base where csat_score is not null",
 )
 def drop_missing(t: Tables):
-    return t.base.select("visit_id", "delayed", "csat_score").dropna(subset=["csat_score", "delayed"])
+    return t.surveyed.select("visit_id", "delayed", "csat_score").dropna(subset=["csat_score", "delayed"])
 
 
 @query(
@@ -362,7 +362,7 @@ def abs_sqrt(t: Tables):
     + "select visit_id, coalesce(complaint_flag, 0) as complaint_flag from base",
 )
 def fill_constant(t: Tables):
-    return t.base.select(
+    return t.surveyed.select(
         "visit_id", scalars.fill(F.col("complaint_flag"), 0).alias("complaint_flag")
     )
 

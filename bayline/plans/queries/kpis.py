@@ -29,7 +29,7 @@ from bayline.sources.sinks import stage
          union all select 'Complaint Rate', round(complaints, 6) from one""",
 )
 def overall_summary(t: Tables):
-    measures = t.base.select("delay_hours", "delayed", "csat_score", "complaint_flag")
+    measures = t.surveyed.select("delay_hours", "delayed", "csat_score", "complaint_flag")
     return rounded(kpi.kpi_overall(stage(measures, "measures")))
 
 
@@ -41,7 +41,7 @@ _SCORECARD = """select {key}, count(*) as visits, round(avg(delayed::int), 6) as
 
 @query("agg2_dealer_scorecard", with_roles("base") + _SCORECARD.format(key="dealer_id"))
 def dealer_scorecard(t: Tables):
-    return rounded(kpi.kpi_scorecard(t.base, "dealer_id"))
+    return rounded(kpi.kpi_scorecard(t.surveyed, "dealer_id"))
 
 
 @query("agg3_service_type_scorecard", with_roles("base") + _SCORECARD.format(key="service_type"))
@@ -61,7 +61,8 @@ def service_type_scorecard(t: Tables):
 )
 def delay_distribution(t: Tables):
     domain = [*features.DELAY_CATEGORIES, "Never"]
-    return rounded(kpi.distribution(t.base, "delay_category", domain))
+    category = features.delay_category(F.col("delay_hours")).alias("delay_category")
+    return rounded(kpi.distribution(t.visits.select(category), "delay_category", domain))
 
 
 @query(
@@ -71,7 +72,7 @@ def delay_distribution(t: Tables):
          from base group by delayed""",
 )
 def complaints_by_delay(t: Tables):
-    return rounded(kpi.rate_by(t.base, "delayed", "complaint_flag"))
+    return rounded(kpi.rate_by(t.surveyed, "delayed", "complaint_flag"))
 
 
 @query(

@@ -68,7 +68,7 @@ def _tested(df):
 )
 def csat_by_delay(t: Tables):
     """Satisfaction of on-time against delayed visits."""
-    visits = t.base.select("delayed", "csat_score")
+    visits = t.surveyed.select("delayed", "csat_score")
     return _tested(
         stats.mann_whitney(visits, "delayed", "csat_score", False, True, closed_domain=True)
     )
@@ -124,7 +124,7 @@ chi as (select any_value(dof) as dof,
                 {erfc_sql('sqrt(x / 2)')} < 0.05 as significant_at_0_05 from chi""",
 )
 def complaints_by_delay(t: Tables):
-    test = stats.chi_square(t.base, "delayed", "complaint_flag")
+    test = stats.chi_square(t.surveyed, "delayed", "complaint_flag")
     return test.withColumns(
         {"chi_square": F.round("chi_square", 6), "p_value": F.round("p_value", 9)}
     )
@@ -286,7 +286,7 @@ _BOX_SQL = """quart as (select {g} as g, quantile_cont({v}, 0.25) as q1, median(
     with_roles("base") + ", " + _BOX_SQL.format(g="delayed", v="csat_score", s="base"),
 )
 def csat_box(t: Tables):
-    visits = t.base.select("delayed", "csat_score")
+    visits = t.surveyed.select("delayed", "csat_score")
     return stats.box_stats(visits, "delayed", "csat_score", closed_domain=True)
 
 
