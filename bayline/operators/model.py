@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,16 +108,56 @@ def one_hot(cols: Sequence[str]) -> list:
     ]
 
 
-def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Stages that scale the numeric block and append the encoded categories."""
+def _sql_number(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
+
+
+def _sql_text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def column_transformer(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
+) -> SQLTransformer:
+    """Impute and scale numeric columns and impute categories, with values of the training rows.
+
+    Medians, modes, means and population deviations come to the driver as one number per
+    column and become literals of the stage, so the fitted pipeline holds all it needs.
+    """
+    medians = median_imputer(train, numeric).first()
+    modes = {row["column"]: row["value"] for row in mode_imputer(train, categorical).collect()}
+    filled = {
+        c: f"coalesce(CAST(`{c}` AS DOUBLE), {_sql_number(medians and medians[c])})"
+        for c in numeric
+    }
+    moments = train.agg(
+        *[F.avg(F.expr(sql)).alias(f"mean_{c}") for c, sql in filled.items()],
+        *[F.stddev_pop(F.expr(sql)).alias(f"sd_{c}") for c, sql in filled.items()],
+    ).first()
+    columns = [
+        f"({sql} - {_sql_number(moments[f'mean_{c}'])}) / "
+        f"{_sql_number(moments[f'sd_{c}'] or 1.0)} AS `{c}_scaled`"
+        for c, sql in filled.items()
+    ]
+    columns += [
+        f"coalesce(CAST(`{c}` AS STRING), {_sql_text(modes.get(c))}) AS `{c}_filled`"
+        for c in categorical
+    ]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+
+def feature_pipeline(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
+) -> list:
+    """Stages from raw columns to one vector: numeric block first, then the encoded levels."""
+    filled = [f"{c}_filled" for c in categorical]
     return [
-        VectorAssembler(inputCols=list(numeric), outputCol="numeric_raw"),
-        StandardScaler(
-            inputCol="numeric_raw", outputCol="numeric_scaled", withMean=True, withStd=True
-        ),
-        *one_hot(categorical),
+        column_transformer(train, numeric, categorical),
+        *one_hot(filled),
         VectorAssembler(
-            inputCols=["numeric_scaled", *[f"{c}_vec" for c in categorical]],
+            inputCols=[*[f"{c}_scaled" for c in numeric], *[f"{c}_vec" for c in filled]],
             outputCol="features",
         ),
     ]
@@ -146,7 +186,7 @@ def fit_logit(
     weighted = balanced_weights(train, label).persist(StorageLevel.MEMORY_AND_DISK)
     n = weighted.count()
     stages = [
-        *feature_pipeline(numeric, categorical),
+        *feature_pipeline(weighted, numeric, categorical),
         LogisticRegression(
             labelCol=label,
             weightCol="weight",
@@ -186,8 +226,11 @@ def coefficients(model: PipelineModel, df: DataFrame, numeric: Sequence[str]) ->
     names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
     rows = []
     for i, value in enumerate(logit.coefficients.toArray()):
-        name = f"numeric__{numeric[i]}" if i < len(numeric) else f"categorical__{names[i]}"
-        rows.append((name.replace("_vec_", "_"), float(value), abs(float(value))))
+        if i < len(numeric):
+            name = f"numeric__{numeric[i]}"
+        else:
+            name = "categorical__" + names[i].replace("_filled_vec_", "_")
+        rows.append((name, float(value), abs(float(value))))
     table = df.sparkSession.createDataFrame(
         rows, "feature string, coefficient double, absolute_coefficient double"
     )

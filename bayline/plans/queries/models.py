@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bayline.operators import kpi, model
@@ -57,10 +59,8 @@ def model_frame(t: Tables):
 def fitted(t: Tables):
     """The fitted model and the test rows."""
     frame = model_frame(t)
-    train = frame.filter(~F.col("is_test"))
-    filled = model.impute(frame, train, NUMERIC, CATEGORICAL)
-    fit = model.fit_logit(filled.filter(~F.col("is_test")), TARGET, NUMERIC, CATEGORICAL)
-    return fit, filled.filter("is_test").drop("is_test")
+    fit = model.fit_logit(frame.filter(~F.col("is_test")), TARGET, NUMERIC, CATEGORICAL)
+    return fit, frame.filter("is_test").drop("is_test")
 
 
 _GAPS_SQL = """gaps as (select o_orderkey, case when o_orderstatus <> 'P' then o_totalprice end as price,
@@ -116,12 +116,18 @@ def imputed(t: Tables):
     return rounded(model.impute(gaps, gaps.filter(~F.col("is_test")), ["price"], ["priority"]))
 
 
-@query("ml3_one_hot")
+@query(
+    "ml3_one_hot",
+    """with levels as (select o_orderpriority, row_number() over (order by o_orderpriority) - 1 as slot
+                    from (select distinct o_orderpriority from orders
+                          where o_orderpriority <> '5-LOW'))
+       select o.o_orderpriority, s.slot::int as slot,
+              sum((l.slot is not null and l.slot = s.slot)::int)::double as total
+       from orders o left join levels l using (o_orderpriority), levels s
+       group by o.o_orderpriority, s.slot""",
+)
 def one_hot(t: Tables):
     """Levels of the training rows encoded; a level that only the test rows have is all zero."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
-
     orders = t.given("orders").select("o_orderkey", "o_orderpriority")
     train = orders.filter(F.col("o_orderpriority") != "5-LOW")
     fit = Pipeline(stages=model.one_hot(["o_orderpriority"])).fit(train)
@@ -146,28 +152,53 @@ def stratified_split(t: Tables):
     return model.stratified_split(orders, "o_orderkey", "o_orderstatus")
 
 
-@query("ml5_feature_pipeline")
-def feature_pipeline(t: Tables):
-    """Size and block norms of the assembled feature vector."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
+FRAME_SQL = with_roles("visits", "appointments", "visit_parts") + """, frame as (
+  select v.visit_id, n.n_name as dealer_nation, a.service_type,
+         floor(date_diff('microsecond', a.booking_date, v.check_in_time) / 8.64e10)::double
+           as lead_time_days,
+         v.scheduled_duration_hours,
+         coalesce(p.parts_delayed::int, 0)::double as parts_delayed,
+         coalesce(p.max_parts_delay_days, 0)::double as parts_delay_days,
+         (v.delay_hours > 0)::int as delayed_visit,
+         ('0x' || substr(md5('split:' || v.visit_id), 1, 8))::ubigint / 4294967296.0 < 0.2
+           as is_test
+  from visits v left join appointments a using (appointment_id)
+  left join visit_parts p on p.visit_id = v.visit_id
+  left join supplier on s_suppkey = v.dealer_id left join nation n on n_nationkey = s_nationkey)
+"""
 
+
+@query(
+    "ml5_feature_pipeline",
+    FRAME_SQL
+    + """, train as (select * from frame where not is_test),
+         fit as (select avg(lead_time_days) as m, stddev_pop(lead_time_days) as sd,
+                        avg(scheduled_duration_hours) as m2,
+                        stddev_pop(scheduled_duration_hours) as sd2,
+                        count(distinct dealer_nation) + count(distinct service_type) as levels
+                 from train)
+         select is_test, count(*) as rows, (4 + any_value(levels))::int as width,
+                2.0::double as max_hot_levels,
+                round(avg((lead_time_days - m) / sd), 6) + 0.0 as mean_lead_time,
+                round(stddev_samp((scheduled_duration_hours - m2) / sd2), 6) as sd_scheduled
+         from frame, fit group by is_test""",
+)
+def feature_pipeline(t: Tables):
+    """Width of the assembled vector, its encoded levels and two scaled columns."""
     frame = model_frame(t)
     train = frame.filter(~F.col("is_test"))
-    filled = model.impute(frame, train, NUMERIC, CATEGORICAL)
-    stages = model.feature_pipeline(NUMERIC, CATEGORICAL)
-    fit = Pipeline(stages=stages).fit(filled.filter(~F.col("is_test")))
+    fit = Pipeline(stages=model.feature_pipeline(train, NUMERIC, CATEGORICAL)).fit(train)
     vector = vector_to_array("features")
     levels = F.slice(vector, len(NUMERIC) + 1, F.size(vector))
-    return (
-        fit.transform(filled)
-        .select("is_test", vector.alias("v"), F.aggregate(levels, F.lit(0.0), lambda a, x: a + x).alias("hot"))
-        .groupBy("is_test")
-        .agg(
+    hot = F.aggregate(levels, F.lit(0.0), lambda total, x: total + x)
+    rows = fit.transform(frame).select("is_test", vector.alias("v"), hot.alias("hot"))
+    return rounded(
+        rows.groupBy("is_test").agg(
             F.count(F.lit(1)).alias("rows"),
             F.max(F.size("v")).alias("width"),
             F.max("hot").alias("max_hot_levels"),
-            F.round(F.avg(F.col("v")[0]), 6).alias("mean_first_feature"),
+            F.avg(F.col("v")[0]).alias("mean_lead_time"),
+            F.stddev_samp(F.col("v")[1]).alias("sd_scheduled"),
         )
     )
 
