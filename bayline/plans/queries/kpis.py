@@ -347,16 +347,16 @@ def spread(t: Tables):
     + """, fact as (select base.*, d.region from base left join dealers d using (dealer_id))
          select region, service_type, grouping_id(region, service_type)::bigint as grouping_level,
                 count(*) as total_visits, sum(delayed::int)::bigint as delayed_visits,
-                round(avg(delayed::int), 6) as delay_rate,
-                round(avg(delay_hours), 6) + 0.0 as avg_delay_hours, round(avg(csat_score), 6) as avg_csat,
-                round(avg(complaint_flag), 6) as complaint_rate,
-                round(avg(first_time_fix_flag), 6) as first_time_fix_rate,
+                round(avg(delayed::int), 8) as delay_rate,
+                round(avg(delay_hours), 8) + 0.0 as avg_delay_hours, round(avg(csat_score), 8) as avg_csat,
+                round(avg(complaint_flag), 8) as complaint_rate,
+                round(avg(first_time_fix_flag), 8) as first_time_fix_rate,
                 count(distinct customer_id) as unique_customers,
-                round(count(*) / count(distinct customer_id), 6) as visits_per_customer,
+                round(count(*) / count(distinct customer_id), 8) as visits_per_customer,
                 sum((delay_hours >= 4)::int)::bigint as severe_delays
          from fact group by cube (region, service_type)""",
 )
 def kpi_cube(t: Tables):
     dealers = t.dealers.select("dealer_id", "region")
     fact = marts.business_flags(t.base.join(dealers, "dealer_id", "left"))
-    return rounded(kpi.kpi_cube(fact, ["region", "service_type"]))
+    return rounded(kpi.kpi_cube(fact, ["region", "service_type"]), 8)
