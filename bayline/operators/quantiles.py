@@ -1,10 +1,9 @@
 """Exact quantiles, medians and mid-ranks that never gather a group in one task.
 
-Equal values are first collapsed to (value, count). A fixed monotone function then puts
-the distinct values into narrow buckets, so a group of any size is a set of buckets: their
-counts tell in which bucket a wanted position lies, and only those buckets are sorted.
-The bucket of a value does not depend on the data, so it is the same in every branch of
-a plan and in every retried task.
+Equal values are first collapsed to (value, count). The distinct values are then cut into
+ranges of about equal size by Spark's range partitioning, which samples the data, so neither
+a large group nor a dense stretch of values lands in one task. One row per range tells how many
+rows lie before it; only what a result needs is sorted within its range.
 """
 
 from __future__ import annotations
@@ -14,16 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# fixed values: values within about 0.1 % of each other share a bucket
-BUCKET_SCALE = 1000.0
-
-
-def value_bucket(x: Column) -> Column:
-    """Monotone bucket of a finite number: linear around zero, logarithmic further out."""
-    spread = F.log1p(F.abs(x) * F.lit(BUCKET_SCALE)) * F.lit(BUCKET_SCALE)
-    return F.floor(F.signum(x) * spread)
-
-
 def _long(
     df: DataFrame, cols: Sequence[str], by: Sequence[str], weight: str | None
 ) -> DataFrame:
@@ -77,16 +66,21 @@ def quantiles(
             .toDF(*keys, "p", "value")
         )
 
-    counts = (
-        long.groupBy(*keys, "value")
-        .agg(F.sum("_w").alias("_n"))
-        .withColumn("_bucket", value_bucket(F.col("value")))
+    counts = long.groupBy(*keys, "value").agg(F.sum("_w").alias("_n"))
+    ranges = (
+        counts.repartitionByRange(*keys, "value")
+        .withColumn("_range", F.spark_partition_id())
+        .groupBy(*keys, "_range")
+        .agg(
+            F.sum("_n").alias("_range_n"),
+            F.min("value").alias("_from"),
+            F.max("value").alias("_to"),
+        )
     )
-    totals = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_bucket_n"))
-    ordered = Window.partitionBy(*keys).orderBy("_bucket")
-    placed = totals.withColumn(
-        "_before", F.sum("_bucket_n").over(ordered) - F.col("_bucket_n")
-    ).withColumn("_total", F.sum("_bucket_n").over(Window.partitionBy(*keys)))
+    ordered = Window.partitionBy(*keys).orderBy("_range")
+    placed = ranges.withColumn(
+        "_before", F.sum("_range_n").over(ordered) - F.col("_range_n")
+    ).withColumn("_total", F.sum("_range_n").over(Window.partitionBy(*keys)))
     wanted = F.transform(
         F.array(*[F.lit(float(p)) for p in probs]),
         lambda p: F.struct(p.alias("p"), (p * (F.col("_total") - 1)).alias("position")),
@@ -94,21 +88,22 @@ def quantiles(
     here = F.filter(
         wanted,
         lambda w: (F.ceil(w["position"]) >= F.col("_before"))
-        & (F.floor(w["position"]) < F.col("_before") + F.col("_bucket_n")),
+        & (F.floor(w["position"]) < F.col("_before") + F.col("_range_n")),
     )
     targets = (
         placed.withColumn("_wanted", here)
         .filter(F.size("_wanted") > 0)
-        .select(*keys, "_bucket", "_before", "_wanted")
+        .select(*keys, "_from", "_to", "_before", "_wanted")
     )
-    # at most two buckets per metric, probability and group: without groups, or with boolean
-    # ones, that is a fixed number of rows, and the counts need no second shuffle
+    # at most two ranges per metric, probability and group: without groups, or with boolean
+    # ones, that is a fixed number of rows, and the counts need no further shuffle
     if all(df.schema[c].dataType.typeName() == "boolean" for c in by):
         targets = F.broadcast(targets)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("value")
+    inside = Window.partitionBy(*keys, "_from").orderBy("value")
     end = F.col("_before") + F.sum("_n").over(inside)
     hits = (
-        counts.join(targets, [*keys, "_bucket"])
+        counts.join(targets, keys)
+        .filter(F.col("value").between(F.col("_from"), F.col("_to")))
         .withColumn("_end", end)
         .withColumn("_w", F.explode("_wanted"))
         .select(
@@ -212,23 +207,25 @@ def rank_sums(
             F.sum("_w").alias("_n"),
             F.sum(F.when(F.col("_first"), F.col("_w")).otherwise(0)).alias("_n1"),
         )
-        .withColumn("_bucket", value_bucket(F.col("_value")))
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy("_value")
-    ranked = counts.withColumn("_before", F.sum("_n").over(inside) - F.col("_n"))
+    ranged = counts.repartitionByRange(*by, "_value").withColumn(
+        "_range", F.spark_partition_id()
+    )
+    inside = Window.partitionBy(*by, "_range").orderBy("_value")
+    ranked = ranged.withColumn("_before", F.sum("_n").over(inside) - F.col("_n"))
     n = F.col("_n").cast("double")
     n1 = F.col("_n1").cast("double")
-    buckets = ranked.groupBy(*by, "_bucket").agg(
+    ranges = ranked.groupBy(*by, "_range").agg(
         F.sum("_n").alias("_n"),
         F.sum("_n1").alias("_n1"),
         F.sum(n1 * (F.col("_before") + (n + F.lit(1.0)) / F.lit(2.0))).alias("_local"),
         F.sum(n * n * n - n).alias("_ties"),
     )
-    # one row per bucket from here on; the number of buckets does not grow with the data
-    below = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket")
+    # one row per range from here on, at most one per shuffle partition
+    below = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range")
     offset = (F.sum("_n").over(below) - F.col("_n")).cast("double")
     return (
-        buckets.withColumn("_rank", F.col("_local") + F.col("_n1") * offset)
+        ranges.withColumn("_rank", F.col("_local") + F.col("_n1") * offset)
         .groupBy(*by)
         .agg(
             F.sum("_n1").alias("n1"),

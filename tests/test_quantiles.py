@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bayline.operators.quantiles import fill_median, median_of, quantiles, rank_sums, value_bucket
+from bayline.operators.quantiles import fill_median, median_of, quantiles, rank_sums
 
 FEW = settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -51,12 +51,41 @@ def test_fill_median(spark):
     assert got == {1: 1.0, 2: 2.5, 3: 4.0}
 
 
-def test_buckets_keep_the_order(spark):
-    rng = np.random.default_rng(5)
-    xs = np.sort(rng.normal(size=4000) * 10.0 ** rng.integers(-9, 12, size=4000))
-    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "i int, x double")
-    got = [r[0] for r in df.select("i", value_bucket(F.col("x")).alias("b")).orderBy("i").select("b").collect()]
-    assert got == sorted(got) and len(set(got)) > 500
+@pytest.fixture
+def many_ranges(spark):
+    """Range partitions are not merged again, so that small data spans many of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_results_do_not_depend_on_the_ranges(spark, many_ranges):
+    # one group holds most rows, and most values crowd in two narrow bands
+    rng = np.random.default_rng(7)
+    bands = np.where(rng.random(4000) < 0.5, 1e9, 2e9) + np.round(rng.random(4000), 3)
+    rows = [("hot" if i % 10 else "cold", bool(i % 3), float(v)) for i, v in enumerate(bands)]
+    df = spark.createDataFrame(rows, "g string, f boolean, x double")
+    probs = [0.0, 0.1, 0.499, 0.5, 0.501, 0.99, 1.0]
+    got = quantiles(df, ["x"], probs, ["g"]).collect()
+    assert len(got) == 14
+    for g, _, p, value in got:
+        assert value == pytest.approx(np.quantile([r[2] for r in rows if r[0] == g], p), rel=1e-14)
+    by_flag = {r.f: r.x for r in median_of(df, ["x"], ["f"]).collect()}
+    for flag in (True, False):
+        assert by_flag[flag] == pytest.approx(np.median([r[2] for r in rows if r[1] == flag]))
+
+    order = np.argsort(bands, kind="stable")
+    ranks = np.empty(len(bands))
+    ranks[order] = np.arange(1, len(bands) + 1)
+    for v in np.unique(bands):
+        ranks[bands == v] = ranks[bands == v].mean()
+    first = np.array([r[1] for r in rows])
+    r = rank_sums(df, F.col("f"), F.col("x")).first()
+    assert (r.n1, r.n2) == (first.sum(), (~first).sum())
+    assert r.rank_sum == pytest.approx(ranks[first].sum(), rel=1e-12)
+    assert r.ties == sum(c**3 - c for c in np.unique(bands, return_counts=True)[1])
 
 
 def test_mid_ranks_with_ties(spark):
