@@ -67,8 +67,8 @@ def max_to_parent(child: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 def parts_delay(repairs: DataFrame, parts: DataFrame, from_flag: bool = False) -> DataFrame:
     """Worst parts delay per visit.
 
-    Parts are rolled up to their repair before the join, so neither side of the join
-    has more than one row per repair line and part group.
+    Parts are rolled up to their repair before the join, so the join multiplies no rows.
+    A repair listed twice changes no maximum.
     """
     days = days_between(F.col("part_order_date"), F.col("part_received_date"))
     late = F.col("parts_delay_flag") == 1 if from_flag else days > LATE_PARTS_DAYS
@@ -77,9 +77,8 @@ def parts_delay(repairs: DataFrame, parts: DataFrame, from_flag: bool = False) -
         "repair_id",
         ["max_parts_delay_days", "parts_delayed"],
     )
-    lines = repairs.select("repair_id", "visit_id").distinct()
     per_visit = max_to_parent(
-        attach_agg(lines, per_repair, "repair_id"),
+        attach_agg(repairs.select("repair_id", "visit_id"), per_repair, "repair_id"),
         "visit_id",
         ["max_parts_delay_days", "parts_delayed"],
     ).withColumn("parts_delayed", is_true(F.col("parts_delayed")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayline.operators.quantiles import median_of
+from bayline.sources.sinks import stage
 
 # fixed values: labels of the overall summary
 OVERALL_METRICS = (
@@ -81,9 +82,22 @@ def rate_by(df: DataFrame, by: str, col: str) -> DataFrame:
 
 
 def summary_by(df: DataFrame, by: str, col: str) -> DataFrame:
-    """Count, mean and exact median of a column per group."""
-    means = df.groupBy(by).agg(F.count(col).alias("visits"), F.avg(col).alias("average"))
-    medians = median_of(df, [col], [by]).withColumnRenamed(col, "median")
+    """Count, mean and exact median of a column per group.
+
+    Mean and median both read one staged table of (group, value, count).
+    """
+    counts = stage(
+        df.select(by, F.col(col).cast("double").alias("_x"))
+        .filter(F.col(by).isNotNull())
+        .groupBy(by, "_x")
+        .agg(F.count("_x").alias("_n")),
+        "summary_counts",
+    )
+    means = counts.groupBy(by).agg(
+        F.sum("_n").alias("visits"),
+        F.try_divide(F.sum(F.col("_x") * F.col("_n")), F.sum("_n")).alias("average"),
+    )
+    medians = median_of(counts, ["_x"], [by], weight="_n").withColumnRenamed("_x", "median")
     return means.join(medians, by, "left")
 
 

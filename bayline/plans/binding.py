@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayline.functions.flags import in_domain, null_unless, nullable_flag, threshold_flag
@@ -66,6 +66,11 @@ CATEGORY_FIXES = {"R": "A"}
 FIRST_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
 
+def repair_id() -> Column:
+    """One number per order and line number, which run from 1 to 7."""
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
 class Tables:
     """Given tables by name, and the roles built from them."""
 
@@ -198,7 +203,7 @@ class Tables:
     @cached_property
     def repairs(self) -> DataFrame:
         return self.given("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("repair_id"),
+            repair_id().alias("repair_id"),
             F.col("l_orderkey").alias("visit_id"),
             F.col("l_returnflag").alias("repair_category"),
             (F.col("l_discount") * 100).alias("estimated_hours"),
@@ -216,7 +221,7 @@ class Tables:
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias(
                 "part_transaction_id"
             ),
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("repair_id"),
+            repair_id().alias("repair_id"),
             F.col("l_partkey").alias("part_id"),
             F.col("o_orderdate").alias("part_order_date"),
             F.col("l_shipdate").alias("part_received_date"),
@@ -428,7 +433,7 @@ _ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "repairs": (
         (),
-        """select l_orderkey || '-' || l_linenumber as repair_id, l_orderkey as visit_id,
+        """select l_orderkey * 10 + l_linenumber as repair_id, l_orderkey as visit_id,
                   l_returnflag as repair_category, l_discount * 100 as estimated_hours,
                   l_quantity - 10 as actual_hours, l_linestatus as repair_status
            from lineitem""",
@@ -436,7 +441,7 @@ _ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "parts": (
         (),
         """select l_orderkey || '-' || l_linenumber || '-' || l_partkey as part_transaction_id,
-                  l_orderkey || '-' || l_linenumber as repair_id, l_partkey as part_id,
+                  l_orderkey * 10 + l_linenumber as repair_id, l_partkey as part_id,
                   o_orderdate as part_order_date, l_shipdate as part_received_date,
                   0 as parts_delay_flag
            from lineitem left join orders on l_orderkey = o_orderkey""",

@@ -194,7 +194,7 @@ _PROFILED = {
         "complaint_flag:int",
     ),
     "repairs": (
-        "repair_id:string",
+        "repair_id:bigint",
         "visit_id:bigint",
         "repair_category:string",
         "estimated_hours:double",
