@@ -13,4 +13,5 @@ from bayline.plans.queries import (  # noqa: F401
     experiments,
     marts,
     files,
+    streams,
 )
