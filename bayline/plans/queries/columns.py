@@ -149,9 +149,10 @@ def key_to_long(t: Tables):
     return t.given("customer").select(scalars.key_long(broken).alias("customer_id"), "c_name")
 
 
-@query("prj13_rename", "select r_regionkey as region_id, r_name as region from region")
+@query("prj13_rename", "select o_orderkey as appointment_id, o_orderstatus as status from orders")
 def rename(t: Tables):
-    return t.given("region").withColumnsRenamed({"r_regionkey": "region_id", "r_name": "region"})
+    orders = t.given("orders").select("o_orderkey", "o_orderstatus")
+    return orders.withColumnsRenamed({"o_orderkey": "appointment_id", "o_orderstatus": "status"})
 
 
 # ---- filters ---------------------------------------------------------------------------

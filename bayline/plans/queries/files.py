@@ -166,12 +166,12 @@ def script(t: Tables):
 
 @query(
     "sql2_result_catalog",
-    """select 'regions' as result, count(*) as row_count, 2 as column_count,
-              'r_regionkey, r_name' as columns,
+    """select 'customers' as result, count(*) as row_count, 2 as column_count,
+              'c_custkey, c_mktsegment' as columns,
               (select string_agg(row, chr(10) order by row) from (
-                 select '{"r_regionkey":' || r_regionkey || ',"r_name":"' || r_name || '"}' as row
-                 from region order by row limit 5)) as preview
-       from region
+                 select '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' as row
+                 from customer order by row limit 5)) as preview
+       from customer
        union all
        select 'statuses', count(distinct o_orderstatus), 2, 'status, n',
               (select string_agg(row, chr(10) order by row) from (
@@ -180,7 +180,8 @@ def script(t: Tables):
        from orders""",
 )
 def catalog(t: Tables):
+    customers = t.given("customer").select("c_custkey", "c_mktsegment")
     statuses = t.given("orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return result_catalog({"regions": t.given("region"), "statuses": statuses})
+    return result_catalog({"customers": customers, "statuses": statuses})

@@ -169,7 +169,7 @@ FRAME_SQL = with_roles("visits", "appointments", "visit_parts") + """, frame as
 
 
 @query(
-    "ml5_feature_pipeline",
+    "ml5_column_transformer",
     FRAME_SQL
     + """, train as (select * from frame where not is_test),
          fit as (select avg(lead_time_days) as m, stddev_pop(lead_time_days) as sd,
@@ -183,7 +183,7 @@ FRAME_SQL = with_roles("visits", "appointments", "visit_parts") + """, frame as
                 round(stddev_samp((scheduled_duration_hours - m2) / sd2), 6) as sd_scheduled
          from frame, fit group by is_test""",
 )
-def feature_pipeline(t: Tables):
+def column_transformer(t: Tables):
     """Width of the assembled vector, its encoded levels and two scaled columns."""
     frame = model_frame(t)
     train = frame.filter(~F.col("is_test"))
