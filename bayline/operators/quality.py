@@ -219,26 +219,28 @@ def relationship_counts(
 ) -> DataFrame:
     """Rows with a key and rows whose key has a parent, per relationship.
 
-    Children are counted per key before the join, so a key shared by very many rows
-    travels as one row.
+    Child rows and parent keys meet in one aggregation per key instead of a join, so a key
+    shared by very many rows travels as one row per task, and each table is shuffled once.
     """
     frames = []
     for child, fk, parent, pk in relationships:
-        per_key = (
-            tables[child]
-            .filter(F.col(fk).isNotNull())
-            .groupBy(F.col(fk).alias("_key"))
-            .agg(F.count(F.lit(1)).alias("_n"))
+        children = tables[child].select(
+            F.col(fk).alias("_key"), F.lit(1).alias("_child"), F.lit(0).alias("_parent")
+        )
+        parents = tables[parent].select(
+            F.col(pk).alias("_key"), F.lit(0).alias("_child"), F.lit(1).alias("_parent")
         )
-        keys = (
-            tables[parent]
-            .select(F.col(pk).alias("_key"), F.lit(True).alias("_found"))
+        per_key = (
+            children.unionByName(parents)
             .filter(F.col("_key").isNotNull())
-            .distinct()
+            .groupBy("_key")
+            .agg(F.sum("_child").alias("_n"), F.max("_parent").alias("_found"))
         )
-        counted = per_key.join(keys, "_key", "left").agg(
+        counted = per_key.agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("keyed_rows"),
-            F.coalesce(F.sum(F.when(F.col("_found"), F.col("_n"))), F.lit(0)).alias("valid_rows"),
+            F.coalesce(F.sum(F.when(F.col("_found") == 1, F.col("_n"))), F.lit(0)).alias(
+                "valid_rows"
+            ),
         )
         frames.append(
             counted.select(
