@@ -33,20 +33,20 @@ def overall_summary(t: Tables):
     return rounded(kpi.kpi_overall(stage(measures, "measures")))
 
 
-_SCORECARD = """select {key}, count(*) as visits, round(avg(delayed::int), 6) as delay_rate,
-               round(avg(delay_hours), 6) + 0.0 as avg_delay_hours, round(avg(csat_score), 6) as avg_csat,
-               round(avg(complaint_flag), 6) as complaint_rate
+_SCORECARD = """select {key}, count(*) as visits, round(avg(delayed::int), 8) as delay_rate,
+               round(avg(delay_hours), 8) + 0.0 as avg_delay_hours, round(avg(csat_score), 8) as avg_csat,
+               round(avg(complaint_flag), 8) as complaint_rate
          from base group by {key}"""
 
 
 @query("agg2_dealer_scorecard", with_roles("base") + _SCORECARD.format(key="dealer_id"))
 def dealer_scorecard(t: Tables):
-    return rounded(kpi.kpi_scorecard(t.surveyed, "dealer_id"))
+    return rounded(kpi.kpi_scorecard(t.surveyed, "dealer_id"), 8)
 
 
 @query("agg3_service_type_scorecard", with_roles("base") + _SCORECARD.format(key="service_type"))
 def service_type_scorecard(t: Tables):
-    return rounded(kpi.kpi_scorecard(t.base, "service_type"))
+    return rounded(kpi.kpi_scorecard(t.base, "service_type"), 8)
 
 
 @query(
