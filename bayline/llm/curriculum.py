@@ -36,7 +36,7 @@ SCHEDULES: tuple[Schedule, ...] = (
     ((0.0, 3.0), (0.5, 2.0), (1.0, 1.0)),
 )
 #: Rows of one source that are sorted together.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 8_000
 PREFIX_BITS = 28
 
 
