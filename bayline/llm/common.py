@@ -51,9 +51,11 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.size(words), F.lit(0)).cast("long")
 
 
-def with_rank(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
+def with_rank(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None, rows_name: str | None = None) -> DataFrame:
     """df with the 0-based position of each row in a total order, as column ``name``.
 
+    ``rows_name`` names a column for the number of all rows.
+
     Spark range-partitions and sorts; the sorted rows are written once to the shared scratch
     folder, and one row per range gives the offsets. No task holds more than its range.
     """
@@ -68,6 +70,8 @@ def with_rank(df: DataFrame, order: Sequence[Column], name: str, partitions: int
         total += n
     starts = df.sparkSession.createDataFrame(offsets, "_part long, _start long")
     within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    if rows_name:
+        rows = rows.withColumn(rows_name, F.lit(total).cast("long"))
     return (
         rows.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")  # as many rows as ranges

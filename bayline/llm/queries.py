@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import curriculum
+from bayline.llm import curriculum, hilbert, warc
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -53,3 +53,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "copies", "taken"
     )
+
+
+@query("op5_hilbert_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards along a Hilbert curve over source, language and length."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = hilbert.shards(docs, 24, ["source", "lang", "n_chars"])
+    return rows.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8).alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
+
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op8_warc_archives", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back from them."""
+    pages = given(spark, sf_dir, "pages").select("page_id", "url", "html")
+    manifest, path = warc.scratch_archives(pages)
+    rows = warc.read_archives(manifest, path)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
