@@ -12,7 +12,7 @@ id is a response and holds the payload; the others are revisits that refer to it
 digests are made anew from the payload.
 
 Defined results: a null html is an empty payload; a null url gives a record without a target; a
-null page id is the largest one, and a revisit to it has no refers_to; rows that share the smallest
+null page id is the largest one; records without page id are named by their payload's digest; rows that share the smallest
 page id are all responses. Empty tables give an empty manifest. Control characters in urls are
 percent-encoded.
 """
@@ -28,10 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bayline.llm.common import shuffle_partitions, with_rank
+from bayline.llm.common import shuffle_partitions, stage, with_rank
 from bayline.llm.files import open_file, write_file
 from bayline.session import scratch_dir
-from bayline.sources.sinks import stage
 
 SEGMENT_ROWS = 4096
 FILE_BYTES = 16 << 20
@@ -65,49 +64,57 @@ def classified(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFram
     return rows.withColumn("first", F.when(repeats, F.col("first"))).withColumn("payload", F.when(~repeats, F.col("payload")))
 
 
-def record_id(page_id: int | None, rank: int) -> str:
-    return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:page:none:{rank}>"
+def record_id(page_id: int | None, digest: bytes) -> str:
+    return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:page:none:{digest.hex()}>"
 
 
-def record(page_id, url, payload, n_bytes, digest, first, rank, date: str = DATE) -> bytes:
+def record(page_id, url, payload, n_bytes, digest, first, date: str = DATE) -> bytes:
     """One gzip member with one record."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = head + (payload or b"")
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, rank)}", f"WARC-Date: {date}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {date}"]
     if url is not None:
         safe = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
         lines.append(f"WARC-Target-URI: {safe}")
     lines.append(f"WARC-Payload-Digest: sha256:{digest.hex()}")
     lines.append(f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}")
     if first is not None:
-        lines += [f"WARC-Refers-To: {record_id(first, 0)}", f"WARC-Profile: {PROFILE}"]
+        lines += [f"WARC-Refers-To: {record_id(first, digest)}", f"WARC-Profile: {PROFILE}"]
     lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     raw = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)  # gzip without a time stamp
     return squeeze.compress(raw) + squeeze.flush()
 
 
+MEMBER = pa.schema([("page_id", pa.int64()), ("digest", pa.binary()), ("url", pa.string()), ("member", pa.binary())])
+
+
+def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow: classified pages -> the gzip member of each record, so that only compressed bytes move."""
+    for batch in batches:
+        fields = [batch.column(n) for n in ("page_id", "url", "payload", "n_bytes", "digest", "first")]
+        made = pa.array([record(*(f[i].as_py() for f in fields)) for i in range(batch.num_rows)], pa.binary())
+        columns = [fields[0], fields[4].cast(pa.binary()), fields[1].cast(pa.string()), made]
+        yield pa.RecordBatch.from_arrays(columns, schema=MEMBER)
+
+
 def segment_writer(path: str, file_bytes: int):
     """For mapInArrow: rows sorted by segment and rank become files; one manifest row per file."""
+    schema = pa.schema([("file", pa.string()), ("segment", pa.int64()), ("roll", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, roll, members, size = None, 0, [], 0
 
         def close() -> pa.RecordBatch:
-            name = f"segment-{at:010d}-{roll:04d}.warc.gz"
-            write_file(f"{path}/{name}", members)
-            digest = hashlib.sha256()
+            name, digest = f"segment-{at:010d}-{roll:04d}.warc.gz", hashlib.sha256()
             for member in members:
                 digest.update(member)
+            write_file(f"{path}/{name}", members)
             row = {"file": name, "segment": at, "roll": roll, "records": len(members), "bytes": size, "sha256": digest.hexdigest()}
-            schema = pa.schema([("file", pa.string()), ("segment", pa.int64()), ("roll", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
-            columns = [batch.column(n) for n in ("segment", "page_id", "url", "payload", "n_bytes", "digest", "first", "rank")]
-            for i in range(batch.num_rows):
-                segment, *fields = [c[i].as_py() for c in columns]
-                member = record(*fields)
+            for segment, member in zip(batch.column("segment").to_pylist(), batch.column("member").to_pylist()):
                 if members and (segment != at or size + len(member) > file_bytes):
                     yield close()
                     roll = roll + 1 if segment == at else 0
@@ -127,7 +134,8 @@ def write_archives(pages: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS
     """Write all pages below ``path``; the manifest, which ``path/manifest`` holds as well."""
     spark = pages.sparkSession
     order: list[Column] = [F.col("page_id").asc_nulls_last(), F.col("digest"), F.col("url")]
-    ranked = with_rank(classified(pages), order, "rank")
+    made = classified(pages).mapInArrow(compress, "page_id long, digest binary, url string, member binary")
+    ranked = with_rank(stage(made, "warc-members"), order, "rank")
     segments = ranked.withColumn("segment", F.expr(f"rank DIV {segment_rows}"))
     dealt = segments.repartition(shuffle_partitions(spark), "segment").sortWithinPartitions("segment", "rank")
     manifest = dealt.mapInArrow(segment_writer(path, file_bytes), MANIFEST)
