@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.session import tune
-from bayline.sources.sinks import stage
+from bayline.session import scratch_dir, tune
 
 #: Words are runs of bytes other than space, tab, line feed, vertical tab, form feed, return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -30,6 +29,13 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the shared scratch folder, tightly packed, and go on from the files."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

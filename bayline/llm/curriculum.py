@@ -24,8 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayline.llm.common import packed, shuffle_partitions, unpacked, with_rank, word_count
-from bayline.sources.sinks import stage
+from bayline.llm.common import packed, shuffle_partitions, stage, unpacked, with_rank, word_count
 
 Schedule = Sequence[tuple[float, float]]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import curriculum, hilbert, warc
+from bayline.llm import curriculum, hilbert, simhash, warc
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -90,3 +90,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, path = warc.scratch_archives(pages)
     rows = warc.read_archives(manifest, path)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_simhash_groups")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.grouped(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
