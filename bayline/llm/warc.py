@@ -1,9 +1,10 @@
 """WARC archives: a deterministic sharded writer and its reader.
 
-Records are range-sorted by page id. Every ``segment_rows`` records form a segment, which one
-task writes; within it a new file begins once the compressed size would exceed ``file_bytes``.
-The cuts depend on the order of the records alone, so another number of partitions, a retry or a
-second attempt gives the same files, byte by byte. Each file is written under a temporary name
+Records are range-sorted by page id. The exact ranks of the ids cut the table into segments of
+``segment_rows`` records, more if there would be over ``MOST_SEGMENTS``; one task writes a segment,
+in which a new file begins once the compressed size would exceed ``file_bytes``. The cuts depend on
+the ids alone, so another number of partitions, a retry or a second attempt gives the same files,
+byte by byte. Records are compressed where pages are read, and move once. Each file is written under a temporary name
 and renamed; the manifest, a table of file, records, bytes and checksum, is written last, and
 readers take only what it lists.
 
@@ -24,15 +25,17 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayline.llm.common import shuffle_partitions, stage, with_rank
 from bayline.llm.files import open_file, write_file
 from bayline.session import scratch_dir
 
-SEGMENT_ROWS = 4096
+SEGMENT_ROWS = 2048
+MOST_SEGMENTS = 10_000
 FILE_BYTES = 16 << 20
 REVISIT_BYTES = 100
 DATE = "2024-01-01T00:00:00Z"
@@ -86,16 +89,28 @@ def record(page_id, url, payload, n_bytes, digest, first, date: str = DATE) -> b
     return squeeze.compress(raw) + squeeze.flush()
 
 
-MEMBER = pa.schema([("page_id", pa.int64()), ("digest", pa.binary()), ("url", pa.string()), ("member", pa.binary())])
+def compressor(cuts: list[int]):
+    """For mapInArrow: classified pages -> segment and gzip member of each record."""
+    schema = pa.schema([("segment", pa.int64()), ("page_id", pa.int64()), ("digest", pa.binary()), ("url", pa.string()), ("member", pa.binary())])
 
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fields = [batch.column(n) for n in ("page_id", "url", "payload", "n_bytes", "digest", "first")]
+            made = pa.array([record(*(f[i].as_py() for f in fields)) for i in range(batch.num_rows)], pa.binary())
+            page = fields[0].fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+            segment = pa.array(np.searchsorted(np.array(cuts, np.int64), page, "right"), pa.int64())
+            columns = [segment, fields[0], fields[4].cast(pa.binary()), fields[1].cast(pa.string()), made]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return compress
 
-def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow: classified pages -> the gzip member of each record, so that only compressed bytes move."""
-    for batch in batches:
-        fields = [batch.column(n) for n in ("page_id", "url", "payload", "n_bytes", "digest", "first")]
-        made = pa.array([record(*(f[i].as_py() for f in fields)) for i in range(batch.num_rows)], pa.binary())
-        columns = [fields[0], fields[4].cast(pa.binary()), fields[1].cast(pa.string()), made]
-        yield pa.RecordBatch.from_arrays(columns, schema=MEMBER)
+
+def segment_cuts(pages: DataFrame, segment_rows: int) -> list[int]:
+    """First page id of every segment but the first; fewer than MOST_SEGMENTS."""
+    ranked = with_rank(pages.select("page_id"), [F.col("page_id").asc_nulls_last()], "rank", rows_name="n")
+    step = F.greatest(F.lit(segment_rows).cast("long"), F.ceil(F.col("n") / MOST_SEGMENTS))
+    cuts = ranked.filter((F.col("rank") > 0) & (F.col("rank") % step == 0) & F.col("page_id").isNotNull())
+    return sorted({r.page_id for r in cuts.collect()})
 
 
 def segment_writer(path: str, file_bytes: int):
@@ -133,11 +148,13 @@ def segment_writer(path: str, file_bytes: int):
 def write_archives(pages: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write all pages below ``path``; the manifest, which ``path/manifest`` holds as well."""
     spark = pages.sparkSession
-    order: list[Column] = [F.col("page_id").asc_nulls_last(), F.col("digest"), F.col("url")]
-    made = classified(pages).mapInArrow(compress, "page_id long, digest binary, url string, member binary")
-    ranked = with_rank(stage(made, "warc-members"), order, "rank")
-    segments = ranked.withColumn("segment", F.expr(f"rank DIV {segment_rows}"))
-    dealt = segments.repartition(shuffle_partitions(spark), "segment").sortWithinPartitions("segment", "rank")
+    typed = pages.withColumn("page_id", F.col("page_id").cast("long"))
+    made = classified(typed).mapInArrow(
+        compressor(segment_cuts(typed, segment_rows)),
+        "segment long, page_id long, digest binary, url string, member binary",
+    )
+    order = ["segment", F.col("page_id").asc_nulls_last(), "digest", "url"]
+    dealt = made.repartition(shuffle_partitions(spark), "segment").sortWithinPartitions(*order)
     manifest = dealt.mapInArrow(segment_writer(path, file_bytes), MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
     return spark.read.parquet(f"{path}/manifest")
