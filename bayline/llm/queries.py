@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import curriculum, hilbert, simhash, warc
+from bayline.llm import curriculum, hilbert, simhash, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from bayline.session import scratch_dir
 
 OP10_SQL = r"""
 WITH d AS (
@@ -97,3 +98,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.grouped(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_wavelet_tokens")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to wavelet-matrix files and read back from them."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_dir(spark, "tokens")
+    manifest = wavelet.write_tokens(docs, path, tokenizer_file("word_bpe_49k.json"))
+    return wavelet.read_tokens(manifest, path).select("doc_id", "start", "n_tokens", "ids_crc32")
