@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +41,10 @@ FILE_TOKENS = 2_000_000
 SHARD_BYTES = 8 << 20
 MOST_SHARDS = 10_000
 #: Pieces whose ids a worker keeps; then it starts anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
+PARTING = re.compile(rb"(?<=[a-z])(?=[,.])")
 
-_pieces: dict[tuple[str, bool], dict[bytes, bytes]] = {}
+_pieces: dict[str, PieceIds] = {}
 _tokenizers: dict[str, object] = {}
 
 
@@ -55,22 +58,38 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+def pieces_of(text: bytes) -> list[bytes]:
+    """Pieces that are encoded one by one: the tokenizer drops white space, folds case and always
+    parts a letter from a comma or full stop. A text that may hold a special token keeps its case."""
+    return PARTING.sub(b" ", text if b"<|" in text else text.lower()).split()
+
+
+class PieceIds:
+    """Ids of pieces already encoded. Two generations: what is not used for long is dropped."""
+
+    def __init__(self, path: str):
+        self.path, self.young, self.old = path, {}, {}
+
+    def fill(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """A table that has all the given pieces."""
+        new = pieces.difference(self.young)
+        if new and len(self.young) + len(new) > KEPT_PIECES:
+            self.old, self.young = self.young, {}
+            new = pieces
+        for piece in new.intersection(self.old):
+            self.young[piece] = self.old[piece]
+        fresh = list(new.difference(self.old))
+        encoded = tokenizer(self.path).encode_batch([p.decode() for p in fresh], add_special_tokens=False)
+        self.young.update((p, array("I", e.ids).tobytes()) for p, e in zip(fresh, encoded))
+        return self.young
+
+
 def encode_texts(raw: np.ndarray, offsets: np.ndarray, path: str, end_id: int = END_ID) -> list[np.ndarray]:
     """Ids of each text and the end id, as unsigned 32-bit integers."""
-    known = _pieces.setdefault((path, True), {})
-    data, texts = raw.tobytes(), []
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        texts.append(data[a:b].split())
-    new = {w for words in texts for w in words if w not in known}
-    if new:
-        if len(known) + len(new) > KEPT_PIECES:
-            known.clear()
-            new = {w for words in texts for w in words}
-        pieces = list(new)
-        encoded = tokenizer(path).encode_batch([w.decode() for w in pieces], add_special_tokens=False)
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(pieces, encoded))
-    end = np.array([end_id], "<u4").tobytes()
-    return [np.frombuffer(b"".join([known[w] for w in words]) + end, "<u4") for words in texts]
+    data, end = raw.tobytes(), np.array([end_id], "<u4").tobytes()
+    texts = [pieces_of(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    ids = _pieces.setdefault(path, PieceIds(path)).fill(set().union(*texts))
+    return [np.frombuffer(b"".join(map(ids.__getitem__, pieces)) + end, "<u4") for pieces in texts]
 
 
 def build(ids: np.ndarray) -> tuple[list[tuple[np.ndarray, list[bytes]]], int, int]:
