@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import curriculum, hilbert, simhash, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, simhash, toxicity, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -113,3 +113,45 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     manifest = wavelet.write_tokens(docs, path, tokenizer_file("word_bpe_49k.json"))
     return wavelet.read_tokens(manifest, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def remainder(modulus: int) -> Column:
+    """crc32 of the document's id as text, modulo; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query("op2_toxicity_scores")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the n-gram classifier."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = given(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels, remainder(3) != 1)
+    rows = toxicity.scored(docs, model)
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return rows.select("doc_id", held_out, "score", predicted)
+
+
+OP3_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM documents WHERE text IS NOT NULL),
+iw AS (
+  SELECT item_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM benchmark WHERE text IS NOT NULL),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM dw WHERE len(w) > 0)),
+its AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM iw WHERE len(w) > 0)),
+n AS (SELECT item_id, count(*) AS n FROM its GROUP BY 1)
+SELECT doc_id, item_id, CAST(count(*) AS DOUBLE) / any_value(n) AS containment
+FROM ds JOIN its USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n) * 0.8)
+"""
+
+
+@query("op3_benchmark_leaks", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    return containment.leaks(docs, given(spark, sf_dir, "benchmark"))
