@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import containment, curriculum, hilbert, simhash, toxicity, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, simhash, topk, toxicity, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -155,3 +155,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item."""
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
     return containment.leaks(docs, given(spark, sf_dir, "benchmark"))
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+
+@query("op9_bit_sliced_top_k", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for each vector whose id is divisible by 100."""
+    vectors = given(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
