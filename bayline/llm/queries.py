@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import containment, curriculum, hilbert, simhash, topk, toxicity, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, kneser_ney, simhash, topk, toxicity, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -174,3 +174,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best vectors for each vector whose id is divisible by 100."""
     vectors = given(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query("op4_kneser_ney_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the bigram model and under the base."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.filter(F.coalesce(remainder(7) != 2, F.lit(True))))
+    rows = kneser_ney.scored(docs, model)
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False)).alias("held_out")
+    total = F.lit(model.counts.tokens).cast("long").alias("train_tokens")
+    perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
+    return rows.select("doc_id", held_out, "n_tokens", "n_known", total, "base_score", "score", perplexity)
