@@ -42,10 +42,14 @@ SHARD_BYTES = 8 << 20
 MOST_SHARDS = 10_000
 #: Pieces whose ids a worker keeps; then it starts anew.
 KEPT_PIECES = 500_000
+#: Fixed value: the pattern of words of the tokenizers that take pieces.
+WORDS_OF_TOKENIZER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SMALL_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # a-z and the small letters of Latin-1
 PARTING = re.compile(rb"(?<=[a-z])(?=[,.])")
 
 _pieces: dict[str, PieceIds] = {}
 _tokenizers: dict[str, object] = {}
+_by_pieces: dict[str, bool] = {}
 
 
 def tokenizer(path: str):
@@ -58,6 +62,17 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it is printable and
+    no space, else the next free one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+LETTERS = byte_letters()
+
+
 def pieces_of(text: bytes) -> list[bytes]:
     """Pieces that are encoded one by one: the tokenizer drops white space, folds case and always
     parts a letter from a comma or full stop. A text that may hold a special token keeps its case."""
@@ -65,7 +80,11 @@ def pieces_of(text: bytes) -> list[bytes]:
 
 
 class PieceIds:
-    """Ids of pieces already encoded. Two generations: what is not used for long is dropped."""
+    """Ids of pieces already encoded. Two generations: what is not used for long is dropped.
+
+    A piece of small Latin letters is one word to the tokenizer, already normalised, so it goes
+    straight to the tokenizer's model; all other pieces go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         self.path, self.young, self.old = path, {}, {}
@@ -78,15 +97,42 @@ class PieceIds:
             new = pieces
         for piece in new.intersection(self.old):
             self.young[piece] = self.old[piece]
-        fresh = list(new.difference(self.old))
-        encoded = tokenizer(self.path).encode_batch([p.decode() for p in fresh], add_special_tokens=False)
-        self.young.update((p, array("I", e.ids).tobytes()) for p, e in zip(fresh, encoded))
+        whole, tokenize = [], tokenizer(self.path).model.tokenize
+        for piece in new.difference(self.old):
+            if SMALL_LETTERS.fullmatch(piece):
+                found = tokenize(piece.decode("latin-1").translate(LETTERS))
+                self.young[piece] = array("I", [t.id for t in found]).tobytes()
+            else:
+                whole.append(piece)
+        encoded = tokenizer(self.path).encode_batch([p.decode() for p in whole], add_special_tokens=False)
+        self.young.update((p, array("I", e.ids).tobytes()) for p, e in zip(whole, encoded))
         return self.young
 
 
+def by_pieces(path: str) -> bool:
+    """Whether the file describes the kind of tokenizer for which pieces may be encoded alone."""
+    if path not in _by_pieces:
+        made = json.loads(tokenizer(path).to_str())
+        steps = [made["normalizer"] or {}, made["pre_tokenizer"] or {}]
+        kinds = [[s["type"] for s in step.get("normalizers", step.get("pretokenizers", []))] for step in steps]
+        _by_pieces[path] = (
+            kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
+            and steps[0]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+            and steps[1]["pretokenizers"][0]["pattern"] == {"Regex": WORDS_OF_TOKENIZER}
+            and not steps[1]["pretokenizers"][1]["add_prefix_space"]
+            and made["post_processor"] is None
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in made["added_tokens"])
+        )
+    return _by_pieces[path]
+
+
 def encode_texts(raw: np.ndarray, offsets: np.ndarray, path: str, end_id: int = END_ID) -> list[np.ndarray]:
     """Ids of each text and the end id, as unsigned 32-bit integers."""
     data, end = raw.tobytes(), np.array([end_id], "<u4").tobytes()
+    if not by_pieces(path):
+        texts = [data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        encoded = tokenizer(path).encode_batch(texts, add_special_tokens=False)
+        return [np.array([*e.ids, end_id], "<u4") for e in encoded]
     texts = [pieces_of(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
     ids = _pieces.setdefault(path, PieceIds(path)).fill(set().union(*texts))
     return [np.frombuffer(b"".join(map(ids.__getitem__, pieces)) + end, "<u4") for pieces in texts]
