@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import containment, curriculum, hilbert, kneser_ney, simhash, topk, toxicity, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, kneser_ney, simhash, suffixes, topk, toxicity, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -186,3 +186,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.lit(model.counts.tokens).cast("long").alias("train_tokens")
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
     return rows.select("doc_id", held_out, "n_tokens", "n_known", total, "base_score", "score", perplexity)
+
+
+@query("op7_repeated_strings")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated strings of 200 bytes."""
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = suffixes.without_repeats(docs)
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return rows.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256")
