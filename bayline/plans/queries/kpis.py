@@ -323,11 +323,18 @@ def labels(t: Tables):
     """select 'orders' as "table", count(*) as row_count, 6 as column_count from orders
        union all select 'customer', count(*), 5 from customer
        union all select 'events', count(*), 6 from events
-       union all select 'lineitem', count(*), 11 from lineitem""",
+       union all select 'lineitem', count(*), 11 from lineitem
+       union all select 'region', count(*), 2 from region
+       union all select 'nation', count(*), 3 from nation
+       union all select 'supplier', count(*), 4 from supplier
+       union all select 'part', count(*), 6 from part""",
 )
 def table_sizes(t: Tables):
     return quality.table_sizes(
-        {n: t.given(n) for n in ("orders", "customer", "events", "lineitem")}
+        {
+            n: t.given(n)
+            for n in "orders customer events lineitem region nation supplier part".split()
+        }
     )
 
 

@@ -8,7 +8,7 @@ from bayline.plans.binding import GIVEN_SCHEMAS, Tables
 from bayline.plans.queries.kpis import SCORED_SQL
 from bayline.plans.registry import query, rounded
 from bayline.session import scratch_dir
-from bayline.streaming.scoring import band_stream, read_parquet_stream, write_available
+from bayline.streaming.scoring import band_stream, parquet_table_stream, write_available
 
 
 @query(
@@ -18,7 +18,9 @@ from bayline.streaming.scoring import band_stream, read_parquet_stream, write_av
          from scored""",
 )
 def banded_stream(t: Tables):
-    lines = read_parquet_stream(t.spark, t.sf_dir, "lineitem.parquet", GIVEN_SCHEMAS["lineitem"])
+    lines = parquet_table_stream(
+        t.spark, f"{t.sf_dir}/lineitem.parquet", GIVEN_SCHEMAS["lineitem"]
+    )
     scored = band_stream(
         lines.select(
             "l_orderkey", "l_linenumber", (F.col("l_quantity") / 50).alias("delay_probability")

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from bayline.sources.sinks import write_result
 
-_COMMENT_LINE = re.compile(r"^\s*--.*$", re.MULTILINE)
+_COMMENT_LINE = re.compile(r"^\s*--[^\n]*$|/\*.*?\*/", re.MULTILINE | re.DOTALL)
 # a statement ends at a semicolon outside of quotes and comments
-_STATEMENT = re.compile(r"(?:'(?:[^']|'')*'|\"[^\"]*\"|--[^\n]*|[^;'\"])+")
+_STATEMENT = re.compile(
+    r"(?:'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/|[^;'\"])+", re.DOTALL
+)
 
 
 def statements_of(text: str) -> list[str]:

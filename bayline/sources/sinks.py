@@ -22,7 +22,12 @@ def write_result(
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer.options(
-            header=True, timestampFormat=CSV_TIMESTAMP, timestampNTZFormat=CSV_TIMESTAMP
+            header=True,
+            timestampFormat=CSV_TIMESTAMP,
+            timestampNTZFormat=CSV_TIMESTAMP,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
         ).csv(path)
     else:
         writer.format(fmt).save(path)

@@ -18,6 +18,16 @@ def read_parquet_stream(spark: SparkSession, folder: str, name: str, schema: str
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 
 
+def parquet_table_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of part files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(place).isDirectory():
+        return spark.readStream.schema(schema).parquet(path)
+    folder, _, name = path.rpartition("/")
+    return read_parquet_stream(spark, folder, name, schema)
+
+
 def score_stream(model: PipelineModel, visits: DataFrame) -> DataFrame:
     return score_and_band(model, visits)
 

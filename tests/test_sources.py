@@ -88,6 +88,21 @@ def test_script_statements():
     assert len(found) == 3 and [returns_rows(s) for s in found] == [True, False, True]
 
 
+def test_comments_and_escapes_do_not_shift_quotes():
+    text = """/* it's; */ SELECT 1; SELECT 'a\\'; b' AS s; SELECT "x;y" AS t /* ; */"""
+    assert len(statements_of(text)) == 3 and all(map(returns_rows, statements_of(text)))
+
+
+def test_csv_keeps_text_as_written(spark, tmp_path):
+    texts = ["  padded  ", "two\nlines", 'say "x"', "back\\slash", "a,b", "\\", "end\\"]
+    df = spark.createDataFrame([(i, t, float("nan")) for i, t in enumerate(texts)], "k INT, s STRING, x DOUBLE")
+    path = write_result(df, str(tmp_path / "csv"), "csv")
+    wanted = [(i, t, None) for i, t in enumerate(texts)]
+    schema = "k INT, s STRING, x DOUBLE"
+    assert sorted(map(tuple, load_csv(spark, path, schema).collect())) == wanted
+    assert sorted(map(tuple, register_csv(spark, "kept_text", path, schema).collect())) == wanted
+
+
 def test_script_runs_in_order_and_stops_at_an_error(spark, tmp_path):
     written = run_script(spark, SCRIPT, str(tmp_path), "r")
     assert list(written) == ["r_01", "r_02"]

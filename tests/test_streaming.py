@@ -3,7 +3,12 @@ import numpy as np
 from bayline.operators import model
 from bayline.session import scratch_dir
 from bayline.sources.sinks import stage
-from bayline.streaming.scoring import read_parquet_stream, score_stream, write_available
+from bayline.streaming.scoring import (
+    parquet_table_stream,
+    read_parquet_stream,
+    score_stream,
+    write_available,
+)
 
 
 def test_a_fitted_pipeline_scores_a_stream_like_a_table(spark):
@@ -22,3 +27,17 @@ def test_a_fitted_pipeline_scores_a_stream_like_a_table(spark):
     got = {tuple(r) for r in spark.read.parquet(path).collect()}
     assert got == {tuple(r) for r in model.score_and_band(fitted, frame).collect()}
     assert len(got) == 200
+
+
+def test_a_table_of_part_files_streams_like_a_single_file(spark, tmp_path):
+    import shutil
+
+    spark.range(300).repartition(3).write.parquet(str(tmp_path / "lines.parquet"))
+    spark.range(300).coalesce(1).write.parquet(str(tmp_path / "one"))
+    (single,) = (tmp_path / "one").glob("part-*.parquet")
+    shutil.copy(single, tmp_path / "single.parquet")
+    for name in ("lines.parquet", "single.parquet"):
+        stream = parquet_table_stream(spark, str(tmp_path / name), "id BIGINT")
+        out = scratch_dir(spark, "stream_out")
+        path = write_available(stream, f"{out}/rows", f"{out}/checkpoint")
+        assert spark.read.parquet(path).count() == 300
