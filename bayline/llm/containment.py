@@ -56,8 +56,9 @@ def hashed(df: DataFrame, width: int) -> DataFrame:
 
 def item_sets(items: DataFrame, width: int, share: str) -> DataFrame:
     """item_id, item (key of the row), n, need, minima (ascending)."""
-    rows = hashed(with_words(items.select("item_id", "text")), width)
-    rows = rows.withColumn("_set", F.array_sort(F.array_distinct("_shingles"))).filter(F.size("_set") > 0)
+    # filtered by words: a filter on the shingles would make them anew below the projections
+    rows = hashed(with_words(items.select("item_id", "text")).filter(F.size("_words") > 0), width)
+    rows = rows.withColumn("_set", F.array_sort(F.array_distinct("_shingles")))
     need = F.expr(f"CAST(ceil(size(_set) * CAST({share} AS DECIMAL(9, 6))) AS INT)")
     rows = rows.withColumn("n", F.size("_set")).withColumn("need", need)
     minima = F.slice("_set", F.lit(1), F.col("n") - F.col("need") + 1)
