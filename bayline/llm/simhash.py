@@ -156,10 +156,9 @@ def links(group: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.n
     while len(active):
         block = active // 64 + step
         low, high = np.maximum(active + 1 - block * 64, 0), np.minimum(last[active] - block * 64, 64)
+        onward = active[last[active] > (block + 1) * 64]  # also rows in the last lane of their block
         some = high > low
         active, block, low, high = active[some], block[some], low[some], high[some]
-        if not len(active):
-            break
         upto = np.where(high >= 64, ALL, (np.uint64(1) << np.minimum(high, 63).astype(np.uint64)) - np.uint64(1))
         lanes = upto & ~((np.uint64(1) << low.astype(np.uint64)) - np.uint64(1))
         near = near_lanes(sliced, block, fp[active], lanes, radius)
@@ -168,7 +167,7 @@ def links(group: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.n
         which, lane = np.nonzero(lane_bits)
         for i, j in zip(active[hit][which].tolist(), (block[hit][which] * 64 + lane).tolist()):
             forest.join(i, j)
-        step += 1
+        active, step = onward, step + 1
     roots = np.array([forest.root(i) for i in range(n)], np.int64)
     joined = roots != row
     return fp[joined], fp[roots[joined]]
