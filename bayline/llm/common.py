@@ -86,8 +86,10 @@ def with_rank(df: DataFrame, order: Sequence[Column], name: str, partitions: int
     )
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows; null is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)

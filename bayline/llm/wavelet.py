@@ -12,8 +12,8 @@ ids and their first positions (int64), per plane: ones before each block (int64)
 
 Defined results: a null text is empty and has only the end id; rows with a null id come first; rows
 that share an id are ordered by their text. An empty table gives no files. Texts are encoded in
-pieces between ASCII spaces, which the tokenizer drops and never joins across; a piece's ids are
-kept per worker, so that each distinct piece is encoded about once.
+pieces at ASCII spaces, which the tokenizer drops, and where it always parts two characters; a piece's
+ids are kept per worker, so that each distinct piece is encoded about once.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayline.llm.common import shuffle_partitions, text_bytes
+from bayline.llm.common import row_chunks, shuffle_partitions, text_bytes
 from bayline.llm.files import open_file, write_file
 
 MAGIC = b"WMX1"
@@ -45,7 +45,12 @@ KEPT_PIECES = 500_000
 #: Fixed value: the pattern of words of the tokenizers that take pieces.
 WORDS_OF_TOKENIZER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SMALL_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # a-z and the small letters of Latin-1
-PARTING = re.compile(rb"(?<=[a-z])(?=[,.])")
+#: Bytes of text whose pieces are found at once; numpy temporaries take about 30 times as much.
+PIECE_BYTES = 4 << 20
+#: Kinds of bytes; all that is not ASCII, and control characters, are OTHER.
+OTHER, LETTER, MARK, APOSTROPHE, DIGIT, SPACE = range(6)
+#: Fixed value: how the special tokens of these tokenizers begin.
+SPECIAL = b"<|"
 
 _pieces: dict[str, PieceIds] = {}
 _tokenizers: dict[str, object] = {}
@@ -73,10 +78,42 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
-def pieces_of(text: bytes) -> list[bytes]:
-    """Pieces that are encoded one by one: the tokenizer drops white space, folds case and always
-    parts a letter from a comma or full stop. A text that may hold a special token keeps its case."""
-    return PARTING.sub(b" ", text if b"<|" in text else text.lower()).split()
+def kinds_of_bytes() -> np.ndarray:
+    kinds = np.full(256, OTHER, np.uint8)
+    kinds[0x21:0x7F] = MARK
+    for first, last, kind in ((b"a", b"z", LETTER), (b"A", b"Z", LETTER), (b"0", b"9", DIGIT), (b"'", b"'", APOSTROPHE)):
+        kinds[first[0] : last[0] + 1] = kind
+    kinds[list(b" \t\n\v\f\r")] = SPACE
+    return kinds
+
+
+def parting_pairs() -> np.ndarray:
+    """Whether the tokenizer always parts a byte of one kind from the next of another: a space from
+    all, a letter from a mark after it, a mark from a letter after it unless it is an apostrophe, a
+    digit from all ASCII characters."""
+    parts = np.zeros((6, 6), bool)
+    parts[SPACE, :] = parts[:, SPACE] = True
+    parts[LETTER, MARK] = parts[LETTER, APOSTROPHE] = parts[MARK, LETTER] = True
+    parts[DIGIT, LETTER : DIGIT + 1] = parts[LETTER : DIGIT + 1, DIGIT] = True
+    return parts.ravel()
+
+
+KINDS, PARTING = kinds_of_bytes(), parting_pairs()
+
+
+def pieces_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased pieces of all texts, one after the other, and the first piece of each text."""
+    kinds = KINDS[raw]
+    solid = kinds != SPACE
+    first = np.ones(len(raw) + 1, bool)
+    first[1:-1] = PARTING[kinds[:-1] * np.uint8(6) + kinds[1:]]
+    first[offsets] = True
+    starts = np.flatnonzero(first[:-1] & solid)
+    ends = (np.cumsum(solid, dtype=np.int32) - 1)[starts] if len(starts) else np.empty(0, np.int32)
+    letters = raw[solid].tobytes().lower()
+    bounds = np.append(ends, len(letters)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+    return pieces, np.searchsorted(starts, offsets)
 
 
 class PieceIds:
@@ -89,24 +126,24 @@ class PieceIds:
     def __init__(self, path: str):
         self.path, self.young, self.old = path, {}, {}
 
-    def fill(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """A table that has all the given pieces."""
-        new = pieces.difference(self.young)
-        if new and len(self.young) + len(new) > KEPT_PIECES:
+    def of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces, as little-endian 32-bit integers."""
+        if len(self.young) > KEPT_PIECES:
             self.old, self.young = self.young, {}
-            new = pieces
-        for piece in new.intersection(self.old):
-            self.young[piece] = self.old[piece]
+        found = list(map(self.young.get, pieces))
+        new = [piece for piece, ids in zip(pieces, found) if ids is None]
         whole, tokenize = [], tokenizer(self.path).model.tokenize
-        for piece in new.difference(self.old):
-            if SMALL_LETTERS.fullmatch(piece):
-                found = tokenize(piece.decode("latin-1").translate(LETTERS))
-                self.young[piece] = array("I", [t.id for t in found]).tobytes()
+        for piece in new:
+            if piece in self.old:
+                self.young[piece] = self.old[piece]
+            elif SMALL_LETTERS.fullmatch(piece):
+                tokens = tokenize(piece.decode("latin-1").translate(LETTERS))
+                self.young[piece] = array("I", [t.id for t in tokens]).tobytes()
             else:
                 whole.append(piece)
         encoded = tokenizer(self.path).encode_batch([p.decode() for p in whole], add_special_tokens=False)
         self.young.update((p, array("I", e.ids).tobytes()) for p, e in zip(whole, encoded))
-        return self.young
+        return list(map(self.young.__getitem__, pieces)) if new else found
 
 
 def by_pieces(path: str) -> bool:
@@ -121,21 +158,51 @@ def by_pieces(path: str) -> bool:
             and steps[1]["pretokenizers"][0]["pattern"] == {"Regex": WORDS_OF_TOKENIZER}
             and not steps[1]["pretokenizers"][1]["add_prefix_space"]
             and made["post_processor"] is None
+            and all(t["content"].startswith(SPECIAL.decode()) for t in made["added_tokens"])
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in made["added_tokens"])
         )
     return _by_pieces[path]
 
 
+def encode_whole(texts: list[bytes], path: str, end_id: int) -> list[np.ndarray]:
+    encoded = tokenizer(path).encode_batch([t.decode() for t in texts], add_special_tokens=False)
+    return [np.array([*e.ids, end_id], "<u4") for e in encoded]
+
+
+def encode_pieces(raw: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> list[np.ndarray]:
+    """Ids of each text by way of the ids of its distinct pieces."""
+    pieces, first_piece = pieces_of(raw, offsets)
+    coded = pieces.dictionary_encode()
+    known = _pieces.setdefault(path, PieceIds(path)).of(coded.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    which = coded.indices.to_numpy()
+    counts = lengths[which]
+    upto = np.concatenate(([0], np.cumsum(counts)))
+    shift = (np.cumsum(lengths) - lengths)[which] - upto[:-1]
+    ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(shift, counts) + np.arange(upto[-1])]
+    bounds = upto[first_piece]
+    ids = np.insert(ids, bounds[1:], end_id)
+    bounds += np.arange(len(bounds))
+    return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
 def encode_texts(raw: np.ndarray, offsets: np.ndarray, path: str, end_id: int = END_ID) -> list[np.ndarray]:
-    """Ids of each text and the end id, as unsigned 32-bit integers."""
-    data, end = raw.tobytes(), np.array([end_id], "<u4").tobytes()
-    if not by_pieces(path):
-        texts = [data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        encoded = tokenizer(path).encode_batch(texts, add_special_tokens=False)
-        return [np.array([*e.ids, end_id], "<u4") for e in encoded]
-    texts = [pieces_of(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-    ids = _pieces.setdefault(path, PieceIds(path)).fill(set().union(*texts))
-    return [np.frombuffer(b"".join(map(ids.__getitem__, pieces)) + end, "<u4") for pieces in texts]
+    """Ids of each text and the end id, as unsigned 32-bit integers.
+
+    Texts that may hold a special token are encoded whole.
+    """
+    made: list[np.ndarray] = []
+    for i, j in row_chunks(offsets, PIECE_BYTES):
+        part, at = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        data, special = part.tobytes(), range(j - i)
+        if by_pieces(path):
+            made += encode_pieces(part, at, path, end_id)
+            special = [k for k in special if data.find(SPECIAL, at[k], at[k + 1]) >= 0] if SPECIAL in data else []
+        else:
+            made += [None] * (j - i)
+        for k, ids in zip(special, encode_whole([data[at[k] : at[k + 1]] for k in special], path, end_id)):
+            made[i + k] = ids
+    return made
 
 
 def build(ids: np.ndarray) -> tuple[list[tuple[np.ndarray, list[bytes]]], int, int]:
@@ -143,11 +210,11 @@ def build(ids: np.ndarray) -> tuple[list[tuple[np.ndarray, list[bytes]]], int, i
     width = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     now, planes = ids.astype(np.uint16 if width <= 16 else np.uint32), []
     for bit in range(width - 1, -1, -1):
-        ones = (now >> bit) & 1
-        blocks = [ones[i : i + BLOCK_BITS] for i in range(0, len(ones), BLOCK_BITS)]
-        before = np.cumsum([0, *(int(b.sum()) for b in blocks)])
-        planes.append((before.astype("<i8"), [zlib.compress(np.packbits(b.astype(np.uint8)).tobytes(), 1) for b in blocks]))
-        one = ones.astype(bool)
+        one = (now & now.dtype.type(1 << bit)) != 0
+        counts = np.add.reduceat(one, np.arange(0, len(one), BLOCK_BITS), dtype=np.int64) if len(one) else []
+        before, packed = np.cumsum([0, *counts]), np.packbits(one).tobytes()
+        blocks = [zlib.compress(packed[i : i + BLOCK_BITS // 8], 1) for i in range(0, len(packed), BLOCK_BITS // 8)]
+        planes.append((before.astype("<i8"), blocks))
         now = np.concatenate((now[~one], now[one]))
     return planes, width, len(ids)
 
@@ -270,6 +337,19 @@ class WaveletFile:
         return ids
 
 
+def larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The same rows in tables of about PIECE_BYTES, so that fewer pieces are looked up repeatedly."""
+    kept, size = [], 0
+    for batch in batches:
+        kept.append(batch)
+        size += batch.nbytes
+        if size >= PIECE_BYTES:
+            yield pa.Table.from_batches(kept).combine_chunks()
+            kept, size = [], 0
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
 MANIFEST = "file string, shard int, roll int, documents long, tokens long"
 
 
@@ -286,7 +366,7 @@ def shard_writer(path: str, vocabulary: str, end_id: int, file_tokens: int):
             row = {"file": name, "shard": at, "roll": roll, "documents": len(docs), "tokens": n}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for batch in batches:
+        for batch in larger(batches):
             made = encode_texts(*text_bytes(batch.column("text")), vocabulary, end_id)
             for shard, doc, one in zip(batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist(), made):
                 if docs and (shard != at or n + len(one) > file_tokens):
