@@ -16,6 +16,8 @@ from bayline.functions.flags import (
 )
 from bayline.functions.scalars import days_between, hours_between
 from bayline.operators.joins import keep_valid
+from bayline.sources.sinks import stage
+
 
 # fixed values of the cleaning rules
 MAX_REPAIR_HOURS = 24
@@ -156,9 +158,13 @@ def cascade(
 ) -> dict[str, DataFrame]:
     """Filter every child against its filtered parents.
 
-    ``relationships`` holds (child, fk, parent, pk), parents before their own children.
+    ``relationships`` holds (child, fk, parent, pk), parents before their own children. Every
+    filtered table is staged once it is whole, so that no child repeats the chain above it.
     """
     kept = dict(tables)
-    for child, fk, parent, pk in relationships:
+    last = {child: i for i, (child, *_) in enumerate(relationships)}
+    for i, (child, fk, parent, pk) in enumerate(relationships):
         kept[child] = keep_valid(kept[child], fk, kept[parent], pk)
+        if last[child] == i:
+            kept[child] = stage(kept[child], f"kept_{child}")
     return kept

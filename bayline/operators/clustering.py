@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayline.operators.quantiles import scalar_row
+from bayline.sources.sinks import stage
 
 # fixed values: columns of the first and of the refined clustering, restarts and seed
 FEATURES_V1 = (
@@ -58,11 +59,12 @@ def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumn("_scale", stats).withColumns({c: scaled(c) for c in cols}).drop("_scale")
 
 
-def _vectors(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    scaled = standardize(df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]), cols)
-    return VectorAssembler(inputCols=list(cols), outputCol="_features").transform(scaled).select(
-        key, "_features"
-    )
+def _vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows with their standardised features as one vector."""
+    scaled = [f"_scaled_{c}" for c in cols]
+    rows = df.withColumns({s: F.col(c).cast("double") for s, c in zip(scaled, cols)})
+    assembler = VectorAssembler(inputCols=scaled, outputCol="_features")
+    return assembler.transform(standardize(rows, scaled)).drop(*scaled)
 
 
 def _best_model(vectors: DataFrame, k: int, restarts: int):
@@ -81,25 +83,28 @@ def _best_model(vectors: DataFrame, k: int, restarts: int):
 def kmeans_fit(
     df: DataFrame, key: str, cols: Sequence[str], k: int = CLUSTERS, restarts: int = RESTARTS
 ) -> DataFrame:
-    """The rows with their cluster, from the best of several k-means runs."""
-    vectors = _vectors(df, key, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    model = _best_model(vectors, k, restarts)
-    labels = model.transform(vectors).select(key, "cluster_id")
-    vectors.unpersist()
-    return df.join(labels, key)
+    """The rows that have a key with their cluster, from the best of several k-means runs."""
+    vectors = _vectors(df.filter(F.col(key).isNotNull()), cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        clustered = _best_model(vectors, k, restarts).transform(vectors)
+        return stage(clustered.drop("_features"), "clustered")
+    finally:
+        vectors.unpersist()
 
 
 def k_search(
     df: DataFrame, key: str, cols: Sequence[str], ks: Sequence[int], restarts: int = RESTARTS
 ) -> DataFrame:
     """Silhouette per number of clusters and whether it is the best one."""
-    vectors = _vectors(df, key, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = _vectors(df.select(key, *cols), cols).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = ClusteringEvaluator(featuresCol="_features", predictionCol="cluster_id")
-    scores = [
-        (k, float(evaluator.evaluate(_best_model(vectors, k, restarts).transform(vectors))))
-        for k in ks
-    ]
-    vectors.unpersist()
+    try:
+        scores = [
+            (k, float(evaluator.evaluate(_best_model(vectors, k, restarts).transform(vectors))))
+            for k in ks
+        ]
+    finally:
+        vectors.unpersist()
     best = max(scores, key=lambda row: row[1])[0]
     return df.sparkSession.createDataFrame(
         [(k, score, k == best) for k, score in scores],
@@ -117,6 +122,11 @@ def silhouette(df: DataFrame, vector: str, label: str) -> DataFrame:
     rows = df.select(
         F.col(label).alias("_label"), F.col(vector).cast("array<double>").alias("_x")
     ).dropna()
+    # distances do not depend on the origin; near the mean, the difference of norms keeps its digits
+    mean = rows.agg(vector_to_array(Summarizer.mean(array_to_vector("_x")))).scalar()
+    rows = rows.withColumn("_mean", mean).withColumn(
+        "_x", F.zip_with("_x", "_mean", lambda v, m: v - m)
+    ).drop("_mean")
     norm = F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)
     rows = rows.withColumn("_norm", norm)
     # one entry per cluster: labels are few, like the k of a clustering
@@ -137,7 +147,8 @@ def silhouette(df: DataFrame, vector: str, label: str) -> DataFrame:
             F.lit(0.0),
             lambda acc, v: acc + v,
         )
-        return cluster["n"] * F.col("_norm") + cluster["norms"] - F.lit(2.0) * dot
+        total = cluster["n"] * F.col("_norm") + cluster["norms"] - F.lit(2.0) * dot
+        return F.greatest(total, F.lit(0.0))
 
     distances = F.transform(
         F.col("_clusters"),

@@ -188,7 +188,10 @@ def with_actions(named: DataFrame, actions: Mapping[str, str]) -> DataFrame:
 def label_customers(
     customers: DataFrame, named: DataFrame, actions: Mapping[str, str], by: str = "cluster_id"
 ) -> DataFrame:
-    """Segment name and recommended action on every customer."""
-    return attach_agg(
-        customers, with_actions(named, actions).select(by, "segment_name", "recommended_action"), by
-    )
+    """Segment name and recommended action on every customer.
+
+    ``named`` has one row per cluster, as many as the k of a clustering, so it is broadcast
+    and the customers are not shuffled on a few cluster numbers.
+    """
+    labels = with_actions(named, actions).select(by, "segment_name", "recommended_action")
+    return attach_agg(customers, F.broadcast(labels), by)

@@ -254,7 +254,7 @@ class Tables:
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         """The eight tables with their defects: missing keys, orphans, broken rules."""
-        return self._raw_of(self.visits, self.full_appointments, self.vehicles)
+        return self._raw_of(self.visits, self.full_appointments, self.vehicles, self.parts)
 
     @cached_property
     def raw_layer(self) -> dict[str, DataFrame]:
@@ -264,10 +264,11 @@ class Tables:
             visits,
             stage(self._full_appointments_of(visits), "raw_appointments"),
             stage(self._vehicles_of(visits), "raw_vehicles"),
+            stage(self.parts, "raw_parts"),
         )
 
     def _raw_of(
-        self, visits: DataFrame, appointments: DataFrame, vehicles: DataFrame
+        self, visits: DataFrame, appointments: DataFrame, vehicles: DataFrame, parts: DataFrame
     ) -> dict[str, DataFrame]:
         customers = self.customers.withColumn(
             "customer_id", null_unless(F.col("customer_id"), F.col("account_balance") > 0)
@@ -279,7 +280,7 @@ class Tables:
             "appointments": appointments,
             "service_visits": visits,
             "repairs": self.repairs,
-            "parts": self.parts,
+            "parts": parts,
             "customer_surveys": self.raw_surveys,
         }
 
@@ -293,9 +294,11 @@ class Tables:
 
     @cached_property
     def clean_appointments(self) -> DataFrame:
-        return clean_appointments(
+        """Cleaned appointments, staged: visits are filtered by them."""
+        kept = clean_appointments(
             self.raw["appointments"], self.clean_customers, self.clean_vehicles, self.raw["dealers"]
         )
+        return stage(kept, "clean_appointments")
 
     @cached_property
     def clean_visits(self) -> DataFrame:
@@ -304,7 +307,8 @@ class Tables:
 
     @cached_property
     def clean_repairs(self) -> DataFrame:
-        return clean_repairs(self.repairs, self.clean_visits, CATEGORY_FIXES)
+        """Cleaned repairs, staged: parts are filtered by them."""
+        return stage(clean_repairs(self.repairs, self.clean_visits, CATEGORY_FIXES), "clean_repairs")
 
     @cached_property
     def clean(self) -> dict[str, DataFrame]:

@@ -119,8 +119,13 @@ union all select 'customer_surveys', count(*) from k_surveys
 @query("cln9_cascade", _CASCADE_SQL)
 def cascade(t: Tables):
     """Rows that are left in each child table when only the keys decide."""
-    kept = cleaning.cascade(t.raw_layer, RELATIONSHIPS)
     children = dict.fromkeys(child for child, *_ in RELATIONSHIPS)
+    keys: dict[str, dict[str, None]] = {}
+    for child, fk, parent, pk in RELATIONSHIPS:
+        keys.setdefault(child, {})[fk] = None
+        keys.setdefault(parent, {})[pk] = None
+    tables = {name: t.raw_layer[name].select(*columns) for name, columns in keys.items()}
+    kept = cleaning.cascade(tables, RELATIONSHIPS)
     frames = [
         kept[name].agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table"), "row_count"

@@ -185,29 +185,31 @@ CLEAN_ROLES = {
 RAW_WITH = with_roles(*RAW_ROLES.values())
 
 _PROFILED = {
-    "customers": ("customer_id:bigint", "region:string", "customer_type:string", "account_balance:double"),
-    "customer_surveys": (
-        "survey_id:bigint",
-        "visit_id:bigint",
-        "survey_date:timestamp_ntz",
-        "csat_score:double",
-        "complaint_flag:int",
-    ),
-    "repairs": (
-        "repair_id:bigint",
-        "visit_id:bigint",
-        "repair_category:string",
-        "estimated_hours:double",
-        "actual_hours:double",
-        "repair_status:string",
-    ),
+    "customers": "customer_id:bigint region:string customer_type:string account_balance:double",
+    "vehicles": "vehicle_id:string customer_id:bigint part_id:bigint",
+    "dealers": "dealer_id:bigint dealer_name:string region:string balance:double",
+    "appointments": """appointment_id:bigint customer_id:bigint booking_date:timestamp_ntz
+        service_type:string appointment_status:string dealer_id:bigint
+        appointment_date:timestamp_ntz scheduled_duration_hours:double
+        promised_completion:timestamp_ntz vehicle_id:string""",
+    "service_visits": """visit_id:bigint appointment_id:bigint part_id:bigint dealer_id:bigint
+        check_in_time:timestamp_ntz service_start_time:timestamp_ntz
+        completion_time:timestamp_ntz promised_completion:timestamp_ntz visit_status:string
+        actual_duration_hours:double scheduled_duration_hours:double delay_hours:double
+        delay_flag:int first_time_fix_flag:int""",
+    "repairs": """repair_id:bigint visit_id:bigint repair_category:string
+        estimated_hours:double actual_hours:double repair_status:string""",
+    "parts": """part_transaction_id:string repair_id:bigint part_id:bigint
+        part_order_date:timestamp_ntz part_received_date:timestamp_ntz parts_delay_flag:int""",
+    "customer_surveys": """survey_id:bigint visit_id:bigint survey_date:timestamp_ntz
+        csat_score:double complaint_flag:int""",
 }
 
 
-def _profile_sql(table: str, columns) -> str:
+def _profile_sql(table: str, columns: str) -> str:
     role = RAW_ROLES[table]
     rows = []
-    for entry in columns:
+    for entry in columns.split():
         column, kind = entry.split(":")
         rows.append(
             f"""select '{table}' as "table", '{column}' as "column", '{kind}' as data_type,
@@ -221,14 +223,14 @@ def _profile_sql(table: str, columns) -> str:
 PROFILE_SQL = "\nunion all ".join(_profile_sql(t, c) for t, c in _PROFILED.items())
 
 
-@query("dq1_profile", with_roles("raw_customers", "raw_surveys", "repairs") + PROFILE_SQL)
+@query("dq1_profile", RAW_WITH + PROFILE_SQL)
 def profile(t: Tables):
-    return quality.profile({name: t.raw[name] for name in _PROFILED})
+    return quality.profile(t.raw_layer)
 
 
 @query(
     "dq2_missing_issues",
-    with_roles("raw_customers", "raw_surveys", "repairs")
+    RAW_WITH
     + f""", profiled as ({PROFILE_SQL})
         select "table", "column", 'Missing Values' as issue_type,
                missing_count as affected_rows,
@@ -237,7 +239,7 @@ def profile(t: Tables):
         from profiled where missing_count > 0""",
 )
 def missing_issues(t: Tables):
-    return quality.missing_issues(quality.profile({name: t.raw[name] for name in _PROFILED}))
+    return quality.missing_issues(quality.profile(t.raw_layer))
 
 
 def _duplicate_sql(table: str, key: str) -> str:
