@@ -184,22 +184,20 @@ def fit_logit(
 ) -> PipelineModel:
     """Balanced logistic regression with an L2 penalty of 1/n on the summed loss."""
     weighted = balanced_weights(train, label).persist(StorageLevel.MEMORY_AND_DISK)
-    n = weighted.count()
-    stages = [
-        *feature_pipeline(weighted, numeric, categorical),
-        LogisticRegression(
+    try:
+        logit = LogisticRegression(
             labelCol=label,
             weightCol="weight",
             featuresCol="features",
-            regParam=1.0 / n,
+            regParam=1.0 / weighted.count(),
             elasticNetParam=0.0,
             standardization=False,
             maxIter=MAX_ITERATIONS,
-        ),
-    ]
-    model = Pipeline(stages=stages).fit(weighted)
-    weighted.unpersist()
-    return model
+        )
+        stages = [*feature_pipeline(weighted, numeric, categorical), logit]
+        return Pipeline(stages=stages).fit(weighted)
+    finally:
+        weighted.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

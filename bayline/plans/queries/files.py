@@ -5,11 +5,14 @@ Files go to a fresh folder below the shared scratch folder of the session.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayline.plans.binding import GIVEN_SCHEMAS, Tables
-from bayline.plans.queries.marts import FACT_COLUMNS, FACT_SQL, fact_visits
-from bayline.plans.registry import query, rounded
+from bayline.plans.queries import marts
+from bayline.plans.registry import ORACLES, query
 from bayline.plans.script import result_catalog, run_script
 from bayline.session import scratch_dir
 from bayline.sources.contract import check_inputs
@@ -117,20 +120,77 @@ def numbered_results(t: Tables):
     return frames[0].unionByName(frames[1])
 
 
-@query(
-    "snk3_write_marts",
-    FACT_SQL + "select * replace (round(delay_hours, 6) + 0.0 as delay_hours) from fact",
+# table of the mart -> its query and its columns
+_MARTS = {
+    "fact_service_visits": (
+        "mrt1_fact_visits",
+        marts.fact,
+        """visit_id appointment_id customer_id dealer_id booking_date:time service_type
+        appointment_status csat_score:double complaint_flag dealer_name region delay_hours:double
+        service_date service_year service_month service_month_name service_week day_of_week
+        delayed_visit severe_delay first_time_fix""",
+    ),
+    "dim_customers": (
+        "mrt2_dim_customers",
+        marts.dim_customers,
+        """customer_id region customer_type segment_name visit_count:double delay_rate:double
+        avg_csat:double complaint_rate:double recency_days:double""",
+    ),
+    "dim_vehicles": ("mrt3_dim_vehicles", marts.dim_vehicles, "vehicle_id customer_id part_id"),
+    "dim_dealers": ("mrt3_dim_dealers", marts.dim_dealers, "dealer_id dealer_name region"),
+    "segment_summary": (
+        "mrt4_segment_summary",
+        marts.segment_summary,
+        """segment_name customers avg_visits:double avg_unique_vehicles:double
+        avg_delay_hours:double delay_rate:double avg_csat:double complaint_rate:double
+        avg_service_types:double avg_recency_days:double customer_percentage:double""",
+    ),
+    "experiment_summary": (
+        "mrt4_experiment_summary",
+        marts.experiment_summary,
+        "experiment_group customers delay_rate:double avg_csat:double complaint_rate:double",
+    ),
+}
+
+
+def _digest(columns: str) -> str:
+    """First eight hex digits of a hash of a row, in the SQL of both engines."""
+    texts = []
+    for entry in columns.split():
+        column, _, kind = entry.partition(":")
+        if kind == "double":
+            column = f"cast(round({column} * 10000) as bigint)"
+        elif kind == "time":
+            column = f"cast({column} as date)"
+        texts.append(f"coalesce(cast({column} as string), '~')")
+    return f"substr(md5(concat_ws('|', {', '.join(texts)})), 1, 8)"
+
+
+_MARTS_SQL = "\nunion all ".join(
+    f"""select '{name}' as "table", count(*) as row_count,
+        cast(sum(cast('0x' || {_digest(columns)} as bigint)) as bigint) as checksum
+        from ({ORACLES[oracle]})"""
+    for name, (oracle, _, columns) in _MARTS.items()
 )
+
+
+@query("snk3_write_marts", _MARTS_SQL)
 def write_star(t: Tables):
-    """The fact partitioned by month next to a dimension, read back whole."""
-    tables = {"fact_service_visits": fact_visits(t), "dim_dealers": t.dealers}
+    """All six tables of the mart, the fact partitioned by month; rows and checksum as read back."""
     paths = write_marts(
-        tables,
+        {name: build(t) for name, (_, build, _) in _MARTS.items()},
         scratch_dir(t.spark, "snk3"),
         {"fact_service_visits": ["service_year", "service_month"]},
     )
-    fact = t.spark.read.parquet(paths["fact_service_visits"])
-    return rounded(fact.select(*FACT_COLUMNS))
+    frames = [
+        t.spark.read.parquet(paths[name]).agg(
+            F.lit(name).alias("table"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.conv(F.expr(_digest(columns)), 16, 10).cast("long")).alias("checksum"),
+        )
+        for name, (_, _, columns) in _MARTS.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 _SCRIPT = """

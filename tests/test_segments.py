@@ -134,6 +134,8 @@ def test_silhouette_against_all_pairs(spark):
     df = spark.createDataFrame([(x[i].tolist(), int(label[i])) for i in range(60)], "x array<double>, l int")
     n, got = clustering.silhouette(df.repartition(3), "x", "l").first()
     assert n == 60 and got == pytest.approx(np.mean(scores), rel=1e-9)
+    far = df.withColumn("x", F.transform("x", lambda v: v + 1e8))
+    assert clustering.silhouette(far, "x", "l").first()[1] == pytest.approx(got, rel=1e-5)
 
 
 def test_kmeans_finds_separated_groups(spark):
