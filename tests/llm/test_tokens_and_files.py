@@ -35,6 +35,8 @@ def test_pieces_give_the_ids_of_whole_texts():
     rng = random.Random(2)
     texts = ["", "A.b, <|endoftext|> <|ENDOFTEXT|>", "x́, \x1c y\x85z İ ß"]
     texts += ["".join(rng.choice("abçéàùÿßÉ ,.'st\n<|>1") for _ in range(80)) for _ in range(300)]
+    marks = [*"astmdTx ,-_=<>|\"05\t\x0b\x1c\u00a0é\u0338\u212aſİ中𝒜½~#$\x00\x7f", "'s", "'ll", "n't", "<|endoftext|>"]
+    texts += ["".join(rng.choice(marks) for _ in range(rng.choice((1, 3, 40)))) for _ in range(500)]
     encoder = wavelet.tokenizer(PATH)
     raw = [t.encode() for t in texts]
     offsets = np.cumsum([0, *map(len, raw)])
