@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,16 +181,20 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit_logit(
-    train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]
+    train: DataFrame,
+    label: str,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    penalty: float = 1.0,
 ) -> PipelineModel:
-    """Balanced logistic regression with an L2 penalty of 1/n on the summed loss."""
+    """Balanced logistic regression with an L2 penalty of ``penalty``/n on the mean loss."""
     weighted = balanced_weights(train, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         logit = LogisticRegression(
             labelCol=label,
             weightCol="weight",
             featuresCol="features",
-            regParam=1.0 / weighted.count(),
+            regParam=penalty / weighted.count(),
             elasticNetParam=0.0,
             standardization=False,
             maxIter=MAX_ITERATIONS,
@@ -200,6 +205,42 @@ def fit_logit(
         weighted.unpersist()
 
 
+def optimum(model: PipelineModel, train: DataFrame, label: str, penalty: float = 1.0) -> DataFrame:
+    """How well the fit solves its problem on the rows it was fitted on, one row.
+
+    Gives the rows, the weight of each class, the weighted mean probability, which an
+    unpenalised intercept brings to the weighted rate, and the norm of the penalised gradient.
+    """
+    p, y, w = F.col("_p"), F.col(label), F.col("weight")
+    rows = model.transform(balanced_weights(train, label)).select(
+        label, "weight", "features", vector_to_array("probability")[1].alias("_p")
+    )
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(w * (1 - y)).alias("weight_0"),
+        F.sum(w * y).alias("weight_1"),
+        F.sum(w * p).alias("_expected"),
+        vector_to_array(Summarizer.mean(F.col("features"), w * p)).alias("_x_expected"),
+        vector_to_array(Summarizer.mean(F.col("features"), w * y)).alias("_x_actual"),
+    )
+    n = F.col("rows")
+    fitted = F.array(*[F.lit(float(c)) for c in model.stages[-1].coefficients])
+    pull = F.zip_with(
+        "_x_expected",
+        "_x_actual",
+        lambda e, a: (F.col("_expected") * e - F.col("weight_1") * a) / n,
+    )
+    gradient = F.zip_with(pull, fitted, lambda g, c: g + F.lit(penalty) * c / n)
+    norm = F.sqrt(F.aggregate(gradient, F.lit(0.0), lambda total, g: total + g * g))
+    return sums.select(
+        "rows",
+        "weight_0",
+        "weight_1",
+        (F.col("_expected") / n).alias("weighted_probability"),
+        norm.alias("gradient_norm"),
+    )
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add the probability of a delay and the predicted class."""
     scored = model.transform(df)

@@ -117,6 +117,35 @@ def kmeans_refined(t: Tables):
     )
 
 
+def _corners(t: Tables):
+    """Customers in four groups by their number, around the corners of a square, by two real rates."""
+    return t.imputed_v2.withColumns(
+        {
+            "x": F.col("customer_id") % 2 * 10.0 + F.col("delay_rate"),
+            "y": F.floor(F.col("customer_id") % 4 / 2) * 10.0 + F.col("complaint_rate"),
+        }
+    )
+
+
+@query(
+    "seg6_corner_clusters",
+    with_roles("imputed_v2")
+    + """select customer_id, min(customer_id) over (partition by customer_id % 4) as first_customer,
+               count(*) over (partition by customer_id % 4) as customers
+         from imputed_v2""",
+)
+def corner_clusters(t: Tables):
+    """Each customer with the first customer and the size of its cluster."""
+    clustered = clustering.kmeans_fit(_corners(t), "customer_id", ["x", "y"])
+    sizes = clustered.groupBy("cluster_id").agg(
+        F.min("customer_id").alias("first_customer"), F.count(F.lit(1)).alias("customers")
+    )
+    # one row per cluster
+    return clustered.join(F.broadcast(sizes), "cluster_id").select(
+        "customer_id", "first_customer", "customers"
+    )
+
+
 PSEUDO_SQL = with_roles("imputed_v2") + """, clusters as (
   select *, (customer_id % 4)::int as cluster_id from imputed_v2),
 profile as (
@@ -202,8 +231,26 @@ def labelled_customers_v1(t: Tables):
     return labelled.select("customer_id", "cluster_id", "segment_name", "recommended_action")
 
 
+@query(
+    "seg9_corner_segments",
+    PSEUDO_SQL + NAMED_V2_SQL
+    + f""", actions(segment_name, recommended_action) as (values {_text(segments.CLUSTER_ACTIONS_V2)})
+         select customers, round(avg_visits, 6) as avg_visits, round(delay_rate, 6) as delay_rate,
+                round(avg_csat, 6) as avg_csat, segment_name, recommended_action
+         from named left join actions using (segment_name)""",
+)
+def corner_segments(t: Tables):
+    clustered = clustering.kmeans_fit(_corners(t), "customer_id", ["x", "y"])
+    named = segments.name_clusters_v2(cluster_profile(clustered))
+    return rounded(
+        segments.with_actions(named, segments.CLUSTER_ACTIONS_V2).select(
+            "customers", "avg_visits", "delay_rate", "avg_csat", "segment_name", "recommended_action"
+        )
+    )
+
+
 # the check forms every pair of rows, which the query never does
-_SILHOUETTE_SQL = """
+_DISTANCES_SQL = """
 dist as (select a.id, a.label, b.label as other,
                 sum(list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) ^ 2)))
                   as total, count(*) as n
@@ -212,11 +259,35 @@ parts as (select id, max(case when label = other then n end) as own_n,
                  max(case when label = other then total / nullif(n - 1, 0) end) as a,
                  min(case when label <> other then total / n end) as b
           from dist group by id)
-select count(*) as n,
-       round(avg(case when own_n = 1 then 0 else (b - a) / greatest(a, b) end), 6)
-         as silhouette_score
-from parts
 """
+_SCORE_SQL = "round(avg(case when own_n = 1 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette_score"
+_SILHOUETTE_SQL = _DISTANCES_SQL + f"select count(*) as n, {_SCORE_SQL} from parts"
+
+_CORNER_SEARCH_SQL = (
+    with_roles("imputed_v2")
+    + """, corners as (
+  select customer_id, 10.0 * (customer_id % 2) + delay_rate as x,
+         10.0 * (customer_id % 4 // 2) + complaint_rate as y from imputed_v2),
+points as (
+  select customer_id as id, customer_id % 4 as label,
+         [(x - avg(x) over ()) / stddev_pop(x) over (), (y - avg(y) over ()) / stddev_pop(y) over ()]::double[] as x
+  from corners),"""
+    + _DISTANCES_SQL
+    + f"select 4::int as k, {_SCORE_SQL}, true as best from parts"
+)
+
+
+@query("seg7_corner_search", _CORNER_SEARCH_SQL)
+def corner_search(t: Tables):
+    """The best number of clusters, of two to six, for the four groups."""
+    found = clustering.k_search(_corners(t), "customer_id", ["x", "y"], range(2, 7))
+    return rounded(found.filter("best"))
+
+
+@query("seg8_corner_compare", _CORNER_SEARCH_SQL)
+def corner_compare(t: Tables):
+    found = clustering.k_search(_corners(t), "customer_id", ["x", "y"], [3, 4])
+    return rounded(found.filter("best"))
 
 
 @query(
