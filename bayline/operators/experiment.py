@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from bayline.functions.flags import flag_label
 from bayline.functions.hashing import hash_uniform
-from bayline.operators.kpi import contingency, group_summary
+from bayline.operators.kpi import group_summary
 from bayline.operators.model import RISK_LABELS
 from bayline.operators.sampling import PARTS, weight_blocks
 from bayline.operators.stats import (
-    chi_square_of,
+    chi_square,
     cohens_d,
     decisions,
     lift,
@@ -64,8 +64,7 @@ def primary_test(
 
 def complaint_test(experiment: DataFrame, flag: str = "complaint_flag") -> DataFrame:
     """Chi-square test of a 0/1 flag between the groups, with both rates."""
-    cells = contingency(experiment, GROUP, flag)
-    test = chi_square_of(cells, GROUP, flag)
+    test = chi_square(experiment, GROUP, flag)
     rates = lift(sample_stats(experiment, GROUP, flag, CONTROL, TREATMENT))
     row = rates.select(
         F.struct(

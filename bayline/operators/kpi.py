@@ -110,14 +110,18 @@ def frequency(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total.cast("double"))
 
 
+def cell_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Counts of the pairs of levels that occur, without the rows that lack one."""
+    return df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+
+
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     """Counts for the full grid of the levels of two columns, long form.
 
     The cells of the table come together in one row, from which the empty ones are filled
     in, so the data is read once. Both columns hold category levels.
     """
-    cells = df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    table = cells.agg(
+    table = cell_counts(df, a, b).agg(
         F.collect_set(a).alias("_as"),
         F.collect_set(b).alias("_bs"),
         F.map_from_entries(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bayline.functions.flags import is_true
 from bayline.functions.special import chi_square_sf, normal_two_sided
-from bayline.operators.kpi import contingency
+from bayline.operators.kpi import cell_counts
 from bayline.operators.quantiles import median_of, quantiles_wide, rank_sums, scalar_row
 from bayline.sources.sinks import stage
 
@@ -87,52 +87,66 @@ def _upper_tail_twice(z: Column) -> Column:
     return F.when(z < 0, F.lit(1.0)).otherwise(normal_two_sided(z))
 
 
-def chi_square(df: DataFrame, a: str, b: str, yates: str | bool = "auto") -> DataFrame:
+def chi_square(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
     """Chi-square test of independence of two columns, one row.
 
-    Yates' correction applies to one degree of freedom unless switched on or off. A table
+    Yates' correction applies to one degree of freedom unless switched off. A table
     with a single row or column, or with an empty margin, gives NULL.
     """
-    return chi_square_of(contingency(df, a, b), a, b, yates)
+    return chi_square_of(cell_counts(df, a, b), a, b, yates)
 
 
-def chi_square_of(cells: DataFrame, a: str, b: str, yates: str | bool = "auto") -> DataFrame:
-    """The same from a full grid of counts (a, b, n), a table of result size."""
-    everything = Window.partitionBy(F.lit(0))
-    margins = cells.select(
+def chi_square_of(cells: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
+    """The same from counts (a, b, n), one row per cell; a cell that is not there is empty.
+
+    The grid is not filled in: an empty cell adds its expected count, and all expected counts
+    sum to the total. In a table of two by two, every cell is off by the same amount.
+    """
+    cells = stage(cells, "cells")
+    total = cells.agg(F.sum("n").cast("double")).scalar()
+
+    def margin(of: str, across: str) -> list[Column]:
+        first = F.row_number().over(Window.partitionBy(of).orderBy(across)) == 1
+        size = F.sum("n").over(Window.partitionBy(of)).cast("double")
+        return [size, F.when(first, size)]
+
+    row, row_once = margin(a, b)
+    col, col_once = margin(b, a)
+    table = cells.select(
         F.col("n").cast("double").alias("_n"),
-        F.sum("n").over(Window.partitionBy(a)).alias("_row"),
-        F.sum("n").over(Window.partitionBy(b)).alias("_col"),
-        F.sum("n").over(everything).alias("_total"),
-        (
-            (F.size(F.collect_set(a).over(everything)) - 1)
-            * (F.size(F.collect_set(b).over(everything)) - 1)
-        ).alias("_dof"),
-    )
-    dof = F.col("_dof")
-    expected = F.try_divide(
-        F.col("_row").cast("double") * F.col("_col"), F.col("_total").cast("double")
+        row.alias("_row"),
+        row_once.alias("_row_once"),
+        col.alias("_col"),
+        col_once.alias("_col_once"),
+        total.alias("_total"),
+    ).withColumn("_expected", F.try_divide(F.col("_row") * F.col("_col"), F.col("_total")))
+    gap = F.abs(F.col("_n") - F.col("_expected"))
+    one = F.lit(1.0)
+    sums = table.agg(
+        F.sum(F.try_divide(gap * gap, F.col("_expected"))).alias("_observed"),
+        F.max(gap).alias("_gap"),
+        F.max("_total").alias("_total"),
+        F.sum("_expected").alias("_covered"),
+        F.count(one).alias("_cells"),
+        F.count("_row_once").alias("_rows"),
+        F.count("_col_once").alias("_cols"),
+        F.sum(F.try_divide(one, F.col("_row_once"))).alias("_per_row"),
+        F.sum(F.try_divide(one, F.col("_col_once"))).alias("_per_col"),
+        # a zero margin makes the whole statistic undefined, not just its cell
+        F.max(F.coalesce(F.col("_expected") == 0, F.lit(True))).alias("_empty"),
     )
-    gap = F.abs(F.col("_n") - expected)
-    if yates == "auto":
-        corrected = F.when(dof == 1, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
-    else:
-        corrected = gap - F.least(F.lit(0.5), gap) if yates else gap
-    # a zero margin makes the whole statistic undefined, not just its cell
-    parts = margins.select(
-        F.try_divide(corrected * corrected, expected).alias("_part"),
-        F.coalesce(expected == 0, F.lit(True)).alias("_empty"),
-        "_dof",
+    dof = (F.col("_rows") - 1) * (F.col("_cols") - 1)
+    missing = F.when(F.col("_cells") == F.col("_rows") * F.col("_cols"), F.lit(0.0)).otherwise(
+        F.col("_total") - F.col("_covered")
     )
+    plain = F.col("_observed") + missing
+    off = F.col("_gap") - F.least(F.lit(0.5), F.col("_gap"))
+    corrected = off * off * F.col("_total") * F.col("_per_row") * F.col("_per_col")
+    statistic = F.when(dof == 1, corrected).otherwise(plain) if yates else plain
     return (
-        parts.agg(
-            F.sum("_part").alias("_chi"),
-            F.max("_empty").alias("_empty"),
-            F.max("_dof").cast("int").alias("degrees_of_freedom"),
-        )
-        .withColumn(
-            "chi_square",
-            F.when(~F.col("_empty") & (F.col("degrees_of_freedom") > 0), F.col("_chi")),
+        sums.select(
+            F.when(~F.col("_empty") & (dof > 0), statistic).alias("chi_square"),
+            F.when(F.col("_cells") > 0, dof).cast("int").alias("degrees_of_freedom"),
         )
         .withColumn("p_value", chi_square_sf(F.col("chi_square"), F.col("degrees_of_freedom")))
         .withColumn("significant_at_0_05", significant(F.col("p_value")))

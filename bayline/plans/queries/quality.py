@@ -8,6 +8,7 @@ from bayline.plans.binding import CATEGORY_FIXES, Tables, with_roles
 from bayline.plans.registry import query
 from bayline.sources.schemas import PRIMARY_KEYS, RELATIONSHIPS
 
+# fixed values: names, severities and actions of the issues in the reports
 HIGH_ACTION = "Remove invalid records"
 
 RULES: list[Rule] = [

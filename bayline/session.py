@@ -39,8 +39,8 @@ def local_session(cores: int | str = 8, app: str = "bayline") -> SparkSession:
     return tune(spark)
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder the cluster names.
+def session_scratch(spark: SparkSession) -> str:
+    """The session's own folder below the shared folder the cluster names.
 
     ``spark.checkpoint.dir`` comes from the session. Only a local master without
     that setting gets a folder on the machine itself.
@@ -49,5 +49,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        shared = tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        shared = tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/bayline-{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder in the session's scratch folder."""
+    return f"{session_scratch(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Delete the session's scratch folder once no result that reads from it is needed any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(session_scratch(spark))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

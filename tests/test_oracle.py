@@ -7,8 +7,6 @@ import __spark_entry__ as entry
 from tools.check import NAMES, table
 
 SF_DIR = "/root/testdata/sf0.001"
-# fits of many models; their operators have tests of their own
-SLOW = {"seg7_k_search", "seg8_k_compare"}
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +17,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     columns, rows = table(df.columns, [tuple(r) for r in df.collect()])

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from bayline import session
 from bayline.plans.script import returns_rows, run_script, statements_of
 from bayline.session import scratch_dir
 from bayline.sources.contract import check_inputs
@@ -111,3 +112,10 @@ def test_script_runs_in_order_and_stops_at_an_error(spark, tmp_path):
     with pytest.raises(Exception):
         run_script(spark, ["SELECT 1 AS a", "SELECT nothing FROM nowhere", "SELECT 2 AS b"], str(tmp_path), "e")
     assert (tmp_path / "e_01").exists() and not (tmp_path / "e_02").exists()
+
+
+def test_clean_scratch_removes_the_folder_of_the_session(spark, tmp_path, monkeypatch):
+    assert scratch_dir(spark, "x").startswith(session.session_scratch(spark) + "/x-")
+    monkeypatch.setattr(session, "session_scratch", lambda _: str(tmp_path / "own"))
+    assert stage(spark.range(3).toDF("x"), "kept").count() == 3 and (tmp_path / "own").exists()
+    assert session.clean_scratch(spark) and not list(tmp_path.iterdir())

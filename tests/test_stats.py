@@ -83,6 +83,23 @@ def test_chi_square_of_an_empty_margin(spark):
     assert stats.chi_square_of(cells, "x", "y").first().chi_square is None
 
 
+def test_chi_square_with_empty_cells_and_large_counts(spark):
+    """Cells that are not there count as empty; a small gap in large counts keeps its digits."""
+    table = np.array([[12, 0, 30], [0, 9, 17], [5, 8, 0]])
+    cells = [(f"r{i}", f"c{j}", int(table[i, j])) for i in range(3) for j in range(3) if table[i, j]]
+    expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
+    chi = float(((table - expected) ** 2 / expected).sum())
+    sparse = stats.chi_square_of(spark.createDataFrame(cells, "a string, b string, n long"), "a", "b").first()
+    assert sparse.chi_square == pytest.approx(chi, rel=1e-12) and sparse.degrees_of_freedom == 4
+    n = 10**12
+    large = [("r0", "c0", n + 10**6), ("r0", "c1", n), ("r1", "c0", n), ("r1", "c1", n + 10**6)]
+    frame = spark.createDataFrame(large, "a string, b string, n long")
+    got = stats.chi_square_of(frame, "a", "b", yates=False).first().chi_square
+    assert got == pytest.approx(4 * (5 * 10**5) ** 2 / (n + 5 * 10**5), rel=1e-9)
+    none = stats.chi_square_of(frame.limit(0), "a", "b").first()
+    assert none.chi_square is None and none.degrees_of_freedom is None
+
+
 def test_chi_square_larger_table(spark):
     table = np.array([[10, 20, 30], [6, 9, 17]])
     counts = [((f"r{i}", f"c{j}"), int(table[i, j])) for i in range(2) for j in range(3)]
