@@ -1,0 +1,178 @@
+"""Links between texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly.
+
+Candidates: two sets of a and b shingles that are similar enough share at least ceil(0.8 a) of the first and
+ceil(0.8 b) of the second, so in any order of all shingles their smallest shared one is among the first
+a - ceil(0.8 a) + 1 of the first set and likewise of the second. Each set publishes these. The order
+puts shingles that many texts of a sample hold last, then goes by hash: which order it is changes the
+work, not the result. A pair of sets is a candidate if a published shingle allows enough others behind it.
+
+Links matter for what they connect: candidates are first compared with the least set of each shingle;
+then all pairs that this left unconnected. A comparison counts the shared shingles of the whole sets.
+
+Words are runs of bytes other than the six ASCII spaces, A-Z are lower-cased, and a text with fewer words
+is one shingle. Shingles and whole sets are known by 64-bit hashes. Null and blank texts have the empty set,
+which is similar to itself only. An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+
+from bayline.llm.common import row_chunks, stage, text_bytes
+from bayline.llm.components import components
+from bayline.llm.kneser_ney import mix, tokens
+
+WIDTH = 5
+#: Similarity as a fraction.
+OVER, UNDER = 4, 5
+#: Texts in the sample that finds frequent shingles, how many of them must hold one, and how many are kept.
+SAMPLE = 20_000
+OFTEN = 4
+FREQUENT = 1 << 17
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def need(n):
+    """How many of n shingles a similar set holds at least."""
+    return -(-n * OVER // UNDER)
+
+
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of each text."""
+    words, lengths = tokens(raw, offsets)
+    out, at = [], 0
+    for length in lengths.tolist():
+        own = words[at : at + length - 1]  # without the end
+        at += length
+        size = min(width, len(own))
+        n = len(own) - size + 1 if size else 0
+        hashes = np.full(n, size, np.uint64)
+        for i in range(size):
+            hashes = mix(hashes * STEP + own[i : i + n])
+        out.append(np.unique(hashes))
+    return out
+
+
+def sets_of(column: pa.Array) -> Iterator[np.ndarray]:
+    raw, offsets = text_bytes(column)
+    for i, j in row_chunks(offsets):
+        at = offsets[i : j + 1]
+        yield from shingle_sets(raw[at[0] : at[-1]], at - at[0])
+
+
+def signed(values: np.ndarray) -> pa.Array:
+    return pa.array(np.asarray(values, np.uint64).view(np.int64))
+
+
+def node_of(found: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(found.astype("<u8").tobytes())
+
+
+def published(found: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The first shingles of a set; ``frequent`` is sorted, ``ranks`` has the order of its members."""
+    rank = np.zeros(len(found), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+        rank = np.where(frequent[at] == found, ranks[at], 0)
+    return found[np.lexsort((found, rank))][: len(found) - need(len(found)) + 1]
+
+
+def list_array(sets: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), signed(np.concatenate([np.empty(0, np.uint64), *sets])))
+
+
+def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that many texts of a sample hold, and the rank of each: rare ones first."""
+    spark = texts.sparkSession
+    rows = texts.agg(F.count("*")).first()[0]
+    if rows > SAMPLE:
+        texts = texts.filter(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(rows)) < SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in sets_of(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([signed(found)], names=["hash"])
+
+    counted = texts.dropDuplicates(["text"]).mapInArrow(run, "hash long").groupBy("hash").count().filter(F.col("count") >= OFTEN)
+    top = counted.orderBy(F.col("count").desc(), "hash").limit(FREQUENT).collect()  # at most FREQUENT rows
+    hashes = np.array([r["hash"] for r in top], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(top) - np.arange(len(top)))[order]
+
+
+def with_sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """rows with text -> the other columns, node (hash of the set), n and published, in order."""
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    made = [StructField("node", LongType()), StructField("n", IntegerType()), StructField("published", ArrayType(LongType()))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, first = [], [], []
+            for found in sets_of(batch.column("text")):
+                nodes.append(node_of(found))
+                sizes.append(len(found))
+                first.append(published(found, *frequent) if len(found) else found)
+            columns = [signed(nodes), pa.array(sizes, pa.int32()), list_array(first)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *columns], names=[f.name for f in [*kept, *made]])
+
+    return rows.mapInArrow(run, StructType([*kept, *made]))
+
+
+def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow: node, text -> node, shingles; few sets at a time."""
+    for batch in batches:
+        for at, found in enumerate(sets_of(batch.column("text"))):
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(at, 1), list_array([found])], names=["node", "shingles"])
+
+
+def enough(shared: Column, a: str, b: str) -> Column:
+    """Whether sets of a and b shingles are similar if they share so many."""
+    return shared * (OVER + UNDER) >= (F.col(a) + F.col(b)) * OVER
+
+
+def similar(pairs: DataFrame, texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs a, b whose whole sets are similar; texts has tie and text, sets has tie and node."""
+    pairs = stage(pairs.distinct(), "candidate-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    chosen = stage(sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("tie").alias("tie")), "candidate-rows")
+    found = texts.join(chosen, "tie").select("node", "text").dropDuplicates(["node"])
+    found = stage(found.mapInArrow(whole_sets, "node long, shingles array<long>"), "candidate-sets")
+    left, right = (found.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"), F.size("shingles").alias(f"n{c}")) for c in "ab")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(left, "a").join(right, "b").filter(enough(shared, "na", "nb")).select("a", "b")
+
+
+def classes(rows: DataFrame) -> DataFrame:
+    """rows with id, tie and text -> id, tie and label, the same for all rows that links connect."""
+    texts = rows.select("tie", "text")
+    sets = stage(with_sets(rows, frequent_shingles(texts.select("text"))), "shingle-sets")
+    each = sets.select("node", "n", "published").dropDuplicates(["node"])
+    each = each.select("node", "n", F.posexplode("published").alias("place", "hash"))
+    least = each.groupBy("hash").agg(F.count("*").alias("holders"), F.min(F.struct("node", "n", "place")).alias("least"))
+    least = stage(least.filter("holders > 1").select("hash", "least"), "shared-shingles")
+    # a holder's row: the most it may share if this shingle is the first shared one
+    each = each.join(least, "hash").select("hash", "node", "n", F.expr("n - place").alias("behind"), "least")
+    each = stage(each, "holders")
+
+    first = each.filter("node <> least.node").withColumn("m", F.col("least.n"))
+    first = first.filter(enough(F.least("behind", F.expr("least.n - least.place")), "n", "m"))
+    known = stage(similar(first.select(F.col("least.node").alias("a"), F.col("node").alias("b")), texts, sets), "similar-pairs")
+
+    labels = components(known)
+    rest = each.drop("least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rest = stage(rest, "labelled-holders")
+    left, right = (rest.select("hash", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "behind", "label")]) for side in "ab")
+    pairs = left.join(right, "hash").filter("node_a < node_b AND label_a <> label_b")
+    pairs = pairs.filter(enough(F.least("behind_a", "behind_b"), "n_a", "n_b"))
+    others = similar(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), texts, sets)
+    labels = components(known.unionAll(others)).withColumnRenamed("label", "found")
+    labelled = sets.select("id", "tie", "node").join(labels, "node", "left")
+    return labelled.select("id", "tie", F.coalesce("found", "node").alias("label"))

@@ -32,6 +32,7 @@ from pyspark.sql.types import LongType
 
 from bayline.llm.common import packed, shuffle_partitions, stage, unpacked
 from bayline.llm.components import components
+from bayline.llm.resemblance import classes
 
 SEED = 42
 WIDTH = 3
@@ -240,13 +241,12 @@ def with_components(rows: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group: that with the smallest id, of equal ids the least whole row.
 
-    Rows of a group without any id are one group as well; one of them stays.
+    A group is what pairs with a five-word Jaccard similarity of 0.8 or more connect (``resemblance``), not
+    what fingerprints do. Rows of a group without any id are one group as well; one of them stays.
     """
-    rows = packed(docs, id=F.col(key), fp=fingerprints(F.col(text)))
-    slim = rows.select("id", "fp", F.xxhash64("row").alias("tie"))
-    slim = stage(slim, "fingerprints")
-    classes = with_components(slim).select("id", "tie", F.coalesce(F.col("component_id"), F.col("fp")).alias("group"), "component_id")
-    best = classes.groupBy("group", "component_id").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "tie")).alias("best"))
+    rows = packed(docs, id=F.col(key), text=F.col(text).cast("string"))
+    found = classes(rows.select("id", F.xxhash64("row").alias("tie"), "text"))
+    best = found.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "tie")).alias("best"))
     keep = best.select(F.col("best.id").alias("id"), F.col("best.tie").alias("tie")).distinct()
     marked = packed(docs, id=F.col(key)).withColumn("tie", F.xxhash64("row"))
     kept = marked.alias("r").join(keep.alias("k"), F.expr("r.id <=> k.id AND r.tie = k.tie"), "left_semi")
