@@ -1,22 +1,25 @@
-"""Bigram model with interpolated modified Kneser-Ney smoothing, counted in Spark.
+"""N-gram model with interpolated modified Kneser-Ney smoothing, counted in Spark.
 
 Tokens are words, runs of bytes other than the six ASCII spaces with A-Z lower-cased, and one end
 after the last word. A word is known by a 64-bit hash.
 
 Counting: tasks count the distinct words of their rows and pass on sorted arrays per shard of the
 hash; each shard is merged and stored as a sorted hash array with counts. A word's place in the
-arrays is its number. In a second pass tasks map these arrays, count pairs (number of the word
-before, number of the word) and pass them on likewise; a context that is too frequent for one shard is
-spread over all. Merged pairs are stored as sorted arrays with counts; a last merge by number
-gives each context its numbers of pairs seen once, twice and more often, and each word its number of
-contexts. Scoring tasks map all arrays and look up the distinct words and pairs of their rows.
+arrays is its number. For each length from two to the order, tasks map these arrays, count entries (number
+of the context, number of the word) and pass them on likewise; a context that is too frequent for one shard
+is spread over all. Merged entries are stored as sorted arrays with counts, and an entry's place is its number
+as the context of the next length. From the order downward, a merge by number then gives each context its
+numbers of entries seen once, twice and more often, and each entry its number of words before it, which
+is its count in the next step. Scoring tasks map all arrays and look up the words and entries of their rows.
 
 Arrays live in the shared folder. Where it is a mounted file system they are memory-mapped in
 place, else a worker maps a local copy that has no name any more.
 
-Model: p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v.) + g(v) p(w), with p(w) from the numbers of contexts
-in the same way over 1 / (V + 1), where V + 1 counts one unknown word. D has three values per order,
-from the numbers of pairs seen one to four times. After an unknown word p(w) is used.
+Model: p(w | uv) = max(c(uvw) - D(c(uvw)), 0) / c(uv.) + g(uv) p(w | v), and so on down to p(w) over
+1 / (V + 1), where V + 1 counts one unknown word. Below the order c is the number of different words
+before, but for entries that begin with the start of a text, which keep how often they occur. D has three
+values per length, from the numbers of entries counted one to four times. After a context that was not
+seen the next shorter one is used.
 
 Defined results: null is the empty text and has the end only. Nothing learned: each token has
 probability 1. Numbers that would make a discount undefined give 0.5, 1 and 1.5. Repeated rows count
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,8 @@ SHARD_BYTES = 16 << 20
 MOST_SHARDS = 1 << 14
 GATHERED = 1 << 20
 PIECE_BYTES = 1 << 20
+#: Entries that a merge looks up at once.
+LOOKED_UP = 1 << 18
 
 END = np.uint64(0x656E64)
 BASE = 0x5851F42D4C957F2D
@@ -134,12 +139,16 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def squeezed(values: np.ndarray) -> bytes:
-    """Integers byte plane by byte plane, so that the zeros of small ones lie together."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Integers byte plane by byte plane, without the planes that are zero in all; the first byte is their number."""
+    planes = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    return bytes([planes]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T).tobytes()
 
 
 def spread(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    planes = data[0]
+    out = np.zeros(((len(data) - 1) // planes, 8), np.uint8)
+    out[:, :planes] = np.frombuffer(data, np.uint8, offset=1).reshape(planes, -1).T
+    return out.view("<u8").ravel()
 
 
 PARTS = "part int, keys binary, counts binary"
@@ -158,9 +167,9 @@ def part_rows(keys: np.ndarray, counts: np.ndarray, part: np.ndarray) -> pa.Reco
 
 def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All entries of one part, summed."""
-    keys = [np.cumsum(spread(k), dtype=np.uint64) for k in table["keys"].to_pylist()]
-    counts = [spread(c) for c in table["counts"].to_pylist()]
-    return summed(np.concatenate(keys), np.concatenate(counts).astype(np.int64))
+    keys = np.concatenate([np.cumsum(spread(k.as_py()), dtype=np.uint64) for k in table["keys"]])
+    counts = np.concatenate([spread(c.as_py()) for c in table["counts"]]).astype(np.int64)
+    return summed(keys, counts)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], keys_of, part_of) -> Iterator[pa.RecordBatch]:
@@ -197,11 +206,30 @@ def mapped(uri: str) -> np.ndarray:
     return _mapped[uri]
 
 
-def packed_counts(values: np.ndarray) -> np.ndarray:
-    """32-bit numbers, two in a word."""
-    out = np.zeros(len(values) + len(values) % 2, "<u4")
-    out[: len(values)] = np.minimum(values, 0xFFFFFFFF)
-    return out.view("<u8")
+def packed_counts(values: np.ndarray) -> bytes:
+    """A byte per number, and places and values of those that need more."""
+    big = np.flatnonzero(values >= 255)
+    small = np.zeros(-(-len(values) // 8) * 8, np.uint8)
+    small[: len(values)] = np.minimum(values, 255)
+    head = np.array([len(values), len(big)], "<u8")
+    return b"".join([head.tobytes(), small.tobytes(), big.astype("<u8").tobytes(), values[big].astype("<u8").tobytes()])
+
+
+class Packed:
+    """Numbers written by packed_counts at a place of a mapped array; ``end`` is where they end."""
+
+    def __init__(self, data: np.ndarray, at: int):
+        n, big = int(data[at]), int(data[at + 1])
+        a = at + 2 + -(-n // 8)
+        self.small, self.places, self.values = data[at + 2 : a].view(np.uint8)[:n], data[a : a + big], data[a + big : a + 2 * big]
+        self.end = a + 2 * big
+
+    def __getitem__(self, at) -> np.ndarray:
+        out = self.small[at].astype(np.int64)
+        big = np.flatnonzero(out == 255)
+        places = np.arange(len(self.small))[at] if isinstance(at, slice) else at
+        out[big] = self.values[np.searchsorted(self.places, places[big].astype(np.uint64))]
+        return out
 
 
 @dataclass
@@ -213,6 +241,7 @@ class Counts:
     starts: list[int]  # number of the first word of each shard, and of all words
     tokens: int
     texts: int
+    grams: dict[int, list[int]]  # by length, from two on: number of the first entry of each shard, and of all
 
     @property
     def words(self) -> int:
@@ -247,23 +276,92 @@ class Counts:
         ids, counts = self.numbers(distinct)
         return ids[back], counts[back]
 
-    def context_counts(self, ids: np.ndarray) -> np.ndarray:
+    def gram_array(self, length: int, shard: int) -> tuple[np.ndarray, Packed]:
+        """Sorted keys of a shard and their counts."""
+        data = mapped(f"{self.path}/grams-{length}-{shard:05d}")
+        n = int(data[0])
+        return data[1 : n + 1], Packed(data, n + 1)
+
+    def by_shard(self, length: int, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Shard, places in ``ids`` and places in the shard of numbered entries."""
+        starts = self.starts if length == 1 else self.grams[length]
+        shard = np.searchsorted(starts, ids, "right") - 1
+        order = np.argsort(shard, kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        for s in np.flatnonzero(np.diff(edges)):
+            some = order[edges[s] : edges[s + 1]]
+            yield s, some, ids[some] - starts[s]
+
+    def context_counts(self, ids: np.ndarray, length: int = 1) -> np.ndarray:
         """How often each context occurs; the number after the last word is the start of a text."""
         out = np.full(len(ids), self.texts, np.int64)
-        word = np.flatnonzero(ids < self.words)
-        shard = np.searchsorted(self.starts, ids[word], "right") - 1
-        for s in np.unique(shard):
-            some = word[shard == s]
-            out[some] = self.word_array(s)[1][ids[some] - self.starts[s]]
+        inside = np.flatnonzero(ids < self.words) if length == 1 else np.arange(len(ids))
+        for s, some, at in self.by_shard(length, ids[inside]):
+            out[inside[some]] = self.word_array(s)[1][at] if length == 1 else self.gram_array(length, s)[1][at]
         return out
 
-    def pair_shard(self, keys: np.ndarray) -> np.ndarray:
-        """Shard of each pair: by its context, or by the pair if the context is a hot one."""
+    def gram_shard(self, length: int, keys: np.ndarray) -> np.ndarray:
+        """Shard of each entry: by its context, or by the entry if the context is a hot one."""
         contexts, back = np.unique(keys >> np.uint64(32), return_inverse=True)
-        hot = self.context_counts(contexts.astype(np.int64)) > max(1, self.tokens // self.shards // 2)
+        hot = self.context_counts(contexts.astype(np.int64), length - 1) > max(1, self.tokens // self.shards // 2)
         by = np.where(hot[back], keys, contexts[back])
         return (mix(by + np.uint64(1)) % np.uint64(self.shards)).astype(np.int64)
 
+    def found(self, length: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number (-1 if there is none) and count of each entry."""
+        keys, back = np.unique(keys, return_inverse=True)
+        ids, counts = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        shard = self.gram_shard(length, keys)
+        order = np.argsort(shard, kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        starts = self.grams[length]
+        for s in np.flatnonzero(np.diff(edges)):
+            if starts[s] == starts[s + 1]:  # no entry of the training texts fell into this shard
+                continue
+            some = order[edges[s] : edges[s + 1]]
+            stored, totals = self.gram_array(length, s)
+            at = np.minimum(np.searchsorted(stored, keys[some]), len(stored) - 1)
+            hit = stored[at] == keys[some]
+            ids[some[hit]] = at[hit] + starts[s]
+            counts[some[hit]] = totals[at[hit]]
+        return ids[back], counts[back]
+
+    def keys_at(self, length: int, ids: np.ndarray) -> np.ndarray:
+        """The keys of numbered entries."""
+        out = np.zeros(len(ids), np.uint64)
+        for s, some, at in self.by_shard(length, ids):
+            out[some] = self.gram_array(length, s)[0][at]
+        return out
+
+    def without_first(self, length: int, keys: np.ndarray) -> np.ndarray:
+        """Number of each entry's words but the first, as an entry one shorter."""
+        context, word = split(keys)
+        if length == 2:
+            return word
+        heads, back = np.unique(context, return_inverse=True)
+        rest = self.without_first(length - 1, self.keys_at(length - 1, heads))[back]
+        return self.found(length - 1, joined(rest, word))[0]
+
+    def at_start(self, length: int, keys: np.ndarray) -> np.ndarray:
+        """Whether the entry begins with the start of a text."""
+        context = split(keys)[0]
+        if length == 2:
+            return context == self.words
+        heads, back = np.unique(context, return_inverse=True)
+        return self.at_start(length - 1, self.keys_at(length - 1, heads))[back]
+
+    def contexts(self, numbers: np.ndarray, lengths: np.ndarray, length: int) -> np.ndarray:
+        """Number of the context of each token, an entry one shorter than ``length``; -1 if there is none."""
+        return before(numbers, lengths, self.words if length == 2 else -1)
+
+
+def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (context << 32 | word).astype(np.uint64)
+
+
+def split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     """Shards are ranges of the hash."""
@@ -287,34 +385,82 @@ def store_words(path: str):
     return run
 
 
-def count_pairs(model: Counts):
-    start = model.words
-
-    def pairs(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def count_grams(model: Counts, length: int):
+    def keys_of(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         ids = model.looked_up(hashes)[0]
-        return (before(ids, lengths, start) << 32 | ids).astype(np.uint64)
+        numbers = ids
+        for shorter in range(2, length):
+            context = model.contexts(numbers, lengths, shorter)
+            there = np.flatnonzero(context >= 0)
+            numbers = np.full(len(ids), -1, np.int64)
+            numbers[there] = model.found(shorter, joined(context[there], ids[there]))[0]
+        context = model.contexts(numbers, lengths, length)
+        return joined(context[context >= 0], ids[context >= 0])
 
-    return lambda batches: gathered(batches, pairs, model.pair_shard)
+    return lambda batches: gathered(batches, keys_of, lambda keys: model.gram_shard(length, keys))
 
 
 STATS = "kind int, part int, keys binary, counts binary"
-#: Kinds of STATS rows: contexts by number of pairs seen once, twice, more often; contexts of a word;
-#: pairs by count. The last has the count as key.
-ONCE, TWICE, MORE, CONTEXTS, PAIRS = range(5)
+#: Kinds of STATS rows: contexts by number of entries seen once, twice, more often; words before an entry;
+#: sum of a context's entries; entries by count, with the count as key; entries of a shard.
+ONCE, TWICE, MORE, CONTEXTS, TOTAL, ENTRIES, SIZE = range(7)
+
 
+def stats_rows(kind: int, ids: np.ndarray, n: np.ndarray, part: np.ndarray) -> pa.Table:
+    rows = pa.Table.from_batches([part_rows(ids, n, part)])
+    return rows.add_column(0, "kind", pa.array([kind] * len(rows), pa.int32()))
 
-def store_pairs(model: Counts):
+
+def stats_of(model: Counts, length: int, keys: np.ndarray, counts: np.ndarray, top: bool) -> list[pa.Table]:
+    """What entries tell of their contexts, of the entries one shorter and of their counts."""
+    context = split(keys)[0]
+    rest = np.concatenate([model.without_first(length, keys[i : i + LOOKED_UP]) for i in range(0, len(keys), LOOKED_UP)])
+    found = [(kind, *np.unique(some, return_counts=True)) for kind, some in ((ONCE, context[counts == 1]), (TWICE, context[counts == 2]), (MORE, context[counts > 2]), (CONTEXTS, rest))]
+    if not top:
+        found.append((TOTAL, *summed(context, counts)))
+    starts = np.array(model.grams.get(length - 1, []))
+    out = [stats_rows(kind, ids, n, ids // model.range_size if length == 2 else np.searchsorted(starts, ids, "right") - 1) for kind, ids, n in found]
+    ids, n = np.unique(counts[counts < 5], return_counts=True)
+    return [*out, stats_rows(ENTRIES, ids, n, np.zeros(len(ids), np.int64))]
+
+
+def store_grams(model: Counts, length: int, top: bool):
     def run(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
         keys, counts = merged(table)
-        write_file(f"{model.path}/pairs-{part:05d}", [np.array([len(keys)], "<u8").tobytes(), keys.astype("<u8").tobytes(), packed_counts(counts).tobytes()])
-        context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        found = []
-        for kind, some in ((ONCE, context[counts == 1]), (TWICE, context[counts == 2]), (MORE, context[counts > 2]), (CONTEXTS, word), (PAIRS, counts[counts < 5])):
-            ids, n = np.unique(some, return_counts=True)
-            rows = pa.Table.from_batches([part_rows(ids, n, ids // model.range_size if kind != PAIRS else np.zeros(len(ids), np.int64))])
-            found.append(rows.add_column(0, "kind", pa.array([kind] * len(rows), pa.int32())))
-        return pa.concat_tables(found)
+        write_file(f"{model.path}/grams-{length}-{part:05d}", [np.array([len(keys)], "<u8").tobytes(), keys.astype("<u8").tobytes(), packed_counts(counts)])
+        size = stats_rows(SIZE, np.zeros(1, np.int64), np.array([len(keys)]), np.array([part]))
+        return pa.concat_tables([size, *(stats_of(model, length, keys, counts, True) if top else [])])
+
+    return run
+
+
+def dense(table: pa.Table, first: int, size: int) -> np.ndarray:
+    """Values by kind of the numbers from ``first`` on."""
+    arrays = np.zeros((TOTAL + 1, size), np.int64)
+    for kind in range(TOTAL + 1):
+        rows = table.filter(pa.compute.equal(table["kind"], kind))
+        if len(rows):
+            keys, counts = merged(rows)
+            arrays[kind][keys.astype(np.int64) - first] = counts
+    return arrays
+
+
+def store_gram_ranges(model: Counts, length: int):
+    """Dense arrays for the entries of a shard -> stats of their counts, the numbers of words before them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part = table["part"][0].as_py()
+        first = model.grams[length][part]
+        arrays = dense(table, first, model.grams[length][part + 1] - first)
+        keys, counts = model.gram_array(length, part)
+        keys, raw = np.array(keys), counts[:]
+        # nothing stands before the start of a text
+        for i in range(0, len(keys), LOOKED_UP):
+            start = np.flatnonzero(model.at_start(length, keys[i : i + LOOKED_UP])) + i
+            arrays[CONTEXTS][start] = raw[start]
+        write_file(f"{model.path}/ranges-{length}-{part:05d}", [packed_counts(a) for a in arrays])
+        return pa.concat_tables(stats_of(model, length, keys, arrays[CONTEXTS], False))
 
     return run
 
@@ -324,14 +470,8 @@ def store_ranges(model: Counts):
 
     def run(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
-        first, size = part * model.range_size, model.range_size
-        arrays = np.zeros((4, size), np.int64)
-        for kind in (ONCE, TWICE, MORE, CONTEXTS):
-            rows = table.filter(pa.compute.equal(table["kind"], kind))
-            if len(rows):
-                keys, counts = merged(rows)
-                arrays[kind][keys.astype(np.int64) - first] = counts
-        write_file(f"{model.path}/ranges-{part:05d}", [packed_counts(a).tobytes() for a in arrays])
+        arrays = dense(table, part * model.range_size, model.range_size)
+        write_file(f"{model.path}/ranges-1-{part:05d}", [packed_counts(a) for a in arrays])
         n = [int((arrays[CONTEXTS] == i).sum()) for i in range(1, 5)]
         return pa.table({"part": pa.array([part], pa.int32()), "n": pa.array([n], pa.list_(pa.int64())), "pairs": [int(arrays[CONTEXTS].sum())], "words": [int((arrays[CONTEXTS] > 0).sum())]})
 
@@ -349,40 +489,29 @@ def discounts(n: list[int]) -> list[float]:
 @dataclass
 class Model:
     counts: Counts
-    pair_discounts: list[float]
+    gram_discounts: dict[int, list[float]]
     word_discounts: list[float]
     pairs: int  # distinct ones
     by_contexts: list[int]  # words in one, two and more contexts
-    there: list[int]  # ranges that have a file
-
-    def range_values(self, ids: np.ndarray) -> np.ndarray:
-        """The four dense values of each number, as rows."""
-        size, out = self.counts.range_size, np.zeros((4, len(ids)), np.int64)
-        width = size + size % 2
-        part = ids // size
-        for p in np.unique(part):
-            if p in self.there:
-                some = part == p
-                data = mapped(f"{self.counts.path}/ranges-{p:05d}").view("<u4").reshape(4, width)
-                out[:, some] = data[:, ids[some] - p * size]
-        return out
+    there: list[int]  # ranges of words that have a file
 
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of sorted distinct pairs."""
-        out, shard = np.zeros(len(keys), np.int64), self.counts.pair_shard(keys)
-        order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(self.counts.shards + 1))
-        for s in np.flatnonzero(np.diff(edges)):
-            some = order[edges[s] : edges[s + 1]]
-            try:
-                data = mapped(f"{self.counts.path}/pairs-{s:05d}")
-            except FileNotFoundError:  # no pair of the training texts fell into this shard
-                continue
-            n = int(data[0])
-            stored, counts = data[1 : n + 1], data[n + 1 :].view("<u4")
-            at = np.minimum(np.searchsorted(stored, keys[some]), n - 1)
-            hit = stored[at] == keys[some]
-            out[some[hit]] = counts[at[hit]]
+    @property
+    def order(self) -> int:
+        return max(self.gram_discounts)
+
+    def range_values(self, ids: np.ndarray, length: int = 1) -> np.ndarray:
+        """The dense values of each number, as rows."""
+        c, out = self.counts, np.zeros((TOTAL + 1, len(ids)), np.int64)
+        if length == 1:
+            part = ids // c.range_size
+            places = ((p, np.flatnonzero(part == p), ids[part == p] - p * c.range_size) for p in np.unique(part) if p in self.there)
+        else:
+            places = c.by_shard(length, ids)
+        for p, some, at in places:
+            data, end = mapped(f"{c.path}/ranges-{length}-{p:05d}"), 0
+            for kind in range(TOTAL + 1):
+                values = Packed(data, end)
+                out[kind, some], end = values[at], values.end
         return out
 
     def word_probability(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -396,7 +525,7 @@ class Model:
 
     def token_scores(self, hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token: count in training, base and model log10 probability."""
-        c, start = self.counts, self.counts.words
+        c = self.counts
         distinct, back = np.unique(hashes, return_inverse=True)
         numbers, totals = c.numbers(distinct)
         contexts = np.zeros(len(distinct), np.int64)
@@ -405,27 +534,36 @@ class Model:
         single = self.word_probability(numbers, contexts)[back]
         ids, counts = numbers[back], totals[back]
         base = np.log10((counts + 1) / (c.tokens + c.words + 1))
-        context = before(ids, lengths, start)
-        seen = np.flatnonzero((context >= 0) & (c.texts > 0))
-        p = single.copy()
-        if len(seen):
+        p, numbers = single, ids
+        for length in range(2, self.order + 1):
+            context = c.contexts(numbers, lengths, length)
+            numbers = np.full(len(ids), -1, np.int64)
+            seen = np.flatnonzero((context >= 0) & (c.texts > 0))
+            if not len(seen):
+                continue
             heads, at = np.unique(context[seen], return_inverse=True)
-            values = self.range_values(heads)
-            d = np.array(self.pair_discounts)
-            total = np.maximum(c.context_counts(heads), 1)
+            values = self.range_values(heads, length - 1)
+            d = np.array(self.gram_discounts[length])
+            total = np.maximum(c.context_counts(heads, length - 1) if length == self.order else values[TOTAL], 1)
             rest = (d[1:, None] * values[:3]).sum(0) / total
-            pair = np.zeros(len(seen), np.int64)
-            both = np.flatnonzero(ids[seen] >= 0)
-            keys, inverse = np.unique((context[seen][both] << 32 | ids[seen][both]).astype(np.uint64), return_inverse=True)
-            pair[both] = self.pair_counts(keys)[inverse]
-            # a context whose pairs were all lost to nothing has no rest: it cannot occur, but stays finite
+            both = seen[ids[seen] >= 0]
+            gram = np.zeros(len(ids), np.int64)
+            numbers[both], gram[both] = c.found(length, joined(context[both], ids[both]))
+            if length < self.order:
+                some = np.flatnonzero(numbers >= 0)
+                gram[some] = self.range_values(numbers[some], length)[CONTEXTS]
+            gram = gram[seen]
+            # a context whose entries were all lost to nothing has no rest: it cannot occur, but stays finite
             rest = np.where(values[:3].sum(0) > 0, rest, 1.0)
-            p[seen] = np.maximum(pair - d[np.minimum(pair, 3)], 0) / total[at] + rest[at] * single[seen]
+            lower, p = p, p.copy()
+            p[seen] = np.maximum(gram - d[np.minimum(gram, 3)], 0) / total[at] + rest[at] * lower[seen]
         return counts, base, np.log10(p)
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
+def train(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
     """Count the texts of all rows and store the arrays in the shared folder."""
+    if order < 2:
+        raise ValueError("the order is two or more")
     spark = docs.sparkSession
     path = scratch_dir(spark, "kneser-ney")
     rows = docs.select(F.col(text).cast("string").alias("text"))
@@ -434,25 +572,40 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     found = rows.mapInArrow(count_words(shards), PARTS).groupBy("part").applyInArrow(store_words(path), "part int, words long, tokens long")
     stored = {r.part: r for r in stage(found, "word-shards").collect()}  # one row per shard
     starts = np.cumsum([0, *(stored[s].words if s in stored else 0 for s in range(shards))]).tolist()
-    counts = Counts(path, shards, starts, sum(r.tokens for r in stored.values()), texts)
+    counts = Counts(path, shards, starts, sum(r.tokens for r in stored.values()), texts, {})
     if counts.words >= (1 << 32) - 1:
-        raise ValueError("pairs hold numbers of 32 bits: too many distinct words")
-    pairs = rows.mapInArrow(count_pairs(counts), PARTS).groupBy("part").applyInArrow(store_pairs(counts), STATS)
-    stats = stage(pairs, "pair-stats")
-    by_count = {}
-    for row in stats.filter(F.col("kind") == PAIRS).select("keys", "counts").collect():  # one row per shard
-        for key, n in zip(np.cumsum(spread(row["keys"])).tolist(), spread(row["counts"]).tolist()):
-            by_count[key] = by_count.get(key, 0) + n
-    ranges = stats.filter(F.col("kind") != PAIRS).groupBy("part").applyInArrow(store_ranges(counts), "part int, n array<long>, pairs long, words long")
+        raise ValueError("entries hold numbers of 32 bits: too many distinct words")
+    for length in range(2, order + 1):
+        grams = rows.mapInArrow(count_grams(counts, length), PARTS).groupBy("part").applyInArrow(store_grams(counts, length, length == order), STATS)
+        stats = stage(grams, "gram-stats")
+        sizes = {r.part: int(spread(r["counts"])[0]) for r in stats.filter(F.col("kind") == SIZE).select("part", "counts").collect()}  # one row per shard
+        starts = np.cumsum([0, *(sizes.get(s, 0) for s in range(shards))]).tolist()
+        if length < order and starts[-1] >= (1 << 32) - 1:
+            raise ValueError("entries hold numbers of 32 bits: too many distinct contexts")
+        counts = replace(counts, grams={**counts.grams, length: starts})
+    gram_discounts = {order: entry_discounts(stats)}
+    for length in range(order - 1, 1, -1):
+        ranges = stats.filter(F.col("kind") <= TOTAL).groupBy("part").applyInArrow(store_gram_ranges(counts, length), STATS)
+        stats = stage(ranges, "gram-stats")
+        gram_discounts[length] = entry_discounts(stats)
+    ranges = stats.filter(F.col("kind") <= TOTAL).groupBy("part").applyInArrow(store_ranges(counts), "part int, n array<long>, pairs long, words long")
     ranges = stage(ranges, "ranges").collect()  # one row per range
     n = [sum(r.n[i] for r in ranges) for i in range(4)]
     words = sum(r.words for r in ranges)
     return Model(
-        counts, discounts([by_count.get(i, 0) for i in range(1, 5)]), discounts(n),
+        counts, gram_discounts, discounts(n),
         sum(r.pairs for r in ranges), [n[0], n[1], words - n[0] - n[1]], [r.part for r in ranges],
     )
 
 
+def entry_discounts(stats: DataFrame) -> list[float]:
+    by_count = {}
+    for row in stats.filter(F.col("kind") == ENTRIES).select("keys", "counts").collect():  # one row per shard
+        for key, n in zip(np.cumsum(spread(row["keys"])).tolist(), spread(row["counts"]).tolist()):
+            by_count[key] = by_count.get(key, 0) + n
+    return discounts([by_count.get(i, 0) for i in range(1, 5)])
+
+
 SCORES = (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double"))
 
 

@@ -178,9 +178,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_kneser_ney_scores")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log probability of every document under the bigram model and under the base."""
+    """Log probability of every document under the trigram model and under the base."""
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
-    model = kneser_ney.train(docs.filter(F.coalesce(remainder(7) != 2, F.lit(True))))
+    model = kneser_ney.train(docs.filter(F.coalesce(remainder(7) != 2, F.lit(True))), order=3)
     rows = kneser_ney.scored(docs, model)
     held_out = F.coalesce(remainder(7) == 2, F.lit(False)).alias("held_out")
     total = F.lit(model.counts.tokens).cast("long").alias("train_tokens")

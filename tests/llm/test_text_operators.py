@@ -120,6 +120,46 @@ def test_model_scores_match_plain_counting(spark, odd, none, monkeypatch):
     assert kneser_ney.scored(none, model).count() == 0
 
 
+def trigram_score(train, text):
+    def split(t):
+        return ["start", *(t or "").encode().lower().split(), None]
+
+    raw = {k: Counter(tuple(t[i : i + k]) for t in map(split, train) for i in range(len(t) - k + 1)) for k in (2, 3)}
+    before = Counter(g[1:] for g in raw[3])
+    counts = {3: raw[3], 2: {g: c if g[0] == "start" else before[g] for g, c in raw[2].items()}, 1: Counter(g[1:] for g in raw[2])}
+    d = {k: kneser_ney.discounts([Counter(c.values())[i] for i in range(1, 5)]) for k, c in counts.items()}
+    entries = defaultdict(list)
+    for c in counts.values():
+        for g, n in c.items():
+            entries[g[:-1]].append(n)
+
+    def p(gram):
+        k, some = len(gram), entries.get(gram[:-1])
+        if not k:
+            return 1 / (len(counts[1]) + 1)
+        if not some:
+            return p(gram[1:])
+        n, total = counts[k].get(gram, 0), sum(some)
+        return max(n - d[k][min(n, 3)], 0) / total + sum(d[k][min(x, 3)] for x in some) / total * p(gram[1:])
+
+    t = split(text)
+    return sum(math.log10(p(tuple(t[max(0, i - 2) : i + 1]))) for i in range(1, len(t)))
+
+
+def test_trigram_scores_match_plain_counting(spark, odd, none, monkeypatch):
+    rng = random.Random(12)
+    train = [words(rng, rng.randrange(0, 80), 12) for _ in range(90)] + ["w1 w2 w3 " * 400, "A\x0bB a b", None, ""]
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 1500)
+    model = kneser_ney.train(documents(spark, train), order=3)
+    assert model.counts.shards > 5
+    asked = [*train[:20], "never seen w1 w2 w3 never w2", None, " ", *train[-4:]]
+    rows = kneser_ney.scored(documents(spark, asked), model).collect()
+    for r in rows:
+        assert r.score == pytest.approx(trigram_score(train, asked[r.doc_id]), abs=1e-8)
+    nothing = kneser_ney.train(none, order=3)
+    assert {r.score for r in kneser_ney.scored(odd, nothing).collect()} == {0.0}
+
+
 def test_long_texts_are_tokenised_in_parts(monkeypatch):
     text = " ".join(f"word{i}" for i in range(5000)).encode()
     raw, offsets = np.frombuffer(text, np.uint8), np.array([0, 9, 9, len(text)])
