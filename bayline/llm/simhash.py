@@ -32,7 +32,6 @@ from pyspark.sql.types import LongType
 
 from bayline.llm.common import packed, shuffle_partitions, stage, unpacked
 from bayline.llm.components import components
-from bayline.llm.resemblance import classes
 
 SEED = 42
 WIDTH = 3
@@ -239,14 +238,17 @@ def with_components(rows: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group: that with the smallest id, of equal ids the least whole row.
+    """One row of each component of fingerprints: that with the smallest id, of equal ids the least whole row.
 
-    A group is what pairs with a five-word Jaccard similarity of 0.8 or more connect (``resemblance``), not
-    what fingerprints do. Rows of a group without any id are one group as well; one of them stays.
+    Rows of a component without any id are one group as well; one of them stays. Whole rows are told apart
+    by their 64-bit hash.
     """
-    rows = packed(docs, id=F.col(key), text=F.col(text).cast("string"))
-    found = classes(rows.select("id", F.xxhash64("row").alias("tie"), "text"))
-    best = found.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "tie")).alias("best"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(key).alias("id"), fingerprints(F.col(text)).alias("fp"), F.xxhash64(whole).alias("tie"))
+    rows = stage(rows, "fingerprints")
+    group = F.coalesce("component_id", "fp").alias("group")
+    found = with_components(rows).select("id", "tie", group, F.col("component_id").isNull().alias("nameless"))
+    best = found.groupBy("group", "nameless").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "tie")).alias("best"))
     keep = best.select(F.col("best.id").alias("id"), F.col("best.tie").alias("tie")).distinct()
     marked = packed(docs, id=F.col(key)).withColumn("tie", F.xxhash64("row"))
     kept = marked.alias("r").join(keep.alias("k"), F.expr("r.id <=> k.id AND r.tie = k.tie"), "left_semi")
