@@ -1,7 +1,7 @@
 """Stages over the documents table; each reads what its predecessor kept.
 
 toxicity drops documents that the classifier rejects, near_duplicates keeps one document of each
-SimHash group, decontamination drops documents that contain a benchmark item, mixing takes each
+SimHash group (three-word shingles, three bits), decontamination drops documents that contain a benchmark item, mixing takes each
 document as often as the curriculum does, in the order of training, and sharding adds curve, shard and
 slot. Rows with nulls pass by the rules of each operator's module. SQL cannot express the first two
 stages, so there is no oracle.
@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of fingerprints within the radius of ``op6``."""
     prepare(spark)
     return simhash.near_dedup(docs.select(*COLUMNS)).select(*COLUMNS)
 
