@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import containment, curriculum, hilbert, kneser_ney, simhash, suffixes, topk, toxicity, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, kneser_ney, repair, simhash, suffixes, topk, toxicity, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -195,3 +195,93 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffixes.without_repeats(docs)
     spans = F.size("spans").cast("long").alias("n_spans")
     return rows.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256")
+
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for crc32 of a short ASCII string: each byte enters, then eight shifts, written as -1."""
+    steps = f"flatten([[ascii(substr({text}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(1, len({text}) + 1)])"
+    shift = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE {shift} END), 4294967295)"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (
+  SELECT *, {crc32_sql("k")} % 20 AS kind FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM damaged),
+faults AS (
+  SELECT *, last = '' AS blank, last <> '' AND seen > 1 AS duplicate, last <> '' AND seen = 1 AND last NOT IN ('.', '!', '?') AS truncated,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS former
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (former || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faults GROUP BY conv_id),
+rows AS (
+  SELECT conv_id, i, role, text, CASE WHEN truncated THEN 5 ELSE 0 END + CASE WHEN blank OR duplicate THEN 1000000 ELSE 0 END AS t,
+    CASE WHEN initial = 's' THEN 0 ELSE 1000000 END AS s, CASE WHEN initial = 'u' THEN 0 ELSE 1000000 END AS u,
+    CASE WHEN initial = 'a' THEN 0 ELSE 1000000 END AS a
+  FROM faults),
+least_rest AS (
+  SELECT conv_id, n + 1 AS i, 0 AS v0, 10 AS v1, 5 AS v2, 0 AS v3 FROM counts
+  UNION ALL
+  SELECT conv_id, i, least(e0, e2 + 5, e3 + 10), least(e1, e2 + 5, e3 + 10), least(e2, e3 + 5), least(e3, e2 + 5)
+  FROM (
+    SELECT r.conv_id, r.i, least(2 + v0, t + s + v1, t + least(u, 1) + v2) AS e0, least(2 + v1, t + least(u, 1) + v2) AS e1,
+      least(2 + v2, t + least(a, 1) + v3) AS e2, least(2 + v3, t + least(u, 1) + v2) AS e3
+    FROM least_rest l JOIN rows r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i - 1)),
+rest AS (
+  SELECT conv_id, i, [v0, v1, v2, v3] AS v, [v2, v2, v3, v2] AS onward FROM least_rest),
+options AS (
+  SELECT b.conv_id, b.i, r.role, r.text, t, s, u, a, b.v AS now, b.onward, n.v AS next
+  FROM rest b LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i
+  LEFT JOIN rest n ON n.conv_id IS NOT DISTINCT FROM b.conv_id AND n.i = b.i + 1),
+walk AS (
+  SELECT conv_id, CAST(1 AS BIGINT) AS i, 1 AS state, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM counts
+  UNION ALL
+  SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+    CASE WHEN edit = 'D' THEN state WHEN edit = 'K' AND state = 1 AND s = 0 THEN 2 WHEN state = 3 THEN 4 ELSE 3 END,
+    audit || edit,
+    CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+      WHEN 'R' THEN list_append(lines, CASE WHEN state = 3 THEN 'assistant:' ELSE 'user:' END || text)
+      ELSE list_append(lines, CASE WHEN state = 3 THEN 'assistant:' ELSE 'user:' END) END
+  FROM (
+    SELECT w.*, o.role, o.text, o.s,
+      CASE WHEN o.next[w.state] + 2 = o.now[w.state] THEN 'D'
+        WHEN o.onward[w.state] + 5 = o.now[w.state] THEN 'I'
+        WHEN w.state = 1 AND o.t + o.s + o.next[2] = o.now[1] THEN 'K'
+        WHEN w.state = 3 AND o.t + o.a + o.next[4] = o.now[3] THEN 'K'
+        WHEN w.state <> 3 AND o.t + o.u + o.next[3] = o.now[w.state] THEN 'K'
+        WHEN o.next IS NOT NULL THEN 'R' END AS edit
+    FROM walk w JOIN options o ON o.conv_id IS NOT DISTINCT FROM w.conv_id AND o.i = w.i)
+  WHERE edit IS NOT NULL),
+ended AS (
+  SELECT w.conv_id, r.v[1] AS cost, audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = c.n + 1 AND w.state IN (1, 4)
+  JOIN rest r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = 1)
+SELECT g.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM g.conv_id
+"""
+
+@query("op11_repaired_conversations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    turns = given(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.summary(turns.select("conv_id"), repair.Repair(repair.damaged(turns)))
