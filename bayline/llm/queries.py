@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import containment, curriculum, hilbert, kneser_ney, repair, simhash, suffixes, topk, toxicity, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, kneser_ney, repair, simhash, suffixes, topk, toxicity, trie, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -285,3 +285,47 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
     turns = given(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return repair.summary(turns.select("conv_id"), repair.Repair(repair.damaged(turns)))
+
+
+OP12_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, CAST(conv_id AS VARCHAR) AS k,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, n, {crc32_sql("k")} % 6 AS h
+  FROM (SELECT conv_id, k, count(*) AS n FROM t GROUP BY ALL)),
+rebuilt AS (
+  SELECT c.conv_id, place + 1 AS depth, role, text FROM c JOIN t ON t.conv_id = base AND place < h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + place - c.h + 1, role, text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND place >= c.h LEFT JOIN c b ON b.conv_id = c.base),
+lengths AS (
+  SELECT c.conv_id, coalesce(max(depth), 0) AS total FROM c LEFT JOIN rebuilt USING (conv_id) GROUP BY ALL),
+members AS (
+  SELECT conv_id, depth, list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY depth) AS path, length(text) AS size
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, [], 0 FROM c),
+nodes AS (
+  SELECT depth, path, min(m.conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) FILTER (total = depth), '')) AS ends_sha256
+  FROM members m JOIN lengths USING (conv_id) GROUP BY depth, path),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, count(ch.depth) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]
+  LEFT JOIN nodes ch ON ch.depth = n.depth + 1 AND ch.path[:n.depth] = n.path
+  GROUP BY ALL),
+sums AS (
+  SELECT a.depth, a.path, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum((n_convs - 1) * x.size) AS saved_tokens
+  FROM linked x JOIN members a ON a.conv_id = x.conv_id AND a.depth <= x.depth GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM linked JOIN sums USING (depth, path)
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations."""
+    return trie.trie(given(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
