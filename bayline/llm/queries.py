@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.llm import containment, curriculum, hilbert, kneser_ney, repair, simhash, suffixes, topk, toxicity, trie, warc, wavelet
+from bayline.llm import containment, curriculum, hilbert, kneser_ney, repair, simhash, suffixes, templates, topk, toxicity, trie, warc, wavelet
 from bayline.llm.common import given, shuffle_partitions
 from bayline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from bayline.session import scratch_dir
@@ -329,3 +329,74 @@ FROM linked JOIN sums USING (depth, path)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix trie of the rebuilt conversations."""
     return trie.trie(given(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+RULES = [
+    templates.Rule("allow", "org", "/"),
+    templates.Rule("block", "example.org", "/es/"),
+    templates.Rule("block", "example.org", "/en/1"),
+    templates.Rule("allow", "com", "/fr/"),
+    templates.Rule("block", "com", "/de/"),
+]
+
+
+def chi_sql(a: str, b: str, c: str, d: str) -> str:
+    margins = f"({a} + {b}) * ({c} + {d}) * ({a} + {c}) * ({b} + {d})"
+    return f"CASE WHEN {margins} > 0 THEN ({a} + {b} + {c} + {d}) * ({a} * {d} - {b} * {c}) * ({a} * {d} - {b} * {c}) / ({margins}) ELSE 0 END"
+
+
+def op13_sql() -> str:
+    fits = [f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in sorted(RULES, key=lambda r: -len(r.name))]
+    named = sorted(RULES, key=lambda r: -len(r.name))
+    rule, verdict = (" ".join(f"{w} THEN '{value}'" for w, value in zip(fits, values)) for values in ([r.name for r in named], [r.verdict for r in named]))
+    others = [f"(w.{c} - e.{c})" for c in ("n", "b", "a", "o")]
+    differs = chi_sql("e.b", "e.a", others[1], others[2]) + " + " + chi_sql("e.o", "(e.n - e.o)", others[3], f"({others[0]} - {others[3]})")
+    levels = "".join(
+        f"""
+c{i} AS (
+  SELECT *, segments[{i + 1}] AS child, CASE WHEN len(segments) > {i + 1} THEN n ELSE 0 END AS o FROM t{i}),
+e{i} AS (
+  SELECT host, node, child, sum(n) AS n, sum(b) AS b, sum(a) AS a, sum(o) AS o, any_value(share) AS share
+  FROM c{i} WHERE child IS NOT NULL GROUP BY ALL),
+w{i} AS (
+  SELECT host, node, sum(n) AS n, sum(b) AS b, sum(a) AS a, sum(o) AS o FROM e{i} GROUP BY ALL),
+l{i} AS (
+  SELECT e.*, CASE WHEN w.n = e.n OR (e.n >= {templates.LEAST} AND e.n >= {templates.SHARE} * w.n AND {differs} > {templates.DIFFERENT})
+    THEN child ELSE '*' END AS label
+  FROM e{i} e JOIN w{i} w USING (host, node)),
+s{i} AS (
+  SELECT host, node, label, (sum(b) + {templates.STRENGTH} * any_value(share)) / (sum(b) + sum(a) + {templates.STRENGTH}) AS own FROM l{i} GROUP BY ALL),
+t{i + 1} AS (
+  SELECT c.host, c.shape, c.segments, c.n, c.b, c.a, CASE WHEN c.child IS NULL THEN c.node ELSE c.node || '/' || l.label END AS node,
+    coalesce(s.own, c.share) AS share
+  FROM c{i} c LEFT JOIN l{i} l ON l.host = c.host AND l.node = c.node AND l.child = c.child
+  LEFT JOIN s{i} s ON s.host = l.host AND s.node = l.node AND s.label = l.label),"""
+        for i in range(templates.LEVELS)
+    )
+    return rf"""
+WITH p AS (
+  SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*', 0)) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+r AS (
+  SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS label, regexp_replace(path, '[0-9]+', '{{n}}', 'g') AS shape FROM p),
+g AS (
+  SELECT host, shape, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (label = 'block') AS DOUBLE) AS b,
+    CAST(count(*) FILTER (label = 'allow') AS DOUBLE) AS a, string_split(shape[2:], '/') AS q FROM r GROUP BY host, shape),
+h AS (
+  SELECT host, (sum(b) + {templates.STRENGTH} * (SELECT sum(b) / sum(a + b) FROM g)) / (sum(b) + sum(a) + {templates.STRENGTH}) AS share FROM g GROUP BY host),
+t0 AS (
+  SELECT host, shape, n, b, a, '' AS node, share, CASE WHEN shape = '' THEN CAST([] AS VARCHAR[]) WHEN len(q) > {templates.LEVELS}
+    THEN list_append(q[:{templates.LEVELS - 1}], array_to_string(q[{templates.LEVELS}:], '/')) ELSE q END AS segments
+  FROM g JOIN h USING (host)),{levels}
+z AS (SELECT host, shape, node, share FROM t{templates.LEVELS})
+SELECT page_id, host, path, rule, coalesce(label, CASE WHEN share >= {templates.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+  node AS template, round(share, 6) AS share
+FROM r JOIN z USING (host, shape)
+"""
+
+
+@query("op13_url_templates", op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    rows = templates.judged(given(spark, sf_dir, "pages").select("page_id", "url"), RULES)
+    return rows.withColumn("share", F.round("share", 6))
