@@ -14,4 +14,5 @@ from bayline.plans.queries import (  # noqa: F401
     marts,
     files,
     streams,
+    monitoring,
 )
