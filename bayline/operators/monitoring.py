@@ -16,7 +16,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bayline.sources.sinks import write_result
+from bayline.sources.sinks import append_missing, read_if_there, write_result
 
 METRICS = (
     "run STRING, taken_at TIMESTAMP_NTZ, table STRING, row_count BIGINT, newest TIMESTAMP_NTZ, "
@@ -74,17 +74,12 @@ def written_metrics(df: DataFrame, path: str, table: str, run: str, taken_at: st
 
 
 def read_metrics(spark: SparkSession, store: str) -> DataFrame:
-    """All recorded rows; an empty table where nothing has been recorded."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(store)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return spark.createDataFrame([], METRICS)
-    return spark.read.schema(METRICS).parquet(store)
+    return read_if_there(spark, store, METRICS)
 
 
 def record(metrics: DataFrame, store: str) -> None:
     """Append the rows whose run and table are not there yet."""
-    known = read_metrics(metrics.sparkSession, store).select("run", "table")
-    metrics.join(known, ["run", "table"], "left_anti").write.mode("append").parquet(store)
+    append_missing(metrics, store, METRICS, ["run", "table"])
 
 
 def _values(metrics: DataFrame) -> DataFrame:

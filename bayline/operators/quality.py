@@ -89,39 +89,61 @@ def missing_counts(df: DataFrame) -> list[Column]:
 def profile(tables: Mapping[str, DataFrame], approx_rsd: float | None = None) -> DataFrame:
     """One row per column: type, rows, missing count and percent, distinct values.
 
-    With ``approx_rsd`` fixed-size sketches count the distinct values, in one pass
-    and without a shuffle of the values themselves.
+    Every value is counted under its column, so all columns of all tables share one shuffle of distinct
+    values, combined per task. With ``approx_rsd`` fixed-size sketches count the distinct values, in one
+    pass per table and without a shuffle of the values themselves.
     """
-    return union_all([_profile_one(name, df, approx_rsd) for name, df in tables.items()])
+    fields = [(t, i, f) for t, df in enumerate(tables.values()) for i, f in enumerate(df.schema.fields)]
+    names = list(tables)
+    listed = [(t, i, names[t], f.name, f.dataType.simpleString()) for t, i, f in fields]
+    spark = next(iter(tables.values())).sparkSession
+    columns = spark.createDataFrame(listed, "_t INT, _i INT, table STRING, column STRING, data_type STRING")
+    if approx_rsd is None:
+        values = reduce(DataFrame.unionAll, [_column_values(t, df) for t, df in enumerate(tables.values())])
+        kinds = ["_long", "_double", "_text"]
+        groups = values.groupBy("_t", "_i", *kinds).agg(F.count(F.lit(1)).alias("_n"))
+        missing = F.coalesce(*[F.col(k).cast("string") for k in kinds]).isNull()
+        counted = groups.groupBy("_t", "_i").agg(
+            F.sum("_n").alias("row_count"),
+            F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("missing_count"),
+            F.count_if(~missing).alias("unique_count"),
+        )
+    else:
+        counted = union_all([_sketched(t, df, approx_rsd) for t, df in enumerate(tables.values())])
+    # as many rows on both sides as there are columns
+    rows = columns.join(counted, ["_t", "_i"], "left")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("row_count", "missing_count")]
+    percent = F.round(F.try_divide(F.col("missing_count") * 100.0, F.col("row_count")), 2).alias("missing_pct")
+    return rows.select("table", "column", "data_type", *zero, percent, F.coalesce("unique_count", F.lit(0)).alias("unique_count"))
+
+
+def _column_values(table: int, df: DataFrame) -> DataFrame:
+    """(_t, _i, _long, _double, _text): a row for each value, in the column of its kind."""
+    whole, real = ("byte", "short", "integer", "long", "boolean"), ("float", "double")
+    rows = []
+    for i, field in enumerate(df.schema.fields):
+        value, name = F.col(f"`{field.name}`"), field.dataType.typeName()
+        kinds = {"long": name in whole, "double": name in real, "string": name not in (*whole, *real)}
+        cells = [value.cast(kind) if mine else F.lit(None).cast(kind) for kind, mine in kinds.items()]
+        rows.append(F.struct(F.lit(table), F.lit(i), *cells))
+    return df.select(F.inline(F.array(*rows))).toDF("_t", "_i", "_long", "_double", "_text")
 
 
-def _profile_one(name: str, df: DataFrame, approx_rsd: float | None) -> DataFrame:
-    distinct = [
-        (
-            F.count_distinct(F.col(c))
-            if approx_rsd is None
-            else F.approx_count_distinct(F.col(c), approx_rsd)
-        ).alias(f"unique_{i}")
-        for i, c in enumerate(df.columns)
-    ]
+def _sketched(table: int, df: DataFrame, rsd: float) -> DataFrame:
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    distinct = [F.approx_count_distinct(c, rsd).alias(f"unique_{i}") for i, c in enumerate(columns)]
     counted = df.agg(F.count(F.lit(1)).alias("row_count"), *missing_counts(df), *distinct)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("table"),
-                F.lit(field.name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("data_type"),
-                F.col("row_count"),
-                F.col(f"missing_{i}").alias("missing_count"),
-                F.round(
-                    F.try_divide(F.col(f"missing_{i}") * 100.0, F.col("row_count")), 2
-                ).alias("missing_pct"),
-                F.col(f"unique_{i}").alias("unique_count"),
-            )
-            for i, field in enumerate(df.schema.fields)
-        ]
-    )
-    return counted.select(F.inline(rows))
+    rows = [
+        F.struct(
+            F.lit(table).alias("_t"),
+            F.lit(i).alias("_i"),
+            F.col("row_count"),
+            F.col(f"missing_{i}").alias("missing_count"),
+            F.col(f"unique_{i}").alias("unique_count"),
+        )
+        for i in range(len(columns))
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def missing_issues(profiled: DataFrame, high: float = 0.05) -> DataFrame:

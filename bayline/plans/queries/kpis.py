@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bayline.operators import features, kpi, marts, quality
+from bayline.operators import features, kpi, marts, quality, sketches
 from bayline.operators.experiment import GROUP, assign
 from bayline.operators.model import risk_band
 from bayline.operators.quantiles import median_of, quantiles
@@ -292,6 +292,28 @@ def quantile_table(t: Tables):
     )
 
 
+@query(
+    "agg16_sketch_quantiles",
+    """select l_returnflag, metric, p, true as within
+       from (select distinct l_returnflag from lineitem where l_returnflag is not null),
+            (values ('l_quantity'), ('l_extendedprice')) m(metric), (values (0.1::double), (0.5), (0.9)) q(p)""",
+)
+def sketch_quantile_table(t: Tables):
+    """Approximate quantiles per group; their values have the wanted rank within the stated error."""
+    lines = t.given("lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
+    metrics = ["l_quantity", "l_extendedprice"]
+    found = sketches.sketch_quantiles(lines, metrics, [0.1, 0.5, 0.9], ["l_returnflag"])
+    long = lines.unpivot(["l_returnflag"], metrics, "metric", "x")
+    # a handful of quantiles per group and metric
+    shares = long.join(found, ["l_returnflag", "metric"]).groupBy("l_returnflag", "metric", "p").agg(
+        F.avg((F.col("x") < F.col("value")).cast("int")).alias("low"),
+        F.avg((F.col("x") <= F.col("value")).cast("int")).alias("high"),
+    )
+    error = F.lit(sketches.rank_error())
+    within = (F.col("low") <= F.col("p") + error) & (F.col("high") >= F.col("p") - error)
+    return shares.select("l_returnflag", "metric", "p", within.alias("within"))
+
+
 @query(
     "agg17_median",
     """select l_returnflag, round(median(l_extendedprice), 6) as l_extendedprice,
@@ -313,6 +335,20 @@ def distinct_count(t: Tables):
     return kpi.n_unique(t.given("orders"), ["o_custkey", "o_orderstatus", "o_orderdate"])
 
 
+@query(
+    "agg18_approx_distinct",
+    """select 'o_custkey' as "column", true as within from orders union select 'o_orderstatus', true from orders
+       union select 'o_orderdate', true from orders""",
+)
+def approx_distinct(t: Tables):
+    """Sketched distinct counts against the exact ones, within three standard deviations."""
+    columns, rsd = ["o_custkey", "o_orderstatus", "o_orderdate"], 0.01
+    exact = kpi.n_unique(t.given("orders"), columns)
+    found = kpi.n_unique(t.given("orders"), columns, rsd).withColumnRenamed("unique_count", "estimate")
+    off = F.abs(F.col("estimate") - F.col("unique_count"))
+    return exact.join(found, "column").select("column", (off <= F.ceil(3 * rsd * F.col("unique_count"))).alias("within"))
+
+
 @query("agg19_labels", "select distinct p_type from part order by p_type")
 def labels(t: Tables):
     return kpi.labels(t.given("part"), "p_type")

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from bayline.operators import quality
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from bayline.operators import quality, sketches
 from bayline.operators.quality import Rule, domain_rule, label_rule, order_rule, range_rule
-from bayline.plans.binding import CATEGORY_FIXES, Tables, with_roles
+from bayline.operators.quantiles import scalar_row
+from bayline.plans.binding import CATEGORY_FIXES, GIVEN_SCHEMAS, Tables, with_roles
 from bayline.plans.registry import query
+from bayline.session import scratch_dir
 from bayline.sources.schemas import PRIMARY_KEYS, RELATIONSHIPS
+from bayline.sources.sinks import stage
 
 # fixed values: names, severities and actions of the issues in the reports
 HIGH_ACTION = "Remove invalid records"
@@ -229,6 +236,59 @@ def profile(t: Tables):
     return quality.profile(t.raw_layer)
 
 
+_LOADS = 4
+_SKETCHED = [f.split()[0] for f in GIVEN_SCHEMAS["lineitem"].split(", ")]
+_PROBS = (0.05, 0.5, 0.95)
+
+
+@query(
+    "dq1_sketch_profile",
+    "\nunion all ".join(
+        f"""select 'lineitem' as "table", '{c}' as "column", count(*) as row_count, count(*) - count({c}) as missing_count,
+                   count(distinct {c}) as unique_count, true as unique_within,
+                   {"true" if dict(f.split() for f in GIVEN_SCHEMAS["lineitem"].split(", "))[c] not in ("STRING", "TIMESTAMP_NTZ") else "null::boolean"} as ranks_within
+            from lineitem"""
+        for c in _SKETCHED
+    ),
+)
+def sketch_profile(t: Tables):
+    """Sketches of four loads, one of them recorded twice, merged and held against the exact profile."""
+    store = scratch_dir(t.spark, "sketches")
+    lines = t.given("lineitem")
+    for load in (*range(_LOADS), 1):
+        rows = lines.filter(F.col("l_orderkey") % _LOADS == load)
+        sketches.record(sketches.load_sketches(rows, "lineitem", f"load-{load}"), store)
+    merged = stage(sketches.merged_profile(sketches.read_sketches(t.spark, store), _PROBS), "merged-profile")
+    exact = quality.profile({"lineitem": lines}).select("table", "column", F.col("unique_count").alias("exact"))
+    off = F.abs(F.col("unique_count") - F.col("exact"))
+    rows = merged.join(exact, ["table", "column"])
+    found = rows.join(_rank_errors(lines, merged), "column", "left")
+    return found.select(
+        "table",
+        "column",
+        "row_count",
+        "missing_count",
+        F.col("exact").alias("unique_count"),
+        (off <= F.ceil(sketches.distinct_error() * F.col("exact"))).alias("unique_within"),
+        (F.col("rank_error") <= sketches.rank_error()).alias("ranks_within"),
+    )
+
+
+def _rank_errors(df: DataFrame, merged: DataFrame) -> DataFrame:
+    """column, largest distance between the probability of a quantile and the ranks of its value."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    values = merged.groupBy().pivot("column", numbers).agg(F.first("quantiles.value"))
+    rows = df.withColumn("_values", scalar_row(values))
+    shares = []
+    for c in numbers:
+        for i, p in enumerate(_PROBS):
+            at = F.col("_values")[c][i]
+            low, high = F.avg((F.col(c) < at).cast("int")), F.avg((F.col(c) <= at).cast("int"))
+            shares.append(F.greatest(low - p, p - high, F.lit(0.0)).alias(f"{c}:{i}"))
+    worst = [F.greatest(*[F.col(f"`{c}:{i}`") for i in range(len(_PROBS))]).alias(c) for c in numbers]
+    return rows.agg(*shares).select(*worst).unpivot([], numbers, "column", "rank_error")
+
+
 @query(
     "dq2_missing_issues",
     RAW_WITH

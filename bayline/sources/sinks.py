@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from bayline.session import scratch_dir
 
@@ -70,3 +70,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = write_result(df, scratch_dir(df.sparkSession, purpose))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A parquet table, or no rows where nothing has been written yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def append_missing(rows: DataFrame, path: str, schema: str, keys: Sequence[str]) -> None:
+    """Append the rows whose keys are not in the table yet, so that a repeated run changes nothing."""
+    known = read_if_there(rows.sparkSession, path, schema).select(*keys)
+    rows.join(known, list(keys), "left_anti").write.mode("append").parquet(path)
