@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from bayline.operators import kpi, model
+from bayline.operators import kpi, model, sampling
 from bayline.operators.features import delayed, lead_time_days
 from bayline.plans.binding import Tables, with_roles
 from bayline.plans.queries.kpis import SCORED_SQL, scored_lines
@@ -152,6 +152,23 @@ def stratified_split(t: Tables):
     return model.stratified_split(orders, "o_orderkey", "o_orderstatus")
 
 
+@query(
+    "ml4_exact_split",
+    """with sizes as (select o_orderpriority, count(*) as n, floor(0.15::double * count(*)) as base from orders
+                    where o_orderpriority is not null group by 1),
+         takes as (select o_orderpriority, base + (row_number() over (order by 0.15::double * n - base desc, o_orderpriority)
+                          <= round(0.15::double * sum(n) over ()) - sum(base) over ())::int as take from sizes)
+       select o_orderkey, o_orderpriority,
+              row_number() over (partition by o_orderpriority
+                                 order by ('0x' || substr(md5('exact:' || o_orderkey), 1, 8))::ubigint, o_orderkey) <= take as is_test
+       from orders join takes using (o_orderpriority)""",
+)
+def exact_split(t: Tables):
+    """A split whose classes have the wanted share to within one row."""
+    orders = t.given("orders").select("o_orderkey", "o_orderpriority")
+    return sampling.exact_split(orders, "o_orderkey", "o_orderpriority", 0.15, "exact")
+
+
 FRAME_SQL = with_roles("visits", "appointments", "visit_parts") + """, frame as (
   select v.visit_id, n.n_name as dealer_nation, a.service_type,
          floor(date_diff('microsecond', a.booking_date, v.check_in_time) / 8.64e10)::double
