@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayline.operators.quantiles import scalar_row
+from bayline.operators.silhouette import euclidean_silhouette
 from bayline.sources.sinks import stage
 
 # fixed values: columns of the first and of the refined clustering, restarts and seed
@@ -93,16 +94,32 @@ def kmeans_fit(
 
 
 def k_search(
-    df: DataFrame, key: str, cols: Sequence[str], ks: Sequence[int], restarts: int = RESTARTS
+    df: DataFrame,
+    key: str,
+    cols: Sequence[str],
+    ks: Sequence[int],
+    restarts: int = RESTARTS,
+    distance: str = "squared",
+    sample: float | None = None,
 ) -> DataFrame:
-    """Silhouette per number of clusters and whether it is the best one."""
+    """Silhouette per number of clusters and whether it is the best one.
+
+    ``distance`` is "squared", whose cost is rows times clusters, or "euclidean", which meets all pairs of
+    rows unless ``sample`` gives the share of rows to evaluate.
+    """
     vectors = _vectors(df.select(key, *cols), cols).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = ClusteringEvaluator(featuresCol="_features", predictionCol="cluster_id")
+
+    def score(clustered: DataFrame) -> float:
+        if distance == "squared":
+            return float(evaluator.evaluate(clustered))
+        rows = clustered.select("cluster_id", vector_to_array("_features").alias("x"))
+        return euclidean_silhouette(rows, "x", "cluster_id", sample).first()["silhouette_score"]
+
+    if distance not in ("squared", "euclidean"):
+        raise ValueError(f"unknown distance: {distance}")
     try:
-        scores = [
-            (k, float(evaluator.evaluate(_best_model(vectors, k, restarts).transform(vectors))))
-            for k in ks
-        ]
+        scores = [(k, score(_best_model(vectors, k, restarts).transform(vectors))) for k in ks]
     finally:
         vectors.unpersist()
     best = max(scores, key=lambda row: row[1])[0]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bayline.operators import clustering, segments
 from bayline.operators.kpi import cluster_profile, segment_profile
+from bayline.operators.silhouette import euclidean_silhouette
 from bayline.plans.binding import Tables, with_roles
 from bayline.plans.queries.kpis import pseudo_clusters
 from bayline.plans.registry import query, rounded
@@ -261,6 +262,7 @@ parts as (select id, max(case when label = other then n end) as own_n,
           from dist group by id)
 """
 _SCORE_SQL = "round(avg(case when own_n = 1 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette_score"
+_EUCLIDEAN_SQL = _DISTANCES_SQL.replace("sum(list_sum(", "sum(sqrt(list_sum(").replace("^ 2)))", "^ 2))))")
 _SILHOUETTE_SQL = _DISTANCES_SQL + f"select count(*) as n, {_SCORE_SQL} from parts"
 
 _CORNER_SEARCH_SQL = (
@@ -313,3 +315,46 @@ def segment_silhouette(t: Tables):
     customers = stage(segments.rule_segments(t.imputed_v1), "segments")
     vector = F.array(F.col("total_visits") / 10, "avg_delay_hours", "avg_csat")
     return rounded(clustering.silhouette(customers.withColumn("x", vector), "x", "segment"))
+
+
+_EMBEDDINGS_SQL = """with points as (select vec_id as id, label, embedding::double[] as x from embeddings
+                    where embedding is not null and label is not null),"""
+
+
+@query(
+    "seg13_euclidean_silhouette",
+    _EMBEDDINGS_SQL + _EUCLIDEAN_SQL + f"select count(*) as n, {_SCORE_SQL}, 0.0::double as standard_error from parts",
+)
+def plain_silhouette(t: Tables):
+    """Silhouette of the given labels in plain Euclidean distance, over all pairs of vectors."""
+    return rounded(euclidean_silhouette(t.given("embeddings"), "embedding", "label"))
+
+
+@query(
+    "seg13_sampled_silhouette",
+    _EMBEDDINGS_SQL + _EUCLIDEAN_SQL + f"select count(*) as n, {_SCORE_SQL}, true as within from parts",
+)
+def sampled_silhouette(t: Tables):
+    """A fifth of the vectors against all: the mean lies within five standard errors of the exact one."""
+    vectors = t.given("embeddings")
+    exact = euclidean_silhouette(vectors, "embedding", "label")
+    found = euclidean_silhouette(vectors, "embedding", "label", sample=0.2)
+    found = found.select("n", F.col("silhouette_score").alias("estimate"), F.col("standard_error").alias("error"))
+    within = F.abs(F.col("estimate") - F.col("silhouette_score")) <= 5 * F.col("error")
+    return rounded(exact.join(found, "n").select("n", "silhouette_score", within.alias("within")))
+
+
+_EUCLIDEAN_SEARCH_SQL = _CORNER_SEARCH_SQL.replace(_DISTANCES_SQL, _EUCLIDEAN_SQL)
+
+
+@query("seg7_euclidean_search", _EUCLIDEAN_SEARCH_SQL)
+def euclidean_search(t: Tables):
+    """The best number of clusters, of two to five, by the plain silhouette."""
+    found = clustering.k_search(_corners(t), "customer_id", ["x", "y"], range(2, 6), restarts=4, distance="euclidean")
+    return rounded(found.filter("best"))
+
+
+@query("seg8_euclidean_compare", _EUCLIDEAN_SEARCH_SQL)
+def euclidean_compare(t: Tables):
+    found = clustering.k_search(_corners(t), "customer_id", ["x", "y"], [3, 4], restarts=4, distance="euclidean")
+    return rounded(found.filter("best"))
