@@ -17,7 +17,14 @@ from bayline.plans.script import result_catalog, run_script
 from bayline.session import scratch_dir
 from bayline.sources.contract import check_inputs
 from bayline.sources.csv import load_csv, register_csv
-from bayline.sources.sinks import write_marts, write_numbered, write_result
+from bayline.sources.sinks import (
+    current_version,
+    publish_marts,
+    read_published,
+    write_marts,
+    write_numbered,
+    write_result,
+)
 
 
 @query("src1_csv_scan", "select * from events")
@@ -182,8 +189,12 @@ def write_star(t: Tables):
         scratch_dir(t.spark, "snk3"),
         {"fact_service_visits": ["service_year", "service_month"]},
     )
+    return _checksums({name: t.spark.read.parquet(path) for name, path in paths.items()})
+
+
+def _checksums(tables: dict[str, DataFrame]) -> DataFrame:
     frames = [
-        t.spark.read.parquet(paths[name]).agg(
+        tables[name].agg(
             F.lit(name).alias("table"),
             F.count(F.lit(1)).alias("row_count"),
             F.sum(F.conv(F.expr(_digest(columns)), 16, 10).cast("long")).alias("checksum"),
@@ -193,6 +204,20 @@ def write_star(t: Tables):
     return reduce(DataFrame.unionByName, frames)
 
 
+@query(
+    "snk3_published_marts",
+    f"""select 'run-2' as version, m.* from ({_MARTS_SQL}) m""",
+)
+def published_star(t: Tables):
+    """The mart published by a first run without rows and by a second one; what readers see after it."""
+    path = scratch_dir(t.spark, "published")
+    tables = {name: build(t) for name, (_, build, _) in _MARTS.items()}
+    publish_marts({name: df.limit(0) for name, df in tables.items()}, path, "run-1")
+    publish_marts(tables, path, "run-2", {"fact_service_visits": ["service_year", "service_month"]})
+    version = current_version(t.spark, path)["version"]
+    return _checksums(read_published(t.spark, path)).select(F.lit(version).alias("version"), "table", "row_count", "checksum")
+
+
 _SCRIPT = """
 -- number of orders per status; the comment holds a semicolon
 SELECT o_orderstatus AS label, count(*) AS n FROM script_orders GROUP BY o_orderstatus;

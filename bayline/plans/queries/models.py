@@ -244,7 +244,7 @@ def logit_optimum(t: Tables):
 
 # With one two-valued feature and no penalty, the fitted probability of a level is its weighted rate
 # among the training rows, and the coefficient the difference of the log odds.
-_LEVELS_SQL = """with rows as (
+LEVELS_SQL = """with rows as (
   select l_orderkey, l_linenumber, (l_quantity >= 25)::int as large, (l_extendedprice > 30000)::int as dear,
          ('0x' || substr(md5('split:' || l_orderkey || '-' || l_linenumber), 1, 8))::ubigint
            / 4294967296.0 < 0.2 as is_test
@@ -258,7 +258,7 @@ scored as (select r.*, s.p from rows r join scores s using (large) where is_test
 """
 
 
-def _levels(t: Tables):
+def levels(t: Tables):
     """Lines with one two-valued feature, staged with their split, and the model of the training rows."""
     lines = t.given("lineitem").dropna(subset=["l_quantity", "l_extendedprice"])
     rows = lines.select(
@@ -268,6 +268,7 @@ def _levels(t: Tables):
         (F.col("l_quantity") >= 25).cast("int").alias("large"),
         (F.col("l_extendedprice") > 30000).cast("int").alias("dear"),
         F.lit("all").alias("kind"),
+        F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")).alias("event"),
     )
     rows = stage(model.stratified_split(rows, "line", "dear"), "levels")
     fit = model.fit_logit(rows.filter(~F.col("is_test")), "dear", ["large"], ["kind"], penalty=0.0)
@@ -276,7 +277,7 @@ def _levels(t: Tables):
 
 @query(
     "ml6_level_metrics",
-    _LEVELS_SQL
+    LEVELS_SQL
     + """, c as (select count_if(dear = 1 and p > 0.5) as tp, count_if(dear = 0 and p > 0.5) as fp,
                     count_if(dear = 1 and p <= 0.5) as fn, count_if(dear = 0 and p <= 0.5) as tn from scored)
          select 'ROC-AUC' as metric, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 4) as value from c
@@ -285,19 +286,19 @@ def _levels(t: Tables):
          union all select 'F1', round(2 * tp / (2 * tp + fp + fn), 4) from c""",
 )
 def level_metrics(t: Tables):
-    fit, test = _levels(t)
+    fit, test = levels(t)
     scored = model.score(fit, test)
     return rounded(model.binary_metrics(scored, "dear", "delay_probability", "predicted_delayed"), 4)
 
 
 @query(
     "ml7_level_scores",
-    _LEVELS_SQL
+    LEVELS_SQL
     + """select l_orderkey, l_linenumber, dear, round(p, 4) as probability, (p > 0.5)::int as predicted
          from scored""",
 )
 def level_scores(t: Tables):
-    fit, test = _levels(t)
+    fit, test = levels(t)
     return rounded(
         model.score(fit, test).select(
             "l_orderkey",
@@ -312,28 +313,28 @@ def level_scores(t: Tables):
 
 @query(
     "ml11_level_coefficient",
-    _LEVELS_SQL
+    LEVELS_SQL
     + """select 'numeric__large' as feature, round(c, 3) as coefficient, round(abs(c), 3) as absolute_coefficient
          from (select (select log_odds from scores where large = 1) - (select log_odds from scores where large = 0)
                  as gap, (select stddev_pop(large) from train) as sd), lateral (select gap * sd as c)""",
 )
 def level_coefficient(t: Tables):
     """The coefficient of the scaled feature."""
-    fit, test = _levels(t)
+    fit, test = levels(t)
     table = model.coefficients(fit, test, ["large"])
     return rounded(table.filter(F.col("feature") == "numeric__large"), 3)
 
 
 @query(
     "ml12_level_bands",
-    _LEVELS_SQL
+    LEVELS_SQL
     + """select case when p <= 0.3 then 'Low Risk' when p <= 0.6 then 'Medium Risk' else 'High Risk' end
                   as risk_band,
                count(*) as lines, sum(dear) as dear, round(avg(p), 4) as avg_probability
          from scored group by 1""",
 )
 def level_bands(t: Tables):
-    fit, test = _levels(t)
+    fit, test = levels(t)
     return rounded(
         model.score_and_band(fit, test)
         .groupBy("risk_band")

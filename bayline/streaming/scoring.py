@@ -1,11 +1,14 @@
 """Scoring arriving rows with a fitted pipeline or with the band rules.
 
-No state is kept: each row is scored on its own, so there is neither a watermark nor late
-data, and the file sink with its checkpoint writes every row once.
+Each row is scored on its own. A source that may deliver a row twice goes through ``first_arrivals``, whose
+state holds the keys of the watermark's span. ``write_batches`` writes each batch to a folder of its own
+number: a batch that is run again after a failure replaces what it had written, so every row is there once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,27 @@ def band_stream(scored: DataFrame, probability: str = "delay_probability") -> Da
     return scored.withColumn("risk_band", risk_band(F.col(probability)))
 
 
+def first_arrivals(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """Rows whose keys have not arrived before, within ``delay`` of event time; later rows are dropped."""
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def write_batches(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Write what is there now, one folder per batch, then stop; the number of batches of this run."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return len(query.recentProgress)
+
+
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> str:
     """Write all rows that are there now as parquet, then stop."""
     query = (

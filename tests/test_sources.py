@@ -2,9 +2,12 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from bayline import session
 from bayline.plans.script import returns_rows, run_script, statements_of
 from bayline.session import scratch_dir
+from bayline.sources import sinks
 from bayline.sources.contract import check_inputs
 from bayline.sources.csv import load_csv, register_csv
 from bayline.sources.schemas import PRIMARY_KEYS, RELATIONSHIPS, SCHEMAS
@@ -119,3 +122,32 @@ def test_clean_scratch_removes_the_folder_of_the_session(spark, tmp_path, monkey
     monkeypatch.setattr(session, "session_scratch", lambda _: str(tmp_path / "own"))
     assert stage(spark.range(3).toDF("x"), "kept").count() == 3 and (tmp_path / "own").exists()
     assert session.clean_scratch(spark) and not list(tmp_path.iterdir())
+
+
+def published(spark, path):
+    return {name: sorted(r[0] for r in df.collect()) for name, df in sinks.read_published(spark, path).items()}
+
+
+def test_readers_see_all_tables_of_one_version(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, path)
+    one = {"a": spark.range(3), "b": spark.range(2)}
+    sinks.publish_marts(one, path, "v1")
+    before = sinks.read_published(spark, path)
+    assert published(spark, path) == {"a": [0, 1, 2], "b": [0, 1]}
+
+    broken = {"a": spark.range(9), "b": spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))}
+    with pytest.raises(Exception, match="no"):  # fails between the two tables
+        sinks.publish_marts(broken, path, "v2")
+    assert sinks.current_version(spark, path)["version"] == "v1"
+    assert published(spark, path) == {"a": [0, 1, 2], "b": [0, 1]}
+
+    sinks.publish_marts({"a": spark.range(9), "b": spark.range(5)}, path, "v2")  # over what the failed run left
+    assert published(spark, path) == {"a": list(range(9)), "b": list(range(5))}
+    assert before["a"].count() == 3  # a reader of the former version goes on
+    with pytest.raises(ValueError):
+        sinks.publish_marts(one, path, "v2")
+    assert sinks.drop_versions(spark, path) == ["v1"]
+    assert published(spark, path)["b"] == list(range(5))
+    assert not [f for f in tmp_path.joinpath("mart").iterdir() if f.name not in ("versions", "_current.json", "._current.json.crc") and not f.name.endswith(".crc")]
