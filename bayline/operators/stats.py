@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayline.functions.flags import is_true
+from bayline.functions.noncentral import let, t_test_size
+from bayline.functions.ranktest import u_two_sided
 from bayline.functions.special import chi_square_sf, normal_two_sided
 from bayline.operators.kpi import cell_counts
 from bayline.operators.quantiles import median_of, quantiles_wide, rank_sums, scalar_row
@@ -22,6 +24,8 @@ from bayline.sources.sinks import stage
 ALPHA = 0.05
 POWER = 0.80
 MIN_EFFECT = 0.01
+#: Rows of the smaller and of the larger sample up to which a rank test without ties is exact.
+EXACT_UP_TO = (8, 200)
 
 
 def significant(p: Column, alpha: float = ALPHA) -> Column:
@@ -30,12 +34,19 @@ def significant(p: Column, alpha: float = ALPHA) -> Column:
 
 
 def mann_whitney(
-    df: DataFrame, group: str, value: str, first, second, closed_domain: bool = False
+    df: DataFrame,
+    group: str,
+    value: str,
+    first,
+    second,
+    closed_domain: bool = False,
+    exact_up_to: tuple[int, int] = EXACT_UP_TO,
 ) -> DataFrame:
     """Two-sided Mann-Whitney test of the values of two groups, one row.
 
     U belongs to the first group. Tie-averaged ranks, tie-corrected normal approximation
-    with continuity correction; NULL where the variance is zero or a group is empty.
+    with continuity correction; NULL where the variance is zero or a group is empty. Without ties, and
+    with samples of at most ``exact_up_to`` rows (the smaller and the larger one), the p-value is exact.
     """
     g = F.col(group)
     is_first = F.when(g == F.lit(first), F.lit(True)).when(g == F.lit(second), F.lit(False))
@@ -64,9 +75,11 @@ def mann_whitney(
         F.greatest(u, pairs - u) - pairs / 2 - F.lit(0.5),
         F.when(variance > 0, F.sqrt(variance)),
     )
+    smaller, larger = exact_up_to
+    small = (F.col("ties") == 0) & (pairs > 0) & (F.least(n1, n2) <= smaller) & (F.greatest(n1, n2) <= larger)
     return (
-        sums.select("n1", "n2", u.alias("u_statistic"), z.alias("z_statistic"))
-        .withColumn("p_value", _upper_tail_twice(F.col("z_statistic")))
+        sums.withColumns({"u_statistic": u, "z_statistic": z})
+        .withColumn("p_value", F.when(small, u_two_sided(u, n1, n2)).otherwise(_upper_tail_twice(F.col("z_statistic"))))
         .withColumn("significant_at_0_05", significant(F.col("p_value")))
         .withColumn("_m", medians)
         .select(
@@ -226,17 +239,22 @@ def sample_size(
     control,
     alpha: float = ALPHA,
     power: float = POWER,
+    exact: bool = False,
 ) -> DataFrame:
     """Rows needed per group for the observed effect, as rows (parameter, value).
 
-    Normal approximation 2 ((z_alpha/2 + z_power) / d)^2 with the effect floored.
+    Normal approximation 2 ((z_alpha/2 + z_power) / d)^2 with the effect floored; ``exact`` solves the power
+    of the t-test instead, which takes some seconds and gives up to one row more for usual effects.
     """
     quantile = NormalDist().inv_cdf
     factor = 2.0 * (quantile(1 - alpha / 2) + quantile(power)) ** 2
     stats = sample_stats(df, group, value, control, treatment)
     effect = F.abs(cohens_d_of(stats))
     floored = F.greatest(effect, F.lit(MIN_EFFECT))
-    needed = F.when(effect.isNotNull(), F.lit(factor) / (floored * floored))
+    needed = F.lit(factor) / (floored * floored)
+    if exact:
+        needed = let(floored, lambda d: t_test_size(d, alpha, power))
+    needed = F.when(effect.isNotNull(), needed)
     rows = [
         ("Observed Cohen's d", effect),
         ("Alpha", F.lit(alpha)),

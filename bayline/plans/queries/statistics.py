@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bayline.operators import stats
+from bayline.functions.noncentral import t_test_size
+from bayline.operators import ordering, stats
 from bayline.operators.experiment import CONTROL, GROUP, TREATMENT
 from bayline.plans.binding import Tables, with_roles
 from bayline.plans.queries.kpis import EXPERIMENT_SQL, experiment_rows
@@ -100,6 +101,27 @@ def price_by_status(t: Tables):
     return _tested(stats.mann_whitney(t.given("orders"), "o_orderstatus", "o_totalprice", "F", "O"))
 
 
+@query(
+    "sta1_small_samples",
+    """with recursive f as (select 'F' as g, o_totalprice as v from orders where o_orderstatus = 'F' order by o_orderkey limit 6),
+         o as (select 'O' as g, o_totalprice as v from orders where o_orderstatus = 'O' order by o_orderkey limit 7),
+         pooled as (select *, row_number() over (order by v) as r from (select * from f union all select * from o)),
+         chosen as (select 0 as n, 0 as last, 0 as total union all
+                    select n + 1, r::int, total + r::int from chosen, (select unnest(range(1, 14)) as r) where n < 6 and r > last),
+         u as (select sum(r) filter (g = 'F') - 21 as u, median(v) filter (g = 'F') as m1, median(v) filter (g = 'O') as m2 from pooled)
+       select 6::bigint as n1, 7::bigint as n2, m1 as median_1, m2 as median_2, u::double as u_statistic,
+              round((greatest(u, 42 - u) - 21.5) / sqrt(42 / 12 * 14), 6) as z_statistic,
+              round((select least(1, 2 * count_if(total - 21 >= greatest(u, 42 - u)) / count(*)) from chosen where n = 6), 9)::double as p_value,
+              (select 2 * count_if(total - 21 >= greatest(u, 42 - u)) / count(*) from chosen where n = 6) < 0.05 as significant_at_0_05
+       from u""",
+)
+def small_samples(t: Tables):
+    """Six against seven prices, the first of each status: the exact p-value, checked by enumeration."""
+    orders = t.given("orders")
+    first = [ordering.top_n(orders.filter(F.col("o_orderstatus") == s), [], "o_orderkey", n) for s, n in (("F", 6), ("O", 7))]
+    return _tested(stats.mann_whitney(first[0].unionByName(first[1]), "o_orderstatus", "o_totalprice", "F", "O"))
+
+
 def chi_square_sql(source: str, a: str, b: str) -> str:
     return f"""
 cells as (select x.a, y.b, (select count(*) from {source} where {a} = x.a and {b} = y.b) as o
@@ -229,6 +251,50 @@ def sample_size(t: Tables):
     )
 
 
+# published rows per group of the two-sided t-test at 0.05 and power 0.8, as fixed values
+PUBLISHED_SIZES = {0.2: 393.405695, 0.5: 63.765610, 0.8: 25.524572}
+
+_GRID = 160
+_NORMAL = "(case when x < 0 then " + erfc_sql("abs(x) / sqrt(2)") + " / 2 else 1 - " + erfc_sql("abs(x) / sqrt(2)") + " / 2 end)"
+# one evaluation of a tail per step: 44 halvings for the critical value, one for the size, 36 times
+_EXACT_SIZE_SQL = f"""
+search as (
+  select 0 as step, greatest(abs(d), 0.01) as d, 2 * (1.959963984540054::double + 0.8416212335729143::double) ^ 2 / greatest(abs(d), 0.01) ^ 2 as lo,
+         2 * (1.959963984540054::double + 0.8416212335729143::double) ^ 2 / greatest(abs(d), 0.01) ^ 2 + 6 as hi, 1.9::double as t_lo, 3.5::double as t_hi
+  from effect
+  union all
+  select step + 1, d, case when step % 45 = 44 and tail < 0.8 then m else lo end, case when step % 45 = 44 and tail >= 0.8 then m else hi end,
+         case when step % 45 = 44 then 1.9 when tail > 0.05 then t else t_lo end, case when step % 45 = 44 then 3.5 when tail > 0.05 then t_hi else t end
+  from (
+    select step, d, lo, hi, t_lo, t_hi, m, t, sum(w * beyond) / sum(w) as tail
+    from (
+      select step, d, lo, hi, t_lo, t_hi, m, t, w, list_sum([{_NORMAL} for x in [delta - t * s, -delta - t * s]]) as beyond
+      from (
+        select *, exp(u) as s, exp(v * (u - (exp(2 * u) - 1) / 2)) as w
+        from (
+          select *, (lo + hi) / 2 as m, lo + hi - 2 as v, (t_lo + t_hi) / 2 as t, case when step % 45 = 44 then d * sqrt((lo + hi) / 4) else 0 end as delta,
+                 (2 * sqrt(39 / v) + 39 / v) * i / {_GRID} - sqrt(39 / v) - 39 / v as u
+          from search, range({_GRID + 1}) g(i) where step < 45 * 36)))
+    group by all)),
+size as (select (lo + hi) / 2 as n from search where step = 45 * 36)
+"""
+
+
+@query(
+    "sta6_exact_size",
+    EXPERIMENT_SQL.replace("with ", "with recursive ", 1) + "," + EFFECT_SQL + "," + _EXACT_SIZE_SQL
+    + "select 'observed' as effect, round(n, 3) as size from size"
+    + "".join(f" union all select '{d}', round({n}::double, 4)" for d, n in PUBLISHED_SIZES.items()),
+)
+def exact_size(t: Tables):
+    """Rows per group by the power of the t-test, for the observed effect and for those of published tables."""
+    found = stats.sample_size(experiment_rows(t), GROUP, "csat_score", TREATMENT, CONTROL, exact=True)
+    observed = found.filter(F.col("parameter") == "Required Sample Size Per Group").select(F.lit("observed").alias("effect"), F.round("value", 3).alias("size"))
+    effects = t.spark.createDataFrame([(d,) for d in PUBLISHED_SIZES], "d double")
+    known = effects.select(F.col("d").cast("string").alias("effect"), F.round(t_test_size(F.col("d"), 0.05, 0.8), 4).alias("size"))
+    return observed.unionByName(known)
+
+
 @query(
     "sta7_decisions",
     "with "
