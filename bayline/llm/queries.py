@@ -137,9 +137,11 @@ WITH dw AS (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM documents WHERE text IS NOT NULL),
 iw AS (
   SELECT item_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM benchmark WHERE text IS NOT NULL),
+widths AS (
+  SELECT DISTINCT least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
 ds AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM dw WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM dw JOIN widths ON len(w) >= k)),
 its AS (
   SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM iw WHERE len(w) > 0)),

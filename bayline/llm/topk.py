@@ -10,9 +10,9 @@ at the boundary are resolved by the smaller id. The best rows of all blocks are
 Queries are dealt to blocks as well, so a task has one block of vectors and one of queries; both
 are bounded, nothing is broadcast.
 
-Defined results: vectors that are null, or hold a null, NaN, infinite or too large component (beyond
-2 ** 20 in absolute value, where sums could leave 64 bits) take no part. A missing component counts
-as 0. Rows with a null id take no part. Rows that share an id are rows of their own, but a query is
+Defined results: vectors that are null, or hold a null, NaN or infinite component take no part. Slices are as
+wide as a block's components need, and sums are exact at any width; a component, or a score among the best,
+that leaves 64 bits ends the query with an error. A missing component counts as 0. Rows with a null id take no part. Rows that share an id are rows of their own, but a query is
 never compared with rows of its own id; equal scores of equal ids are ordered arbitrarily, they are
 equal rows of the result. Extra columns are ignored. Fewer candidates than k give fewer rows.
 """
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayline.llm.common import shuffle_partitions, stage
@@ -32,14 +32,15 @@ SCALE = 1024
 #: Vectors in a block, and queries that a task answers over it.
 BLOCK = 32_768
 QUERY_BLOCK = 128
-LARGEST = 1 << 20
+#: From here on a scaled component is no 64-bit number.
+BEYOND = 2.0**63
 SCORES = "query_id long, vec_id long, score long"
 
 
 def slices(values: np.ndarray) -> tuple[list[list[np.ndarray]], np.ndarray, int]:
     """Bit slices of each column minus its least value; these values; the width."""
     low = values.min(0)
-    shifted = (values - low).astype(np.uint64)
+    shifted = values.view(np.uint64) - low.view(np.uint64)  # below 2 ** 64, whatever the signs
     width = max(1, int(shifted.max()).bit_length())
     n = -(-len(values) // 64) * 64
     out = []
@@ -118,11 +119,13 @@ def search(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries:
                 shift += 1
         total = add(columns, words)
         best = best_rows(total, everything & ~own, k)
-        scores = np.full(len(best), offset, np.int64)
+        scores = [offset] * len(best)
         for weight, plane in enumerate(total):
             bit = (plane[best >> 6] >> (best & 63).astype(np.uint64)) & np.uint64(1)
-            scores += bit.astype(np.int64) << weight
-        yield query_id, ids[best], scores
+            scores = [s + (b << weight) for s, b in zip(scores, bit.tolist())]
+        if any(not -(1 << 63) <= s < 1 << 63 for s in scores):
+            raise OverflowError(f"a score of query {query_id} leaves 64 bits")
+        yield query_id, ids[best], np.array(scores, np.int64)
 
 
 def block_search(k: int):
@@ -161,9 +164,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCAL
     spark = vectors.sparkSession
 
     def quantised(df: DataFrame) -> DataFrame:
-        x = F.transform("embedding", lambda v: F.floor(v.cast("double") * scale))
-        fits = F.forall("embedding", lambda v: F.coalesce(F.abs(v.cast("double")) < LARGEST, F.lit(False)) & ~F.isnan(v))
-        kept = df.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fits)
+        def component(v: Column) -> Column:
+            scaled = v.cast("double") * scale
+            too_large = F.raise_error(F.concat(F.lit("a component leaves 64 bits: "), v.cast("string"))).cast("long")
+            return F.when((scaled >= -BEYOND) & (scaled < BEYOND), F.floor(scaled)).otherwise(too_large)
+
+        x = F.transform("embedding", component)
+        finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(v))
+        kept = df.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
         return stage(kept.select(F.col("vec_id").cast("long").alias("id"), x.cast("array<long>").alias("x")), "quantised")
 
     rows, asked = quantised(vectors), quantised(queries)

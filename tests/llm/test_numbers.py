@@ -16,9 +16,9 @@ def test_top_k_matches_all_pairs(spark):
     rng = random.Random(8)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(9)], 0) for i in range(300)]
     rows += [(300 + i, rows[i][1], 0) for i in range(60)]
-    rows += [(500, None, 0), (501, [1.0, None], 0), (502, [math.nan], 0), (503, [math.inf], 0), (504, [], 0), (505, [3.0], 0), (None, [1.0], 0), (506, [1e30], 0)]
+    rows += [(500, None, 0), (501, [1.0, None], 0), (502, [math.nan], 0), (503, [math.inf], 0), (504, [], 0), (505, [3.0], 0), (None, [1.0], 0), (506, [2.0**21], 0), (507, [-(2.0**30), 0.5], 0), (550, [2.0**10, -1.0], 0)]
     table = spark.createDataFrame(rows, VECTORS)
-    known = {r.vec_id: [math.floor(1024 * x) for x in r.embedding] for r in table.collect() if r.vec_id is not None and r.vec_id not in (500, 501, 502, 503, 506)}
+    known = {r.vec_id: [math.floor(1024 * x) for x in r.embedding] for r in table.collect() if r.vec_id is not None and r.vec_id not in (500, 501, 502, 503)}
     wanted = []
     for q in sorted(i for i in known if i % 50 == 0):
         scored = sorted((-sum(a * b for a, b in zip(known[q], v)), i) for i, v in known.items() if i != q)
@@ -30,6 +30,20 @@ def test_top_k_matches_all_pairs(spark):
     assert topk.top_k(table.limit(0), table, 3).count() == topk.top_k(table, table.limit(0), 3).count() == 0
 
 
+def test_scores_that_leave_64_bits_are_refused(spark):
+    def best(*rows):
+        table = spark.createDataFrame([(i, list(x)) for i, x in enumerate(rows)], "vec_id long, embedding array<double>")
+        return [tuple(r) for r in topk.top_k(table, table.filter("vec_id = 0"), 1).collect()]
+
+    wide = 2.0**52
+    assert best((1 / 1024, 0.0), (wide, 0.0), (-wide, 1.0)) == [(0, 1, 1, 1 << 62)]
+    assert best((0.0, 1.0), (wide, -1.0), (-wide, -2.0)) == [(0, 1, 1, -(1 << 20))]
+    with pytest.raises(Exception, match="leaves 64 bits"):
+        best((2.0, 0.0), (wide, 0.0))
+    with pytest.raises(Exception, match="leaves 64 bits"):
+        best((1.0, 0.0), (1e30, 0.0))
+
+
 def test_targets_and_copies(spark):
     rng = random.Random(9)
     rows = [(i, f"s{i % 2}" if i % 3 else "big", rng.randrange(1, 50)) for i in range(900)]

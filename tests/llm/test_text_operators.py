@@ -44,7 +44,7 @@ def test_toxicity_of_odd_rows(spark, odd, none):
 
 def test_items_are_found_exactly(spark, none):
     rng = random.Random(4)
-    items = [words(rng, rng.randrange(20, 50), 10_000) for _ in range(20)] + ["two words", "", None]
+    items = [words(rng, rng.randrange(20, 50), 10_000) for _ in range(20)] + ["two words", "", None, "w1 w2 w3 w4", "one", "w7 w8 w9 w10 w11"]
     texts = []
     for i in range(60):
         item = items[i % 20].split()
@@ -53,16 +53,22 @@ def test_items_are_found_exactly(spark, none):
         texts.append(f"{words(rng, rng.choice([3, 3000]))} {' '.join(item).upper()}. {words(rng, 30)}")
     texts += [None, "", "Two words!", "two words more"]
 
-    def shingles(text):
-        w = "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    texts += ["w0 w1 w2 w3 w4 w5", "w1 w2 w3", "one", f"{words(rng, 500, 10_000)} here are two words and one", "w7 w8 w9 w10 w11", "w1 w2 w4 w3"]
+
+    def word_list(text):
+        return "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+
+    def shingles(w, width):
+        return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
 
     wanted = set()
     for d, text in enumerate(texts):
         for i, item in enumerate(items):
-            s = shingles(item)
-            if s and len(s & shingles(text)) * 5 >= len(s) * 4:
+            width = min(5, len(word_list(item)))
+            s = shingles(word_list(item), width) if width else set()
+            if s and len(s & shingles(word_list(text), width)) * 5 >= len(s) * 4:
                 wanted.add((d, i))
+    assert {20, 23, 24, 25} <= {i for _, i in wanted}
     table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").withColumn("row", F.lit(1))
     docs = documents(spark, texts).withColumn("item_id", F.lit(7))
     got = containment.leaks(docs, table).collect()
