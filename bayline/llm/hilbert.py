@@ -5,28 +5,35 @@ of a row give its index on the Hilbert curve, and rows are range-sorted by that
 the sorted rows are the shards, so each shard covers a small box of every dimension and readers
 can skip shards by the minimum and maximum of each column.
 
+Equal texts are a group: the cell of its smallest key decides for all, so the copies lie side by side and only
+a shard's edge can part them. Within a group rows follow the curve by their own cells, so shards of a large group
+can be pruned as well.
+
 Law ``rows``: the numbers of rows of two shards differ by one at most, whatever the keys are.
 
-Defined results: null and NaN lie in the lowest cell of their dimension; strings are ordered by
-their first seven bytes; within a cell rows are ordered by the checksum of the text and the key, so
-equal texts lie side by side; a null text has checksum 0. Repeated rows keep their number. An empty
+Defined results: null and NaN lie in the lowest cell of their dimension; strings are compared whole, by their
+bytes; within a cell rows are ordered by the checksum and the hash of the text, their own place on the curve and
+their key; a null text has checksum 0 and is a group of its own. Repeated rows keep their number. An empty
 table gives no rows. Result columns replace columns of the same name.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bayline.llm.common import packed, unpacked, with_rank
+from bayline.llm.common import packed, shuffle_partitions, stage, unpacked, with_rank
 
 BITS = 4
 #: The curve is a table of 2 ** (dimensions * bits) rows; it is broadcast.
 MOST_CURVE_BITS = 16
 ACCURACY = 10_000
+#: Groups of equal texts with several cells, of three numbers each, up to which they are broadcast.
+BROADCAST_ROWS = 1 << 20
 
 
 def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -66,11 +73,14 @@ def curve_table(spark: SparkSession, dims: int, bits: int) -> DataFrame:
     return spark.createDataFrame(list(pairs), "cell long, curve long")
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number; strings by their first seven bytes."""
+STRINGS = ("string", "varchar", "char", "binary")
+
+
+def as_ordered(df: DataFrame, name: str) -> Column:
+    """An order-preserving number; strings as they are."""
     kind, value = df.schema[name].dataType.typeName(), F.col(f"`{name}`")
-    if kind in ("string", "varchar", "char", "binary"):
-        return F.conv(F.substring(F.rpad(F.hex(value), 14, "0"), 1, 14), 16, 10).cast("double")
+    if kind in STRINGS:
+        return value
     if kind in ("float", "double"):
         return F.when(~F.isnan(value), value.cast("double"))
     if kind == "date":
@@ -80,19 +90,58 @@ def as_number(df: DataFrame, name: str) -> Column:
     return value.cast("double")
 
 
+def string_cuts(df: DataFrame, value: Column, shares: Sequence[float]) -> list:
+    """The least strings up to which the given shares of all rows lie.
+
+    Strings are counted, the counts range-partitioned and summed up within each range; one row per range
+    gives what lies before it, and one string per share comes back.
+    """
+    counts = df.select(value.alias("value")).dropna().groupBy("value").agg(F.count("*").alias("n"))
+    ranges = counts.repartitionByRange(shuffle_partitions(df.sparkSession), "value").withColumn("part", F.spark_partition_id())
+    ranges = stage(ranges, "string-counts")
+    offsets, total = [], 0
+    for part, n in sorted(tuple(r) for r in ranges.groupBy("part").agg(F.sum("n")).collect()):  # one row per range
+        offsets.append((part, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(offsets, "part int, start long")
+    end = F.col("start") + F.sum("n").over(Window.partitionBy("part").orderBy("value"))
+    placed = ranges.join(F.broadcast(starts), "part").withColumn("end", end)  # as many rows as ranges
+    positions = F.array(*[F.lit(max(1, math.ceil(s * total))).cast("long") for s in shares])
+    here = F.exists(positions, lambda p: (p <= F.col("end")) & (p > F.col("end") - F.col("n")))
+    return [r[0] for r in placed.filter(here).select("value").collect()]  # at most one per share
+
+
 def cell_code(df: DataFrame, dims: Sequence[str], bits: int) -> Column:
     """The cells of a row in one number; cut points are quantiles over all rows of ``df``."""
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(as_number(df, d), shares, ACCURACY).alias(f"c{i}") for i, d in enumerate(dims)]).first()
+    texts = [d for d in dims if df.schema[d].dataType.typeName() in STRINGS]
+    numbers = [d for d in dims if d not in texts]
+    cuts = {d: string_cuts(df, as_ordered(df, d), shares) for d in texts}
+    if numbers:
+        found = df.agg(*[F.percentile_approx(as_ordered(df, d), shares, ACCURACY) for d in numbers]).first()
+        cuts |= dict(zip(numbers, found))
     code = F.lit(0).cast("long")
     for i, name in enumerate(dims):
-        found = sorted(set(cuts[i] or []))
-        value = as_number(df, name)
-        cell = sum((F.coalesce(value > c, F.lit(False)).cast("long") for c in found), F.lit(0).cast("long"))
+        value = as_ordered(df, name)
+        cell = sum((F.coalesce(value > F.lit(c), F.lit(False)).cast("long") for c in sorted(set(cuts[name] or []))), F.lit(0).cast("long"))
         code = code + F.shiftleft(cell, bits * i)
     return code
 
 
+def with_group_cells(rows: DataFrame) -> DataFrame:
+    """rows with cell, crc, hash and key: the cell of a group's smallest key for all its rows, beside own_cell.
+
+    Only groups whose cells differ are joined; so few of them are broadcast that they fit a task, more are joined
+    by a shuffle.
+    """
+    first = F.min(F.struct(F.col("key").isNull().alias("no"), "key", "cell"))
+    groups = rows.groupBy("hash", "crc").agg(first.alias("first"), F.min("cell").alias("low"), F.max("cell").alias("high"))
+    split = stage(groups.filter("low < high").select("hash", "crc", F.col("first.cell").alias("group_cell")), "split-groups")
+    split = F.broadcast(split) if split.count() <= BROADCAST_ROWS else split
+    joined = rows.join(split, ["hash", "crc"], "left")
+    return joined.withColumn("own_cell", F.col("cell")).withColumn("cell", F.coalesce("group_cell", "cell")).drop("group_cell")
+
+
 def shards(
     docs: DataFrame,
     count: int,
@@ -101,11 +150,13 @@ def shards(
     text: str = "text",
     bits: int = BITS,
 ) -> DataFrame:
-    """Each row with curve, shard and slot (position within the shard, from 0)."""
+    """Each row with curve (its group's), shard and slot (position within the shard, from 0)."""
     checksum = F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0))
-    rows = packed(docs, cell=cell_code(docs, dims, bits), crc=checksum, key=F.col(key))
-    rows = rows.join(F.broadcast(curve_table(docs.sparkSession, len(dims), bits)), "cell")
-    order = [F.col("curve"), F.col("crc"), F.col("key")]
+    rows = packed(docs, cell=cell_code(docs, dims, bits), crc=checksum, hash=F.xxhash64(F.col(text)), key=F.col(key))
+    rows = with_group_cells(rows)
+    curve = curve_table(docs.sparkSession, len(dims), bits)
+    rows = rows.join(F.broadcast(curve), "cell").join(F.broadcast(curve.toDF("own_cell", "own")), "own_cell")
+    order = [F.col(c) for c in ("curve", "crc", "hash", "own", "key")]
     rows = with_rank(rows, order, "rank", rows_name="n")
     rows = rows.withColumn("shard", F.expr(f"CAST(rank * {count} DIV n AS INT)"))
     first = f"((CAST(shard AS BIGINT) * n + {count - 1}) DIV {count})"

@@ -116,3 +116,34 @@ def test_shards_are_even_gapless_and_prunable(spark, odd, none, tmp_path):
     near = manifest.filter("max_a >= 3 AND min_a <= 4").count()
     found = hilbert.read_shards(spark, str(tmp_path), {"a": (3, 4)})
     assert found.count() == 100 and near < 8
+
+
+def plain_cells(values, bits=4):
+    """Cell of each value: how many of the quantiles lie below it; None is in the lowest."""
+    there = sorted(v for v in values if v is not None)
+    cuts = sorted({there[max(1, -(-len(there) * i // (1 << bits))) - 1] for i in range(1, 1 << bits)})
+    return [0 if v is None else sum(v > c for c in cuts) for v in values]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_shards_follow_a_plain_sort(spark, monkeypatch, most):
+    monkeypatch.setattr(hilbert, "BROADCAST_ROWS", most)  # groups broadcast, or joined by a shuffle
+    rng = random.Random(12)
+    texts = [f"text {rng.randrange(90)}" for _ in range(400)] + [None] * 5
+    prefix = "https://host.example/a/long/common/prefix/"
+    rows = [(i, t, rng.choice("abcde"), prefix + str(rng.randrange(30)), rng.choice([None, rng.randrange(500)])) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n long").repartition(6)
+    got = hilbert.shards(df, 7, ["source", "lang", "n"]).collect()
+    cells = [plain_cells([r[i] for r in rows]) for i in (3, 2, 4)]
+    assert len(set(cells[0])) == 16  # a common prefix does not matter
+    group = {}
+    for i, r in enumerate(rows):
+        group.setdefault(r[1], i)
+    curve = hilbert.curve_index(np.array([[cells[d][group[r[1]]] for d in range(3)] for r in rows]), 4)
+    crc = [zlib.crc32((r[1] or "").encode()) if r[1] is not None else 0 for r in rows]
+    own = hilbert.curve_index(np.array(cells).T, 4)
+    order = sorted(range(len(rows)), key=lambda i: (curve[i], crc[i], own[i], i))
+    where = {r.doc_id: (r.shard, r.slot) for r in got}
+    assert sorted(where, key=where.get) == order
+    assert {r.doc_id: r.curve for r in got} == dict(enumerate(curve.tolist()))
+    assert [where[i][0] for i in order] == [p * 7 // len(rows) for p in range(len(rows))]
