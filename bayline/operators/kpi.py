@@ -118,19 +118,14 @@ def cell_counts(df: DataFrame, a: str, b: str) -> DataFrame:
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     """Counts for the full grid of the levels of two columns, long form.
 
-    The cells of the table come together in one row, from which the empty ones are filled
-    in, so the data is read once. Both columns hold category levels.
+    ``b`` has few levels, ``a`` may have any number: a level of ``a`` gathers its own cells, and its empty ones
+    are filled in from the list of all levels of ``b``, which is one row.
     """
-    table = cell_counts(df, a, b).agg(
-        F.collect_set(a).alias("_as"),
-        F.collect_set(b).alias("_bs"),
-        F.map_from_entries(
-            F.collect_list(F.struct(F.struct(F.col(a).alias("a"), F.col(b).alias("b")), "n"))
-        ).alias("_cells"),
-    )
-    grid = table.withColumn(a, F.explode("_as")).withColumn(b, F.explode("_bs"))
-    n = F.try_element_at("_cells", F.struct(F.col(a).alias("a"), F.col(b).alias("b")))
-    return grid.select(a, b, F.coalesce(n, F.lit(0)).alias("n"))
+    cells = cell_counts(df, a, b)
+    levels = cells.agg(F.array_sort(F.collect_set(b))).scalar()
+    own = cells.groupBy(a).agg(F.map_from_entries(F.collect_list(F.struct(b, "n"))).alias("_own"))
+    grid = own.withColumn("_levels", levels).select(a, "_own", F.explode("_levels").alias(b))
+    return grid.select(a, b, F.coalesce(F.try_element_at("_own", F.col(b)), F.lit(0)).alias("n"))
 
 
 def contingency_wide(df: DataFrame, a: str, b: str, domain: Sequence) -> DataFrame:

@@ -258,14 +258,16 @@ class Tables:
 
     @cached_property
     def raw_layer(self) -> dict[str, DataFrame]:
-        """The same with the derived tables staged, for reports that read them many times."""
+        """The same with every table that is derived by a join staged, for reports that read them many times."""
         visits = stage(self.visits, "raw_visits")
-        return self._raw_of(
-            visits,
-            stage(self._full_appointments_of(visits), "raw_appointments"),
-            stage(self._vehicles_of(visits), "raw_vehicles"),
-            stage(self.parts, "raw_parts"),
+        tables = self._raw_of(
+            visits, self._full_appointments_of(visits), self._vehicles_of(visits), self.parts
         )
+        read_as_given = ("service_visits", "dealers", "repairs", "customer_surveys")
+        return {
+            name: df if name in read_as_given else stage(df, f"raw_{name}")
+            for name, df in tables.items()
+        }
 
     def _raw_of(
         self, visits: DataFrame, appointments: DataFrame, vehicles: DataFrame, parts: DataFrame
