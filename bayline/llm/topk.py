@@ -1,14 +1,15 @@
 """Exact top-k by integer inner product over a bit-sliced index.
 
 A component x enters as floor(1024 * x). Vectors are dealt to blocks; in a block every dimension is
-stored as bit slices, bitmaps with one bit per vector. A query's scores are the sum of its
+stored as bit slices, bitmaps with one bit per vector. The index is one file per block in the shared folder,
+written once; vectors are not moved again, queries are dealt to the blocks. A query's scores are the sum of its
 components times the dimensions: slices shifted by the set bits of the component, added by
 carry-save full adders on whole bitmaps until one slice per weight is left. The best rows are then
 selected from the most significant slice downward: rows certainly in, and rows still tied. Rows tied
 at the boundary are resolved by the smaller id. The best rows of all blocks are merged per query.
 
-Queries are dealt to blocks as well, so a task has one block of vectors and one of queries; both
-are bounded, nothing is broadcast.
+A task answers a bounded number of queries over one block, which it maps or, where the folder is not mounted, reads;
+nothing is broadcast. What is shuffled is each query once per block and its best rows of each block.
 
 Defined results: vectors that are null, or hold a null, NaN or infinite component take no part. Slices are as
 wide as a block's components need, and sums are exact at any width; a component, or a score among the best,
@@ -20,6 +21,7 @@ equal rows of the result. Extra columns are ignored. Fewer candidates than k giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayline.llm.common import shuffle_partitions, stage
+from bayline.llm.files import local_path, open_file, write_file
+from bayline.session import scratch_dir
 
 SCALE = 1024
 #: Vectors in a block, and queries that a task answers over it.
@@ -94,21 +98,52 @@ def positions(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
-def search(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query id, ids, scores) of the best rows of one block; rows sorted by id."""
-    sliced, low, width = slices(values)
-    words = len(sliced[0][0])
+@dataclass
+class Block:
+    """Ids in ascending order, and for each dimension its least value and the slices above it."""
+
+    ids: np.ndarray
+    low: np.ndarray
+    planes: np.ndarray  # dimension, bit, word
+
+    def to_bytes(self) -> list[bytes]:
+        dims, width, words = self.planes.shape
+        head = np.array([len(self.ids), dims, width, words], "<u8")
+        return [head.tobytes(), self.ids.astype("<i8").tobytes(), self.low.astype("<i8").tobytes(), self.planes.astype("<u8").tobytes()]
+
+    @classmethod
+    def at(cls, uri: str) -> Block:
+        path = local_path(uri)
+        if path is None:
+            with open_file(uri) as source:
+                data = np.frombuffer(source.read(), "<u8")
+        else:
+            data = np.memmap(path, "<u8", "r")
+        n, dims, width, words = (int(x) for x in data[:4])
+        ids, low, planes = np.split(data[4:], [n, n + dims])
+        return cls(ids.view(np.int64), low.view(np.int64), planes.reshape(dims, width, words))
+
+
+def block_of(ids: np.ndarray, values: np.ndarray) -> Block:
+    order = np.argsort(ids, kind="stable")
+    sliced, low, _ = slices(values[order])
+    return Block(ids[order], low, np.array(sliced, "<u8"))
+
+
+def search(block: Block, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
+    """(query id, ids, scores) of the best rows of one block. A component that either side lacks counts as 0."""
+    ids, low, sliced = block.ids, block.low, block.planes
+    dims, width, words = sliced.shape
     everything = np.packbits(np.arange(words * 64) < len(ids), bitorder="little").view("<u8")
-    inverted = [[~s & everything for s in column] for column in sliced]
     full = (1 << width) - 1
     for query_id, query in zip(query_ids.tolist(), queries.tolist()):
         own = np.packbits(np.concatenate((ids == query_id, np.zeros(words * 64 - len(ids), bool))), bitorder="little").view("<u8")
         columns: list[list[np.ndarray]] = [[]]
         offset = 0
-        for d, q in enumerate(query):
+        for d, q in enumerate(query[:dims]):
             # a negative component is its absolute value times the inverted slices, and a constant
             offset += q * int(low[d]) + (q * full if q < 0 else 0)
-            source, q = (sliced[d], q) if q >= 0 else (inverted[d], -q)
+            source, q = (sliced[d], q) if q >= 0 else (~sliced[d] & everything, -q)
             shift = 0
             while q >> shift:
                 if q >> shift & 1:
@@ -128,24 +163,31 @@ def search(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries:
         yield query_id, ids[best], np.array(scores, np.int64)
 
 
-def block_search(k: int):
-    """For applyInArrow: the vectors and queries of one pair of blocks."""
+def write_block(path: str):
+    """For applyInArrow: the vectors of one block -> its file."""
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        parts = []
-        for kind in (True, False):
-            rows = table.filter(pa.compute.equal(table["is_query"], kind)).sort_by("id")
-            lengths = pa.compute.list_value_length(rows["x"]).to_numpy()
-            parts.append((rows["id"].to_numpy(), rows["x"].combine_chunks(), lengths))
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        lengths = pa.compute.list_value_length(table["x"]).to_numpy()
+        values = matrix(table["x"].combine_chunks(), lengths, int(max(lengths.max(), 1)))
+        write_file(f"{path}/block-{part:06d}", block_of(table["id"].to_numpy(), values).to_bytes())
+        return pa.table({"part": pa.array([part], pa.int64()), "n": pa.array([len(table)], pa.int64())})
+
+    return run
+
+
+def block_search(path: str, k: int):
+    """For applyInArrow: queries of one block of vectors -> its best rows."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        lengths = pa.compute.list_value_length(table["x"]).to_numpy()
+        queries = matrix(table["x"].combine_chunks(), lengths, int(max(lengths.max(), 1)))
         found = {"query_id": [np.empty(0, np.int64)], "vec_id": [np.empty(0, np.int64)], "score": [np.empty(0, np.int64)]}
-        (query_ids, query_lists, a), (ids, lists, b) = parts
-        if len(query_ids) and len(ids):
-            width = int(max(a.max(), b.max(), 1))
-            for query_id, best, scores in search(ids, matrix(lists, b, width), query_ids, matrix(query_lists, a, width), k):
-                found["query_id"].append(np.full(len(best), query_id))
-                found["vec_id"].append(best)
-                found["score"].append(scores)
+        block = Block.at(f"{path}/block-{key[0].as_py():06d}")
+        for query_id, best, scores in search(block, table["id"].to_numpy(), queries, k):
+            found["query_id"].append(np.full(len(best), query_id))
+            found["vec_id"].append(best)
+            found["score"].append(scores)
         return pa.table({n: np.concatenate(c) for n, c in found.items()})
 
     return run
@@ -159,33 +201,52 @@ def matrix(lists, lengths: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+class Index:
+    """Blocks of bit slices of the vectors (vec_id, embedding), written to the shared folder."""
+
+    def __init__(self, vectors: DataFrame, scale: int = SCALE, block: int = BLOCK):
+        spark, self.scale = vectors.sparkSession, scale
+        self.path = scratch_dir(spark, "bit-slices")
+        rows = quantised(vectors, scale)
+        self.count = max(1, -(-rows.count() // block))
+        part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(self.count)).cast("long").alias("part")
+        dealt = rows.select(part, "id", "x").repartition(self.count, "part")
+        written = dealt.groupBy("part").applyInArrow(write_block(self.path), "part long, n long")
+        #: part and number of vectors of each block
+        self.blocks = stage(written, "blocks")
+
+    def top_k(self, queries: DataFrame, k: int = 10, query_block: int = QUERY_BLOCK) -> DataFrame:
+        """query_id, rank, vec_id, score for queries (vec_id, embedding); rows of a query's own id are left out."""
+        asked = quantised(queries, self.scale)
+        query_blocks = max(1, -(-asked.count() // query_block))
+        # a block is empty only if there are few vectors
+        empty: set[int] = set()
+        if self.blocks.count() < self.count:
+            empty = set(range(self.count)) - {r.part for r in self.blocks.select("part").collect()}
+        group = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(query_blocks)).alias("query_part")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.count - 1).cast("long"))).alias("part")
+        dealt = asked.select(every, group, "id", "x").filter(~F.col("part").isin(sorted(empty)) if empty else F.lit(True))
+        dealt = dealt.repartition(max(shuffle_partitions(asked.sparkSession), 1), "part", "query_part")
+        scored = dealt.groupBy("part", "query_part").applyInArrow(block_search(self.path, k), SCORES)
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def quantised(df: DataFrame, scale: int) -> DataFrame:
+    """id and whole components of the vectors that take part."""
+
+    def component(v: Column) -> Column:
+        scaled = v.cast("double") * scale
+        too_large = F.raise_error(F.concat(F.lit("a component leaves 64 bits: "), v.cast("string"))).cast("long")
+        return F.when((scaled >= -BEYOND) & (scaled < BEYOND), F.floor(scaled)).otherwise(too_large)
+
+    x = F.transform("embedding", component)
+    finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(v))
+    kept = df.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
+    return stage(kept.select(F.col("vec_id").cast("long").alias("id"), x.cast("array<long>").alias("x")), "quantised")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score. Both tables have vec_id and embedding; queries may be among the vectors."""
-    spark = vectors.sparkSession
-
-    def quantised(df: DataFrame) -> DataFrame:
-        def component(v: Column) -> Column:
-            scaled = v.cast("double") * scale
-            too_large = F.raise_error(F.concat(F.lit("a component leaves 64 bits: "), v.cast("string"))).cast("long")
-            return F.when((scaled >= -BEYOND) & (scaled < BEYOND), F.floor(scaled)).otherwise(too_large)
-
-        x = F.transform("embedding", component)
-        finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(v))
-        kept = df.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-        return stage(kept.select(F.col("vec_id").cast("long").alias("id"), x.cast("array<long>").alias("x")), "quantised")
-
-    rows, asked = quantised(vectors), quantised(queries)
-    blocks, query_blocks = (max(1, -(-df.count() // size)) for df, size in ((rows, block), (asked, query_block)))
-
-    def dealt(df: DataFrame, salt: int, own: int, other: int, is_query: bool) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(own))
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other - 1).cast("long")))
-        pair = (F.col("mine"), F.col("every")) if is_query else (F.col("every"), F.col("mine"))
-        both = df.select("id", "x", mine.alias("mine"), every.alias("every"))
-        return both.select(*(c.alias(n) for c, n in zip(pair, ("query_part", "part"))), F.lit(is_query).alias("is_query"), "id", "x")
-
-    both = dealt(rows, 1, blocks, query_blocks, False).unionAll(dealt(asked, 2, query_blocks, blocks, True))
-    pairs = both.repartition(max(shuffle_partitions(spark), 1), "query_part", "part")
-    scored = pairs.groupBy("query_part", "part").applyInArrow(block_search(k), SCORES)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return Index(vectors, scale, block).top_k(queries, k, query_block)

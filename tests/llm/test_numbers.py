@@ -30,6 +30,26 @@ def test_top_k_matches_all_pairs(spark):
     assert topk.top_k(table.limit(0), table, 3).count() == topk.top_k(table, table.limit(0), 3).count() == 0
 
 
+def test_an_index_answers_later_queries(spark):
+    rng = random.Random(21)
+    rows = [(i, [rng.uniform(-3, 3) for _ in range(rng.choice([4, 5]))]) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = topk.Index(table, block=50)
+    assert index.blocks.agg(F.sum("n")).first()[0] == 400
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    for seed in (1, 2):
+        asked = [(1000 + i, [random.Random(seed * 100 + i).uniform(-3, 3) for _ in range(6)]) for i in range(5)]
+        got = index.top_k(spark.createDataFrame(asked, "vec_id long, embedding array<double>"), 4, query_block=2).collect()
+        wanted = []
+        for q, v in asked:
+            v = [math.floor(1024 * x) for x in v]
+            best = sorted((-sum(a * b for a, b in zip(v, x)), i) for i, x in whole.items())[:4]
+            wanted += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+        assert sorted(map(tuple, got)) == wanted
+    few = topk.Index(table.limit(3), block=1)  # some blocks are empty
+    assert few.top_k(table.limit(3), 10).count() == 6
+
+
 def test_scores_that_leave_64_bits_are_refused(spark):
     def best(*rows):
         table = spark.createDataFrame([(i, list(x)) for i, x in enumerate(rows)], "vec_id long, embedding array<double>")
