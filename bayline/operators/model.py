@@ -10,13 +10,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayline.functions.flags import band
 from bayline.functions.hashing import hash_uniform
 from bayline.operators.ordering import by_magnitude
 from bayline.operators.quantiles import median_of, rank_sums, scalar_row
+from bayline.session import scratch_dir
 
 # fixed values: risk bands, right-closed
 RISK_EDGES = (-0.01, 0.30, 0.60, 1.00)
@@ -200,11 +201,22 @@ def fit_logit(
             maxIter=MAX_ITERATIONS,
         )
         stages = [*feature_pipeline(weighted, numeric, categorical), logit]
-        return Pipeline(stages=stages).fit(weighted)
+        return without_summary(Pipeline(stages=stages).fit(weighted), train.sparkSession)
     finally:
         weighted.unpersist()
 
 
+def without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as it is after saving and loading: what it knows of its training rows is gone.
+
+    A training summary holds on to the session, which cannot be shipped to tasks once the session has
+    seen an ``Observation``; scoring would fail from then on.
+    """
+    path = scratch_dir(spark, "fitted")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def optimum(model: PipelineModel, train: DataFrame, label: str, penalty: float = 1.0) -> DataFrame:
     """How well the fit solves its problem on the rows it was fitted on, one row.
 

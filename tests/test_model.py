@@ -119,3 +119,16 @@ def test_split_is_stable_and_covers_both_classes(frame):
 def test_mode_takes_the_smallest_of_equal_counts(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "x string")
     assert model.mode_imputer(df, ["x"]).first().value == "a"
+
+
+def test_a_model_scores_in_a_session_that_has_observed_a_write(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("rows")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 5}
+    rows = [(i, float(i % 7), "ab"[i % 2], int(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k INT, x DOUBLE, dealer STRING, late INT")
+    fit = model.fit_logit(df, "late", ["x"], ["dealer"])
+    assert model.score_and_band(fit, df).count() == 60
+    assert not fit.stages[-1].hasSummary
