@@ -135,6 +135,7 @@ def search(block: Block, query_ids: np.ndarray, queries: np.ndarray, k: int) ->
     ids, low, sliced = block.ids, block.low, block.planes
     dims, width, words = sliced.shape
     everything = np.packbits(np.arange(words * 64) < len(ids), bitorder="little").view("<u8")
+    inverted = ~sliced & everything  # as large as the block, once for all its queries
     full = (1 << width) - 1
     for query_id, query in zip(query_ids.tolist(), queries.tolist()):
         own = np.packbits(np.concatenate((ids == query_id, np.zeros(words * 64 - len(ids), bool))), bitorder="little").view("<u8")
@@ -143,7 +144,7 @@ def search(block: Block, query_ids: np.ndarray, queries: np.ndarray, k: int) ->
         for d, q in enumerate(query[:dims]):
             # a negative component is its absolute value times the inverted slices, and a constant
             offset += q * int(low[d]) + (q * full if q < 0 else 0)
-            source, q = (sliced[d], q) if q >= 0 else (~sliced[d] & everything, -q)
+            source, q = (sliced[d], q) if q >= 0 else (inverted[d], -q)
             shift = 0
             while q >> shift:
                 if q >> shift & 1:
