@@ -118,7 +118,7 @@ class Block:
             with open_file(uri) as source:
                 data = np.frombuffer(source.read(), "<u8")
         else:
-            data = np.memmap(path, "<u8", "r")
+            data = np.memmap(path, "<u8", "r").view(np.ndarray)  # plain arrays: operations on maps are slower
         n, dims, width, words = (int(x) for x in data[:4])
         ids, low, planes = np.split(data[4:], [n, n + dims])
         return cls(ids.view(np.int64), low.view(np.int64), planes.reshape(dims, width, words))
