@@ -1,12 +1,12 @@
 """Silhouette in plain Euclidean distance, exact by default, or of a sample with its standard error.
 
 The mean distance to a cluster does not follow from sums of the cluster, so every vector has to meet every
-other one: the work is (distinct vectors) x (evaluated vectors) and nothing makes it less. It is dealt in tiles.
-Repeated vectors of a label are one row with a weight. Tiles of about ``TILE`` rows are written once; each tile
-of evaluated rows meets all of them, one after the other, in one task, which keeps a sum per row and cluster. So
-no pairs are written, memory is that of two tiles, and what is shuffled is each tile once per evaluated tile:
-rows x rows / TILE. For large tables give ``sample``: only that share of the vectors is evaluated, still against
-all others, and ``standard_error`` tells how far the mean may be off.
+other one: the work is (distinct vectors) x (evaluated vectors) and nothing makes it less. It is dealt as a grid.
+Repeated vectors of a label are one row with a weight. Rows are gathered once to groups of bounded size; each pair of
+groups meets in one task, tile by tile, in a matrix product, and serves both groups. A task gives one sum per row and
+cluster, so no pairs are written, memory is that of two groups, and what is shuffled is each group once per group:
+rows x rows / ``GROUP_BYTES`` of vectors. For large tables give ``sample``: only that share of the vectors is
+evaluated, still against all others, and ``standard_error`` tells how far the mean may be off.
 """
 
 from __future__ import annotations
@@ -23,6 +23,12 @@ from bayline.functions.hashing import hash_uniform
 from bayline.sources.sinks import stage
 
 TILE = 1024
+#: A group holds at most so many bytes of vectors and so many tiles; small inputs are dealt to so many groups.
+GROUP_BYTES = 2**23
+GROUP_TILES = 16
+LEAST_GROUPS = 24
+#: A squared distance below this share of the two squared norms has lost digits in the product and is done again.
+NEAR = 1e-6
 SALT = "silhouette"
 
 
@@ -30,17 +36,85 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All distances between rows, one dimension after the other, so that near rows keep their digits."""
-    total = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        gap = a[:, i, None] - b[None, :, i]
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances, one dimension after the other, so that near rows keep their digits."""
+    total = np.zeros(np.broadcast_shapes(a.shape[:-1], b.shape[:-1]))
+    for i in range(a.shape[-1]):
+        gap = a[..., i] - b[..., i]
         total += gap * gap
-    return np.sqrt(total)
+    return total
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances between rows by a matrix product; those of near rows by their differences."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        centre = b.mean(axis=0)
+        p, q = a - centre, b - centre
+        p2, q2 = (p * p).sum(axis=1), (q * q).sum(axis=1)
+        left = np.column_stack([-2.0 * p, p2, np.ones(len(p))])
+        total = left @ np.column_stack([q, np.ones(len(q)), q2]).T
+        if not total.min() > NEAR * (p2.max() + q2.max()):
+            near = ~(total > NEAR * (p2[:, None] + q2))  # also what is not finite
+            if 8 * np.count_nonzero(near) > near.size:
+                total = _squared(a[:, None], b[None])
+            else:
+                i, j = np.nonzero(near)
+                total[i, j] = _squared(a[i], b[j])
+        return np.sqrt(total, out=total)
+
+
+def _summer(clusters: int, tile: int):
+    """For mapInArrow over groups sorted by pair -> per group of a pair, the sums of distances to the clusters of the other."""
+
+    def group(members: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        label, weight, chosen, x = (members.field(f) for f in ("label", "weight", "chosen", "x"))
+        towards = np.zeros((len(members), clusters))
+        towards[np.arange(len(members)), label.to_numpy()] = weight.to_numpy()
+        return _matrix(x, len(members)), towards, np.flatnonzero(chosen.to_numpy(zero_copy_only=False))
+
+    def sums(x: np.ndarray, y: np.ndarray, to_y: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), clusters))
+        for i in range(0, len(x), tile):
+            for j in range(0, len(y), tile):
+                out[i : i + tile] += _distances(x[i : i + tile], y[j : j + tile]) @ to_y[j : j + tile]
+        return out
+
+    def both(x: np.ndarray, to_x: np.ndarray, y: np.ndarray, to_y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        of_x, of_y = np.zeros((len(x), clusters)), np.zeros((len(y), clusters))
+        for i in range(0, len(x), tile):
+            for j in range(0, len(y), tile):
+                d = _distances(x[i : i + tile], y[j : j + tile])
+                of_x[i : i + tile] += d @ to_y[j : j + tile]
+                of_y[j : j + tile] += d.T @ to_x[i : i + tile]
+        return of_x, of_y
+
+    def result(number: int, found: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([number], pa.int32()), pa.array([found.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["tile", "sums"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, first, first_tile = None, None, None
+        for batch in batches:
+            for r in range(batch.num_rows):
+                own_pair, number = batch.column("pair")[r].as_py(), batch.column("tile")[r].as_py()
+                x, to_x, chosen = group(batch.column("members").slice(r, 1).flatten())
+                if batch.column("itself")[r].as_py():
+                    yield result(number, sums(x[chosen], x, to_x))
+                elif pair != own_pair:
+                    pair, first, first_tile = own_pair, (x, to_x, chosen), number
+                elif len(chosen) == len(x) and len(first[2]) == len(first[0]):
+                    of_first, of_x = both(first[0], first[1], x, to_x)
+                    yield result(first_tile, of_first)
+                    yield result(number, of_x)
+                else:
+                    yield result(first_tile, sums(first[0][first[2]], x, to_x))
+                    yield result(number, sums(x[chosen], first[0], first[1]))
+
+    return run
 
 
 def _scorer(sizes: list[int]):
-    """For mapInArrow over blocks sorted by tile, the evaluated block first -> (weight, score) per vector."""
+    """For mapInArrow over sums sorted by tile, labels and weights of the tile first -> (weight, score) per vector."""
     n = np.array(sizes, float)
 
     def scores(labels: np.ndarray, weights: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
@@ -55,34 +129,24 @@ def _scorer(sizes: list[int]):
         return pa.RecordBatch.from_arrays([pa.array(weights), pa.array(score)], names=["weight", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, tile = None, None  # a tile may have no evaluated rows
+        own = None
         for batch in batches:
-            for i in range(batch.num_rows):
-                members = batch.column("members").slice(i, 1).flatten()
-                labels, weights, x = (members.field(f) for f in ("label", "weight", "x"))
-                labels, weights = labels.to_numpy(), weights.to_numpy()
-                x = _matrix(x, len(labels))
-                if batch.column("evaluated")[i].as_py():
+            for r in range(batch.num_rows):
+                sums = batch.column("sums")[r].as_py()
+                if sums is None:
                     if own is not None:
-                        yield scores(*own[:2], own[3])
-                    own, tile = (labels, weights, x, np.zeros((len(labels), len(n)))), batch.column("tile")[i].as_py()
-                elif own is not None and batch.column("tile")[i].as_py() == tile:
-                    towards = np.zeros((len(labels), len(n)))
-                    towards[np.arange(len(labels)), labels] = weights
-                    own[3][:] += _distances(own[2], x) @ towards
+                        yield scores(*own)
+                    members = batch.column("evaluated").slice(r, 1).flatten()
+                    labels, weights = members.field("label").to_numpy(), members.field("weight").to_numpy()
+                    own = labels, weights, np.zeros((len(labels), len(n)))
+                else:
+                    own[2][:] += np.frombuffer(sums).reshape(own[2].shape)
         if own is not None:
-            yield scores(*own[:2], own[3])
+            yield scores(*own)
 
     return run
 
 
-def _blocks(rows: DataFrame, tile: int) -> tuple[DataFrame, int]:
-    """Rows gathered to blocks of about ``tile`` rows by their hash."""
-    tiles = max(1, math.ceil(rows.count() / tile))
-    number = F.pmod(F.xxhash64("x", "label"), F.lit(tiles)).cast("int").alias("tile")
-    return rows.groupBy(number).agg(F.collect_list(F.struct("label", "weight", "x")).alias("members")), tiles
-
-
 def euclidean_silhouette(
     df: DataFrame, vector: str, label: str, sample: float | None = None, tile: int = TILE
 ) -> DataFrame:
@@ -94,22 +158,38 @@ def euclidean_silhouette(
     rows = df.select(F.col(label).alias("_label"), F.col(vector).cast("array<double>").alias("x")).dropna()
     rows = stage(rows.groupBy("_label", "x").agg(F.count(F.lit(1)).alias("weight")), "distinct-vectors")
     spark = rows.sparkSession
-    sizes = sorted((r for r in rows.groupBy("_label").agg(F.sum("weight").alias("n")).collect()), key=lambda r: str(r[0]))
+    per_label = rows.groupBy("_label").agg(
+        F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows"), F.max(F.size("x")).alias("width")
+    )
+    sizes = sorted(per_label.collect(), key=lambda r: str(r[0]))
     if not sizes:
         return spark.createDataFrame([(0, None, None)], "n long, silhouette_score double, standard_error double")
     index = F.lit(0)
     for i, r in enumerate(sizes):
         index = F.when(F.col("_label") == F.lit(r[0]), i).otherwise(index)
     rows = rows.select(index.alias("label"), "weight", "x")
-    chosen = rows if sample is None else rows.filter(hash_uniform(F.xxhash64("label", "x"), SALT) < sample)
-
-    partners, _ = _blocks(rows, tile)
-    evaluated, tiles = _blocks(chosen, tile)
-    to_all = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
-    partners = stage(partners, "tiles").select(to_all.alias("tile"), F.lit(False).alias("evaluated"), "members")
-    both = partners.unionByName(evaluated.withColumn("evaluated", F.lit(True)))
-    dealt = both.repartition(tiles, "tile").sortWithinPartitions("tile", F.col("evaluated").desc())
-    scored = dealt.mapInArrow(_scorer([r["n"] for r in sizes]), "weight long, score double")
+    chosen = F.lit(True) if sample is None else hash_uniform(F.xxhash64("label", "x"), SALT) < sample
+
+    distinct, width = sum(r["rows"] for r in sizes), max(1, *(r["width"] for r in sizes))
+    most = max(1, min(GROUP_TILES * tile, GROUP_BYTES // (8 * width)))
+    tiles = max(math.ceil(distinct / most), min(LEAST_GROUPS, math.ceil(distinct / tile)))
+    number = F.pmod(F.xxhash64("x", "label"), F.lit(tiles)).cast("int").alias("tile")
+    members = F.collect_list(F.struct("label", "weight", chosen.alias("chosen"), "x")).alias("members")
+    groups = stage(rows.groupBy(number).agg(members), "groups")  # written, so that the order within a group stays
+    # the pair of two groups is numbered by the smaller and the larger of them
+    paired = groups.select("tile", "members", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("other")).select(
+        (F.least("tile", "other").cast("long") * tiles + F.greatest("tile", "other")).alias("pair"),
+        "tile",
+        (F.col("tile") == F.col("other")).alias("itself"),
+        "members",
+    )
+    dealt = paired.repartition(tiles * (tiles + 1) // 2, "pair").sortWithinPartitions("pair", "tile")
+    sums = dealt.mapInArrow(_summer(len(sizes), tile), "tile int, sums binary")
+    chosen_members = F.transform(F.filter("members", lambda m: m["chosen"]), lambda m: F.struct(m["label"], m["weight"]))
+    evaluated = groups.select("tile", chosen_members.alias("evaluated"))
+    both = sums.unionByName(evaluated, allowMissingColumns=True)
+    gathered = both.repartition(tiles, "tile").sortWithinPartitions("tile", F.col("sums").isNotNull())
+    scored = gathered.mapInArrow(_scorer([r["n"] for r in sizes]), "weight long, score double")
 
     w, s = F.col("weight"), F.col("score")
     sums = scored.agg(F.sum("weight").alias("n"), F.sum(w * s).alias("ws"), F.sum(w * w).alias("w2"), F.sum(w * w * s).alias("w2s"), F.sum(w * w * s * s).alias("w2s2"))

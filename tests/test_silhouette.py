@@ -3,10 +3,12 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from bayline.operators import clustering
-from bayline.operators.silhouette import euclidean_silhouette
+from bayline.operators import clustering, silhouette
+from bayline.operators.silhouette import _distances, euclidean_silhouette
 
 
 def plain(rows):
@@ -74,3 +76,45 @@ def test_search_by_either_distance(spark):
     assert [r.k for r in found if r.best] == [6] and all(-1 <= r.silhouette_score <= 1 for r in found)
     with pytest.raises(ValueError):
         clustering.k_search(df, "k", ["x", "y"], [2], restarts=1, distance="cosine")
+
+
+def test_distances_by_product_keep_the_digits_of_near_rows():
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=(40, 3)) + 1e6
+    b = np.concatenate([a[:9] + 1e-5 * rng.normal(size=(9, 3)), a[:4], rng.normal(size=(20, 3)) * 50 + 1e6, [[1e9, 0, -1e9]]])
+    plain_distances = np.array([[math.dist(x, y) for y in b] for x in a])
+    assert _distances(a, b) == pytest.approx(plain_distances, rel=1e-8, abs=0)
+    for odd in (np.nan, np.inf, 1e200):
+        b[3, 1] = odd
+        with np.errstate(over="ignore"):
+            direct = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+        np.testing.assert_allclose(_distances(a, b), direct, rtol=1e-8)
+
+
+@pytest.mark.parametrize("share", [1.0, 0.3])
+def test_two_groups_meet_once(monkeypatch, share):
+    """Each distance of two wholly evaluated groups is worked out once and serves both."""
+    rng, met = random.Random(3), []
+    monkeypatch.setattr(silhouette, "_distances", lambda a, b: met.append(len(a) * len(b)) or _distances(a, b))
+    groups = [[(rng.choice([0, 1]), rng.randint(1, 3), rng.random() < share, [rng.random(), rng.random()]) for _ in range(n)] for n in (30, 17)]
+    members = [[dict(zip(("label", "weight", "chosen", "x"), m)) for m in g] for g in groups]
+    kind = pa.list_(pa.struct([("label", pa.int32()), ("weight", pa.int64()), ("chosen", pa.bool_()), ("x", pa.list_(pa.float64()))]))
+    rows = [(0, 0, True, members[0]), (1, 0, False, members[0]), (1, 1, False, members[1]), (3, 1, True, members[1])]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.bool_(), kind))]
+    found = {}
+    for batch in silhouette._summer(2, 8)([pa.RecordBatch.from_arrays(columns, names=["pair", "tile", "itself", "members"])]):
+        for tile, sums in zip(*batch.to_pydict().values()):
+            found[tile] = found.get(tile, 0) + np.frombuffer(sums).reshape(-1, 2)
+    everyone = groups[0] + groups[1]
+    for tile, g in enumerate(groups):
+        expected = [[sum(w * math.dist(x, y) for other, w, _, y in everyone if other == c) for c in (0, 1)] for _, _, chosen, x in g if chosen]
+        assert found[tile] == pytest.approx(np.array(expected))
+    if share == 1.0:
+        assert sum(met) == 30 * 30 + 30 * 17 + 17 * 17
+
+
+def test_groups_of_bounded_size(spark, monkeypatch):
+    rows = [("ab"[i % 2], [float(i)]) for i in range(600)]
+    monkeypatch.setattr(silhouette, "GROUP_BYTES", 8 * 20)
+    got = euclidean_silhouette(frame(spark, rows), "x", "label").first()
+    assert got.n == 600 and got.silhouette_score == pytest.approx(plain(rows))
