@@ -71,9 +71,12 @@ def _vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _best_model(vectors: DataFrame, k: int, restarts: int):
     """The model with the lowest cost over several seeds, the runs side by side."""
 
+    # of a table that is not cached itself, a run keeps its vectors as objects; else every pass would decode them twice
+    features = vectors.select("_features")
+
     def fit(seed: int):
         means = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster_id")
-        return means.fit(vectors)
+        return means.fit(features)
 
     with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
         run = inheritable_thread_target(vectors.sparkSession)(fit)
