@@ -154,6 +154,10 @@ class Tables:
             (F.col("l_returnflag") != "R").cast("int").alias("first_time_fix_flag"),
         )
 
+    def keep_first_lines(self) -> None:
+        """Stage the first lines, for queries that build several roles from the visits."""
+        self.first_lines = stage(self.first_lines, "first_lines")
+
     @cached_property
     def appointments(self) -> DataFrame:
         return self.given("orders").select(
