@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,13 +109,22 @@ def clean_repairs(
     )
 
 
-def clean_parts(parts: DataFrame, repairs: DataFrame) -> DataFrame:
+def clean_parts(
+    parts: DataFrame,
+    repairs: DataFrame,
+    complete: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Valid parts with the delay flag computed from the dates.
+
+    ``complete`` makes whole parts of rows that have no more than the repair and what it needs. It is
+    given the rows of valid repairs only, so that whatever it joins meets fewer and narrower rows.
+    """
     ordered, received = F.col("part_order_date"), F.col("part_received_date")
     # a missing order date is no proof of a wrong received date
     valid = F.coalesce(received >= ordered, F.lit(True))
-    kept = keep_valid(
-        require_key(parts, "part_transaction_id"), "repair_id", repairs, "repair_id"
-    ).withColumn("part_received_date", null_unless(received, valid))
+    kept = keep_valid(parts, "repair_id", repairs, "repair_id")
+    kept = require_key(kept if complete is None else complete(kept), "part_transaction_id")
+    kept = kept.withColumn("part_received_date", null_unless(received, valid))
     late = threshold_flag(days_between(ordered, received), LATE_PARTS_DAYS)
     return kept.withColumn("parts_delay_flag", null_unless(late, received.isNotNull()))
 

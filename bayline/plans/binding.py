@@ -215,17 +215,24 @@ class Tables:
             F.col("l_linestatus").alias("repair_status"),
         )
 
+    @cached_property
+    def _part_lines(self) -> DataFrame:
+        return self.given("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", repair_id().alias("repair_id")
+        )
+
     @cached_property
     def parts(self) -> DataFrame:
+        return self._parts_of(self._part_lines)
+
+    def _parts_of(self, lines: DataFrame) -> DataFrame:
         order_dates = self.given("orders").select("o_orderkey", "o_orderdate")
-        lines = self.given("lineitem").join(
-            order_dates, F.col("l_orderkey") == F.col("o_orderkey"), "left"
-        )
+        lines = lines.join(order_dates, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         return lines.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias(
                 "part_transaction_id"
             ),
-            repair_id().alias("repair_id"),
+            "repair_id",
             F.col("l_partkey").alias("part_id"),
             F.col("o_orderdate").alias("part_order_date"),
             F.col("l_shipdate").alias("part_received_date"),
@@ -326,7 +333,7 @@ class Tables:
             "appointments": self.clean_appointments,
             "service_visits": self.clean_visits,
             "repairs": self.clean_repairs,
-            "parts": clean_parts(self.parts, self.clean_repairs),
+            "parts": clean_parts(self._part_lines, self.clean_repairs, self._parts_of),
             "customer_surveys": clean_surveys(self.raw_surveys, self.clean_visits),
         }
 

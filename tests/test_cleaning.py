@@ -155,3 +155,24 @@ def test_alias_join_leaves_no_ambiguous_name(spark):
     joined = joins.alias_join(left, right, "k", "dealer_")
     assert joined.columns == ["k", "region", "dealer_region", "size"]
     assert joined.select(F.col("dealer_region")).first()[0] == "s"
+
+
+def test_parts_are_completed_after_the_filter(spark):
+    """What makes whole parts of narrow rows is given the rows of valid repairs only."""
+    lines = spark.createDataFrame([(1, 10), (2, 20), (3, None), (4, 10)], "line int, repair_id int")
+    repairs = spark.createDataFrame([(10,), (10,), (30,)], "repair_id int")
+    seen = []
+
+    def complete(kept):
+        seen.extend(sorted(r.line for r in kept.collect()))
+        at = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+        return kept.select(
+            F.when(F.col("line") == 1, "a").alias("part_transaction_id"),
+            "repair_id",
+            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("part_order_date"),
+            at.alias("part_received_date"),
+        )
+
+    found = cleaning.clean_parts(lines, repairs, complete).collect()
+    assert seen == [1, 4]
+    assert [(r.part_transaction_id, r.parts_delay_flag) for r in found] == [("a", 1)]
