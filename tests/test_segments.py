@@ -150,3 +150,22 @@ def test_kmeans_finds_separated_groups(spark):
     assert got.count() == 200 and len(pairs) == 4
     search = clustering.k_search(df, "k", ["x", "y"], [2, 4], restarts=3).collect()
     assert [(r.k, r.best) for r in search] == [(2, False), (4, True)]
+
+
+def test_kmeans_keeps_its_own_vectors(spark, monkeypatch):
+    """A table that is cached itself would be decoded twice in every pass of a run."""
+    from pyspark.ml.clustering import KMeans
+
+    from bayline.operators import clustering
+
+    cached = []
+
+    class Noted(KMeans):
+        def fit(self, dataset, params=None):
+            cached.append(dataset.storageLevel.useMemory)
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(clustering, "KMeans", Noted)
+    df = spark.createDataFrame([(i, float(i % 2 * 9), float(i)) for i in range(20)], "k int, x double, y double")
+    clustering.kmeans_fit(df, "k", ["x", "y"], k=2, restarts=2)
+    assert cached == [False, False]
