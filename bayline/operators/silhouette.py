@@ -2,10 +2,11 @@
 
 The mean distance to a cluster does not follow from sums of the cluster, so every vector has to meet every
 other one: the work is (distinct vectors) x (evaluated vectors) and nothing makes it less. It is dealt as a grid.
-Repeated vectors of a label are one row with a weight. Rows are gathered once to groups of bounded size; each pair of
-groups meets in one task, tile by tile, in a matrix product, and serves both groups. A task gives one sum per row and
-cluster, so no pairs are written, memory is that of two groups, and what is shuffled is each group once per group:
-rows x rows / ``GROUP_BYTES`` of vectors. For large tables give ``sample``: only that share of the vectors is
+Repeated vectors of a label are one row with a weight. Rows are gathered once to tiles, which are what is shuffled, and
+some tiles make a group of bounded size. Each pair of groups meets in one task, in matrix products that fit into the
+cache of a core, and serves both groups. A task holds one group and a tile of the other and gives one sum per row and
+cluster, so no pairs are written, and what is shuffled is each tile once per group: rows x rows / ``GROUP_BYTES`` of
+vectors, in the width they came in. For large tables give ``sample``: only that share of the vectors is
 evaluated, still against all others, and ``standard_error`` tells how far the mean may be off.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +25,21 @@ from bayline.functions.hashing import hash_uniform
 from bayline.sources.sinks import stage
 
 TILE = 1024
+#: A tile is one row of a shuffle and holds at most so many bytes of vectors, so that no row is too large to move.
+TILE_BYTES = 2**20
 #: A group holds at most so many bytes of vectors and so many tiles; small inputs are dealt to so many groups.
 GROUP_BYTES = 2**23
 GROUP_TILES = 16
 LEAST_GROUPS = 24
+#: So many rows of a tile meet so many of another in one product; its result stays in the cache of a core.
+CELL = 256
 #: A squared distance below this share of the two squared norms has lost digits in the product and is done again.
 NEAR = 1e-6
 SALT = "silhouette"
 
 
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1).astype(float, copy=False)
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -45,70 +51,121 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All distances between rows by a matrix product; those of near rows by their differences."""
+def _centre(x: np.ndarray) -> np.ndarray:
+    """A middle that neither far rows nor rows that are not finite move away."""
+    finite = x[np.isfinite(x).all(axis=1)]
+    return np.median(finite, axis=0) if len(finite) else np.zeros(x.shape[1])
+
+
+@dataclass
+class _Rows:
+    """Vectors and, less a centre, what they bring to a matrix product that gives squared distances."""
+
+    x: np.ndarray
+    norms: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def cells(self, step: int) -> list[_Rows]:
+        parts = self.x, self.norms, self.left, self.right
+        return [_Rows(*(p[i : i + step] for p in parts)) for i in range(0, len(self), step)]
+
+
+def _centred(x: np.ndarray, centre: np.ndarray) -> _Rows:
     with np.errstate(over="ignore", invalid="ignore"):
-        centre = b.mean(axis=0)
-        p, q = a - centre, b - centre
-        p2, q2 = (p * p).sum(axis=1), (q * q).sum(axis=1)
-        left = np.column_stack([-2.0 * p, p2, np.ones(len(p))])
-        total = left @ np.column_stack([q, np.ones(len(q)), q2]).T
-        if not total.min() > NEAR * (p2.max() + q2.max()):
-            near = ~(total > NEAR * (p2[:, None] + q2))  # also what is not finite
+        p = x - centre
+        norms, ones = (p * p).sum(axis=1), np.ones(len(x))
+        return _Rows(x, norms, np.column_stack([-2.0 * p, norms, ones]), np.column_stack([p, ones, norms]))
+
+
+def _distances(a: np.ndarray | _Rows, b: np.ndarray | _Rows) -> np.ndarray:
+    """All distances between rows (of one centre) by a matrix product; those of near rows by their differences."""
+    if isinstance(b, np.ndarray):
+        centre = _centre(b)
+        a, b = _centred(a, centre), _centred(b, centre)
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = a.left @ b.right.T
+        if not total.min() > NEAR * (a.norms.max() + b.norms.max()):
+            near = ~(total > NEAR * (a.norms[:, None] + b.norms))  # also what is not finite
             if 8 * np.count_nonzero(near) > near.size:
-                total = _squared(a[:, None], b[None])
+                total = _squared(a.x[:, None], b.x[None])
             else:
                 i, j = np.nonzero(near)
-                total[i, j] = _squared(a[i], b[j])
+                total[i, j] = _squared(a.x[i], b.x[j])
         return np.sqrt(total, out=total)
 
 
-def _summer(clusters: int, tile: int):
-    """For mapInArrow over groups sorted by pair -> per group of a pair, the sums of distances to the clusters of the other."""
+class _Tile:
+    """Members with their sums of distances to the clusters of the tiles met so far, for those that are evaluated."""
 
-    def group(members: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __init__(self, number: int, members: pa.Array, centre: np.ndarray | None, clusters: int, step: int) -> None:
         label, weight, chosen, x = (members.field(f) for f in ("label", "weight", "chosen", "x"))
-        towards = np.zeros((len(members), clusters))
-        towards[np.arange(len(members)), label.to_numpy()] = weight.to_numpy()
-        return _matrix(x, len(members)), towards, np.flatnonzero(chosen.to_numpy(zero_copy_only=False))
-
-    def sums(x: np.ndarray, y: np.ndarray, to_y: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), clusters))
-        for i in range(0, len(x), tile):
-            for j in range(0, len(y), tile):
-                out[i : i + tile] += _distances(x[i : i + tile], y[j : j + tile]) @ to_y[j : j + tile]
-        return out
-
-    def both(x: np.ndarray, to_x: np.ndarray, y: np.ndarray, to_y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        of_x, of_y = np.zeros((len(x), clusters)), np.zeros((len(y), clusters))
-        for i in range(0, len(x), tile):
-            for j in range(0, len(y), tile):
-                d = _distances(x[i : i + tile], y[j : j + tile])
-                of_x[i : i + tile] += d @ to_y[j : j + tile]
-                of_y[j : j + tile] += d.T @ to_x[i : i + tile]
-        return of_x, of_y
-
-    def result(number: int, found: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array([number], pa.int32()), pa.array([found.tobytes()], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["tile", "sums"])
+        x, chosen = _matrix(x, len(members)), chosen.to_numpy(zero_copy_only=False)
+        self.number, self.centre = number, _centre(x) if centre is None else centre
+        self.cells, self.whole = _centred(x, self.centre).cells(step), chosen.all()
+        self.evaluated = self.cells if self.whole else _centred(x[chosen], self.centre).cells(step)
+        towards = np.zeros((len(x), clusters))
+        towards[np.arange(len(x)), label.to_numpy()] = weight.to_numpy()
+        self.towards = [towards[i : i + step] for i in range(0, len(x), step)]
+        self.sums = [np.zeros((len(cell), clusters)) for cell in self.evaluated]
+
+    def add(self, other: _Tile) -> None:
+        """Distances of the evaluated rows to another tile, or to the tile itself."""
+        for own, out in zip(self.evaluated, self.sums):
+            for cell, towards in zip(other.cells, other.towards):
+                out += _distances(own, cell) @ towards
+
+    def meet(self, other: _Tile) -> None:
+        """Two tiles serve each other; where all rows are evaluated, by the same distances."""
+        if not (self.whole and other.whole):
+            self.add(other)
+            other.add(self)
+            return
+        for own, own_towards, own_sums in zip(self.cells, self.towards, self.sums):
+            for cell, towards, out in zip(other.cells, other.towards, other.sums):
+                d = _distances(own, cell)
+                own_sums += d @ towards
+                out += d.T @ own_towards
+
+    def result(self) -> Iterator[pa.RecordBatch]:
+        if self.sums:
+            columns = [pa.array([self.number], pa.int32()), pa.array([np.concatenate(self.sums).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["tile", "sums"])
+
+
+def _summer(clusters: int, tile: int, group_tiles: int = 1):
+    """For mapInArrow over tiles sorted by pair -> per tile of a pair, the sums of distances to the clusters of the other group.
+
+    Tiles are numbered group by group. The first group of a pair is held, the tiles of the other go by.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, first, first_tile = None, None, None
+        pair, held = None, []
         for batch in batches:
             for r in range(batch.num_rows):
                 own_pair, number = batch.column("pair")[r].as_py(), batch.column("tile")[r].as_py()
-                x, to_x, chosen = group(batch.column("members").slice(r, 1).flatten())
-                if batch.column("itself")[r].as_py():
-                    yield result(number, sums(x[chosen], x, to_x))
-                elif pair != own_pair:
-                    pair, first, first_tile = own_pair, (x, to_x, chosen), number
-                elif len(chosen) == len(x) and len(first[2]) == len(first[0]):
-                    of_first, of_x = both(first[0], first[1], x, to_x)
-                    yield result(first_tile, of_first)
-                    yield result(number, of_x)
+                if pair != own_pair:
+                    for kept in held:
+                        yield from kept.result()
+                    pair, held = own_pair, []
+                members = batch.column("members").slice(r, 1).flatten()
+                own = _Tile(number, members, held[0].centre if held else None, clusters, min(tile, CELL))
+                itself = batch.column("itself")[r].as_py()
+                other = bool(held) and held[0].number // group_tiles != number // group_tiles
+                if itself or other:
+                    for kept in held:
+                        kept.meet(own)
+                if itself:
+                    own.add(own)
+                if other:
+                    yield from own.result()
                 else:
-                    yield result(first_tile, sums(first[0][first[2]], x, to_x))
-                    yield result(number, sums(x[chosen], first[0], first[1]))
+                    held.append(own)
+        for kept in held:
+            yield from kept.result()
 
     return run
 
@@ -155,7 +212,9 @@ def euclidean_silhouette(
     Rows without a label or vector are left out; a cluster of one row scores 0, as does a single cluster. Labels are a
     short closed list. A sample is drawn by a hash of label and vector and is the same in every run.
     """
-    rows = df.select(F.col(label).alias("_label"), F.col(vector).cast("array<double>").alias("x")).dropna()
+    kind = df.select(vector).schema[0].dataType.simpleString()
+    x = F.col(vector).cast(kind if kind == "array<float>" else "array<double>")
+    rows = df.select(F.col(label).alias("_label"), x.alias("x")).dropna()
     rows = stage(rows.groupBy("_label", "x").agg(F.count(F.lit(1)).alias("weight")), "distinct-vectors")
     spark = rows.sparkSession
     per_label = rows.groupBy("_label").agg(
@@ -168,27 +227,32 @@ def euclidean_silhouette(
     for i, r in enumerate(sizes):
         index = F.when(F.col("_label") == F.lit(r[0]), i).otherwise(index)
     rows = rows.select(index.alias("label"), "weight", "x")
-    chosen = F.lit(True) if sample is None else hash_uniform(F.xxhash64("label", "x"), SALT) < sample
+    drawn = hash_uniform(F.xxhash64("label", F.col("x").cast("array<double>")), SALT)
+    chosen = F.lit(True) if sample is None else drawn < sample
 
     distinct, width = sum(r["rows"] for r in sizes), max(1, *(r["width"] for r in sizes))
     most = max(1, min(GROUP_TILES * tile, GROUP_BYTES // (8 * width)))
-    tiles = max(math.ceil(distinct / most), min(LEAST_GROUPS, math.ceil(distinct / tile)))
-    number = F.pmod(F.xxhash64("x", "label"), F.lit(tiles)).cast("int").alias("tile")
+    groups = max(math.ceil(distinct / most), min(LEAST_GROUPS, math.ceil(distinct / tile)))
+    tile_rows = max(1, min(tile, TILE_BYTES // (8 * width)))
+    group_tiles = math.ceil(distinct / groups / tile_rows)
+    number = F.pmod(F.xxhash64("x", "label"), F.lit(groups * group_tiles)).cast("int").alias("tile")
     members = F.collect_list(F.struct("label", "weight", chosen.alias("chosen"), "x")).alias("members")
-    groups = stage(rows.groupBy(number).agg(members), "groups")  # written, so that the order within a group stays
+    tiles = stage(rows.groupBy(number).agg(members), "tiles")  # written, so that the order within a tile stays
     # the pair of two groups is numbered by the smaller and the larger of them
-    paired = groups.select("tile", "members", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("other")).select(
-        (F.least("tile", "other").cast("long") * tiles + F.greatest("tile", "other")).alias("pair"),
+    own = F.floor(F.col("tile") / group_tiles)
+    spread = tiles.repartition(groups, "tile").withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    paired = spread.select(
+        (F.least(own, "other").cast("long") * groups + F.greatest(own, "other")).alias("pair"),
         "tile",
-        (F.col("tile") == F.col("other")).alias("itself"),
+        (own == F.col("other")).alias("itself"),
         "members",
     )
-    dealt = paired.repartition(tiles * (tiles + 1) // 2, "pair").sortWithinPartitions("pair", "tile")
-    sums = dealt.mapInArrow(_summer(len(sizes), tile), "tile int, sums binary")
+    dealt = paired.repartition(groups * (groups + 1) // 2, "pair").sortWithinPartitions("pair", "tile")
+    sums = dealt.mapInArrow(_summer(len(sizes), tile, group_tiles), "tile int, sums binary")
     chosen_members = F.transform(F.filter("members", lambda m: m["chosen"]), lambda m: F.struct(m["label"], m["weight"]))
-    evaluated = groups.select("tile", chosen_members.alias("evaluated"))
+    evaluated = tiles.select("tile", chosen_members.alias("evaluated"))
     both = sums.unionByName(evaluated, allowMissingColumns=True)
-    gathered = both.repartition(tiles, "tile").sortWithinPartitions("tile", F.col("sums").isNotNull())
+    gathered = both.repartition(groups, "tile").sortWithinPartitions("tile", F.col("sums").isNotNull())
     scored = gathered.mapInArrow(_scorer([r["n"] for r in sizes]), "weight long, score double")
 
     w, s = F.col("weight"), F.col("score")

@@ -118,3 +118,63 @@ def test_groups_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(silhouette, "GROUP_BYTES", 8 * 20)
     got = euclidean_silhouette(frame(spark, rows), "x", "label").first()
     assert got.n == 600 and got.silhouette_score == pytest.approx(plain(rows))
+
+
+def test_no_row_of_a_shuffle_holds_a_whole_group(spark, monkeypatch):
+    staged, stage = {}, silhouette.stage
+    monkeypatch.setattr(silhouette, "stage", lambda df, purpose: staged.setdefault(purpose, stage(df, purpose)))
+    rows = [("ab"[i % 2], [i / 7, float(i % 11)]) for i in range(3000)]
+    got = euclidean_silhouette(frame(spark, rows), "x", "label", tile=25).first()
+    held = [len(r.members) for df in staged.values() if "members" in df.columns for r in df.collect()]
+    assert sum(held) == 3000 and max(held) <= 60
+    x, own = np.array([v for _, v in rows]), np.array([c for c, _ in rows])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    a, b = ((d * (own[:, None] == own if same else own[:, None] != own)).sum(axis=1) / (1499 if same else 1500) for same in (True, False))
+    assert got.silhouette_score == pytest.approx(((b - a) / np.maximum(a, b)).mean())
+
+
+def test_a_far_row_leaves_the_others_to_the_product(monkeypatch):
+    rng, differences, squared = np.random.default_rng(6), [], silhouette._squared
+    monkeypatch.setattr(silhouette, "_squared", lambda a, b: differences.append(squared(a, b)) or differences[-1])
+    a, b = rng.normal(size=(80, 4)), rng.normal(size=(70, 4))
+    b[3] = 1e12
+    expected = np.array([[math.dist(x, y) for y in b] for x in a])
+    assert _distances(a, b) == pytest.approx(expected, rel=1e-8, abs=0)
+    assert sum(d.size for d in differences) == 0
+    b[5, 1] = np.nan
+    assert np.isnan(_distances(a, b)).sum() == 80
+    assert sum(d.size for d in differences) == 80
+
+
+@pytest.mark.parametrize("share", [1.0, 0.4, 0.0])
+def test_groups_of_several_tiles(share):
+    rng = random.Random(share)
+    tiles = [[(rng.choice([0, 1, 2]), rng.randint(1, 3), rng.random() < share, [rng.random() for _ in range(3)]) for _ in range(n)] for n in (9, 4, 1, 12, 7)]
+    members = [[dict(zip(("label", "weight", "chosen", "x"), m)) for m in g] for g in tiles]
+    kind = pa.list_(pa.struct([("label", pa.int32()), ("weight", pa.int64()), ("chosen", pa.bool_()), ("x", pa.list_(pa.float32()))]))
+    numbers = [0, 1, 2, 3, 5]  # groups of two; the tile numbered 4 has no rows
+    pairs = {(g, h): [i for i, n in enumerate(numbers) if n // 2 in (g, h)] for g in range(3) for h in range(g, 3)}
+    rows = [(g * 3 + h, numbers[i], g == h, members[i]) for (g, h), those in pairs.items() for i in those]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.bool_(), kind))]
+    whole = pa.RecordBatch.from_arrays(columns, names=["pair", "tile", "itself", "members"])
+    found = {}
+    for batch in silhouette._summer(3, 4, 2)([whole.slice(0, 3), whole.slice(3, 4), whole.slice(7)]):
+        for tile, sums in zip(*batch.to_pydict().values()):
+            found[tile] = found.get(tile, 0) + np.frombuffer(sums).reshape(-1, 3)
+    everyone = [m for g in tiles for m in g]
+    for n, g in zip(numbers, tiles):
+        expected = [[sum(w * math.dist(x, y) for other, w, _, y in everyone if other == c) for c in range(3)] for _, _, chosen, x in g if chosen]
+        assert (n in found) == bool(expected)
+        if expected:
+            assert found[n] == pytest.approx(np.array(expected), rel=1e-5)
+
+
+def test_vectors_keep_their_width(spark):
+    """Single-precision vectors are moved as such, and give what they give in double precision."""
+    rng = random.Random(12)
+    rows = [(c, [rng.gauss("ab".index(c), 1), None if i == 7 else -0.0, rng.random()]) for i, c in enumerate(rng.choices("ab", k=300))]
+    single = frame(spark, rows).selectExpr("label", "cast(x as array<float>) as x")
+    double = single.selectExpr("label", "cast(x as array<double>) as x")
+    for sample in (None, 0.4):
+        a, b = (euclidean_silhouette(df, "x", "label", sample, tile=100).first() for df in (single, double))
+        assert a.silhouette_score == pytest.approx(b.silhouette_score) and a.standard_error == pytest.approx(b.standard_error)
